@@ -1,0 +1 @@
+"""Intentionally empty: every source, operator and sink of this pipeline is a daily batch."""
