@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # Right-hand rows of one key that one task may hold before the key is split.
 ROWS_PER_SPLIT = 2_000_000
 # Most frequent keys looked at, and counters the frequency sketch may keep to find them.
-TOP_KEYS, SKETCH_COUNTERS = 256, 20_000
+TOP_KEYS, SKETCH_COUNTERS = 256, 4096
 
 
 def silver_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -79,10 +79,12 @@ def left_join(
 
     if spread_by is None:
         spread_by = F.xxhash64(*[F.col(f"`{name}`") for name in right.columns])
+    split = F.pmod(spread_by, splits_of(F.col(key)).cast("long")).cast("int")
     dealt = right.select(
         key,
         *keep,
-        F.pmod(spread_by, splits_of(F.col(key)).cast("long")).cast("int").alias("_split"),
+        # Never NULL; saying so keeps Spark from testing the hash for NULL at the scan.
+        F.coalesce(split, F.lit(0)).alias("_split"),
         F.lit(True).alias("_matched"),
     )
     repeated = left.withColumn("_splits", splits_of(F.col(key))).withColumn(

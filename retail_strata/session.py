@@ -8,16 +8,23 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "retail_strata", **conf: str) -> SparkSession:
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Broadcast a join side by the size its shuffle measured, not by the size of compressed files.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def build_session(
+    app_name: str = "retail_strata", conf: dict[str, str] | None = None
+) -> SparkSession:
     """Session with adaptive execution on; master and sizing come from spark-submit or ``conf``."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-    )
-    for key, value in conf.items():
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in {**DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -1,0 +1,139 @@
+"""The plans are what they should be at scale."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from retail_strata import operators as ops
+from retail_strata import plans, sources
+from retail_strata.sinks import write_layer
+from tests.helpers import final_plan, plan
+
+DAY = "2025-02-07"
+
+
+@pytest.fixture(scope="module")
+def silver(spark, tmp_path_factory):
+    """Silver-shaped tables on disk; a third of the items belong to one customer."""
+    root = str(tmp_path_factory.mktemp("silver"))
+    n = 60_000
+    hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    items = spark.range(0, n, 1, 8).select(
+        hot.alias("customer_id"),
+        F.col("id").cast("string").alias("order_id"),
+        F.lit("SHIPPED").alias("order_status"),
+        F.col("id").cast("string").alias("order_item_id"),
+        F.lit("unused").alias("full_name"),
+    )
+    customers = spark.range(0, n, 1, 8).select(
+        hot.alias("customer_id"),
+        F.lit("Ohio").alias("city"),
+        F.lit("OH").alias("state"),
+        F.col("id").cast("string").alias("email"),
+    )
+    customers = customers.filter("customer_id != 'hot'").union(
+        customers.filter("customer_id = 'hot'").limit(1)
+    )
+    write_layer(items, root, "items", DAY)
+    write_layer(customers, root, "customers", DAY)
+    return {name: sources.read_layer(spark, root, name, DAY) for name in ("items", "customers")}
+
+
+def test_filters_and_columns_reach_the_scan(silver):
+    customers = silver["customers"].select("*", F.col("_metadata.row_index").alias("_row"))
+    gold = plans.build_gold(silver["items"], customers, spread_by=F.col("_row"))
+    text = plan(gold)
+    items_scan, *customer_scans = re.findall(
+        r"PushedFilters: (\[.*?\])\nReadSchema: struct<(.*?)>", text
+    )
+    assert "IsNotNull(customer_id)" in items_scan[0]
+    assert "Not(EqualTo(order_status,CANCELLED))" in items_scan[0]
+    assert "full_name" not in items_scan[1]
+    assert customer_scans
+    assert all("email" not in schema for _, schema in customer_scans)
+    assert "Python" not in text and "CartesianProduct" not in text
+    assert "NestedLoop" not in text
+
+
+def test_rules_run_below_the_dedupe(spark, tmp_path):
+    df = spark.range(10).selectExpr("id", "CAST(id AS STRING) AS total_amount", "'x' AS source")
+    write_layer(df, str(tmp_path), "refined_orders", DAY)
+    bronze = sources.read_layer(spark, str(tmp_path), "refined_orders", DAY)
+    text = plan(ops.valid_orders(ops.clean_entity(bronze, "orders")), "simple")
+    tree = text.splitlines()
+    depth = {name: next(i for i, line in enumerate(tree) if name in line) for name in ("Exchange", "Filter")}
+    assert depth["Exchange"] < depth["Filter"]
+    assert "source" not in re.search(r"ReadSchema: (.*)", text).group(1)
+    assert len(re.findall("HashAggregate", text)) == 2
+
+
+def test_only_one_partition_is_read(spark, tmp_path):
+    for day in ("2025-02-07", "2025-02-08"):
+        write_layer(spark.range(5), str(tmp_path), "t", day)
+    df = sources.read_partition(spark, str(tmp_path), "t", DAY)
+    assert {path.split("/")[-2] for path in df.inputFiles()} == {f"ingest_date={DAY}"}
+
+
+def test_no_stage_gathers_the_data_in_one_task(silver):
+    gold = plans.build_gold(silver["items"], silver["customers"])
+    main = plan(gold).split("===== Subqueries")[0]
+    assert "SinglePartition" not in main
+
+
+def test_sketch_result_is_all_that_is_gathered(silver):
+    gold = plans.build_gold(silver["items"], silver["customers"])
+    subqueries = plan(gold).split("===== Subqueries")[1]
+    gathered = re.search(r"Exchange\nInput \[1\]: \[(.*?)\]\nArguments: SinglePartition", subqueries)
+    assert gathered and gathered.group(1).startswith("buf")
+
+
+def test_a_hot_key_on_the_left_is_split_by_adaptive_execution(silver, conf):
+    conf(
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        adaptive__advisoryPartitionSizeInBytes="10k",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+    )
+    gold = plans.build_gold(silver["items"], silver["customers"])
+    text = final_plan(gold)
+    assert "SortMergeJoin(skew=true)" in text
+    assert gold.count() == 60_000
+
+
+def test_hot_keys_of_inner_joins_are_split_too(silver, conf):
+    conf(
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        adaptive__advisoryPartitionSizeInBytes="10k",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+    )
+    joined = ops.silver_orders(silver["items"].drop("full_name"), silver["customers"])
+    assert "SortMergeJoin(skew=true)" in final_plan(joined)
+
+
+def test_a_hot_key_on_the_right_is_dealt_to_several_tasks(spark, silver, conf):
+    conf(adaptive__autoBroadcastJoinThreshold="-1", adaptive__coalescePartitions__enabled="false")
+    left = spark.createDataFrame([("hot", 1), ("none", 2), (None, 3)], "customer_id string, n int")
+    joined = ops.left_join(left, silver["items"], "customer_id", ["order_id"], rows_per_split=2000)
+    spread = joined.filter("n = 1").groupBy(F.spark_partition_id()).count()
+    assert joined.count() == 20_000 + 2
+    assert spread.count() > 1
+    assert spread.agg(F.max("count")).first()[0] < 20_000
+
+
+def test_small_sides_are_broadcast_by_measured_size(silver, spark):
+    small = spark.range(100).select(F.col("id").cast("string").alias("customer_id"), F.lit("x").alias("y"))
+    text = final_plan(silver["items"].join(small.distinct(), "customer_id"))
+    assert "BroadcastHashJoin" in text.split("Initial Plan")[0]
+    assert "SortMergeJoin" in text.split("Initial Plan")[1]
+
+
+def test_distinct_counts_are_grouped_with_the_counted_column_first(silver):
+    gold = plans.build_gold(silver["items"], silver["customers"]).withColumns(
+        {"quantity": F.lit("1"), "unit_price": F.lit("1.00")}
+    )
+    text = plan(plans.sales_by_city(gold))
+    assert re.search(r"hashpartitioning\(city#\d+, state#\d+, order_id#\d+", text)
