@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from checks.dirty import RAW_SQL
-from checks.queries import ONE_DATE
+from checks.queries import EVENT_DATE, ONE_DATE
 
 INGEST_TS = "'2025-02-07 10:00:00'"
 
@@ -117,8 +117,8 @@ ranked AS (
 SELECT event_id, user_id, value, entity, folder, file
 FROM files JOIN (SELECT entity, folder, file FROM ranked WHERE r = 1) USING (entity, folder, file)""",
     "dated_partition_read": f"""
-SELECT *, strftime(CAST(order_date AS DATE), '%Y%m%d') AS ingest_date
-FROM raw_orders WHERE order_date = '{ONE_DATE}'""",
+SELECT event_id, user_id, event_type, value, strftime(CAST(ts AS DATE), '%Y%m%d') AS ingest_date
+FROM events WHERE CAST(ts AS DATE) = DATE '{EVENT_DATE}'""",
     "published_orders": "SELECT * FROM valid_orders",
     "fanout_order_lines": "SELECT * FROM gold",
     "bronze_customers": f"""

@@ -19,6 +19,7 @@ from retail_strata.sources.csv import bind_schema
 
 RUN_DATE = "2025-02-07"
 ONE_DATE = "1995-03-15"
+EVENT_DATE = "2024-01-12"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,9 +126,11 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dated_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "dated")
-    orders = raw_orders(spark, sf_dir).withColumn("ingest_date", F.col("order_date").cast("date"))
-    sinks.write_dated(orders, f"{root}/orders", "ingest_date")
-    return sources.read_partition(spark, root, "orders", ONE_DATE).withColumn(
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", "user_id", "event_type", "value", F.col("ts").cast("date").alias("ingest_date")
+    )
+    sinks.write_dated(events, f"{root}/events", "ingest_date")
+    return sources.read_partition(spark, root, "events", EVENT_DATE).withColumn(
         "ingest_date", date_folder(F.col("ingest_date"))
     )
 
