@@ -9,9 +9,10 @@ on the right of a left join; ``left_join`` splits that one itself.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Right-hand rows of one key that one task may hold before the key is split.
@@ -36,16 +37,12 @@ def silver_products(products: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def enrich_with_customer(
-    items: DataFrame,
-    customers: DataFrame,
-    keep: Sequence[str] | None = None,
-    spread_by: Column | None = None,
+    items: DataFrame, customers: DataFrame, keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Every item, with its customer's columns (``keep``, or all) or NULLs."""
     if keep is None:
         keep = [name for name in customers.columns if name != "customer_id"]
-    joined = left_join(items, customers, "customer_id", keep, spread_by)
-    return joined.select(*items.columns, *keep)
+    return left_join(items, customers, "customer_id", keep).select(*items.columns, *keep)
 
 
 def attach_customer_key(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -58,61 +55,46 @@ def left_join(
     right: DataFrame,
     key: str,
     keep: Sequence[str],
-    spread_by: Column | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """``left`` left-joined to ``right[key, keep]`` on ``key``, whatever the key frequencies.
 
-    A one-column sketch of ``right`` finds keys with more than ``rows_per_split`` rows. Right rows
-    of such a key are dealt to several splits and its left rows are repeated once per split, so
-    each pair still meets exactly once. The left rows of a split key have a match somewhere, so
-    the unmatched repeats are dropped; every other row keeps plain left-join semantics. The sketch
-    only decides how work is spread, never which rows come out.
-
-    ``spread_by`` is an integer column telling right rows of one key apart. It must not change
-    when a task is retried; the default hashes the whole right row.
+    Keys with more than ``rows_per_split`` rows in ``right`` are looked for first, in a job that
+    reads that one column. Without any, which is usual, this is a plain join. Otherwise the right
+    rows of such a key are dealt to several splits, by a hash of the whole row that a retried task
+    repeats, and its left rows are copied to every split, so that each pair meets exactly once.
+    The left rows of a split key have a match in some split, so their unmatched copies are
+    dropped; the rows of other keys, and of a NULL key, see a plain left join.
     """
-    splits = _splits_of_frequent_keys(right, key, rows_per_split)
-
-    def splits_of(column: Column) -> Column:
-        return F.coalesce(F.try_element_at(splits, column), F.lit(1))
+    splits = frequent_keys(right, key, rows_per_split)
+    if not splits:
+        return left.join(right.select(key, *keep), key, "left")
 
-    if spread_by is None:
-        spread_by = F.xxhash64(*[F.col(f"`{name}`") for name in right.columns])
-    split = F.pmod(spread_by, splits_of(F.col(key)).cast("long")).cast("int")
+    literals = [F.lit(part) for item in splits.items() for part in item]
+    n_splits = F.coalesce(F.try_element_at(F.create_map(*literals), F.col(key)), F.lit(1))
+    whole_row = F.xxhash64(*[F.col(f"`{name}`") for name in right.columns])
     dealt = right.select(
-        key,
-        *keep,
-        # Never NULL; saying so keeps Spark from testing the hash for NULL at the scan.
-        F.coalesce(split, F.lit(0)).alias("_split"),
-        F.lit(True).alias("_matched"),
+        key, *keep, F.pmod(whole_row, n_splits).cast("int").alias("_split"), F.lit(True).alias("_hit")
     )
-    repeated = left.withColumn("_splits", splits_of(F.col(key))).withColumn(
+    copied = left.withColumn("_splits", n_splits).withColumn(
         "_split", F.explode(F.sequence(F.lit(0), F.col("_splits") - 1))
     )
     return (
-        repeated.join(dealt, [key, "_split"], "left")
-        .filter((F.col("_splits") == 1) | F.col("_matched"))
-        .drop("_split", "_splits", "_matched")
+        copied.join(dealt, [key, "_split"], "left")
+        .filter((F.col("_splits") == 1) | F.col("_hit"))
+        .drop("_split", "_splits", "_hit")
     )
 
 
-def _splits_of_frequent_keys(right: DataFrame, key: str, rows_per_split: int) -> Column:
-    """Scalar subquery: map of frequent key -> number of splits; at most TOP_KEYS entries."""
-    top = F.expr(f"approx_top_k(`{key}`, {TOP_KEYS}, {SKETCH_COUNTERS})")
-    return (
-        right.select(key)
-        .filter(F.col(key).isNotNull())
-        .agg(top.alias("top"))
-        .select(
-            F.map_from_entries(
-                F.transform(
-                    F.filter("top", lambda t: t["count"] > rows_per_split),
-                    lambda t: F.struct(
-                        t["item"], F.ceil(t["count"] / F.lit(rows_per_split)).cast("int")
-                    ),
-                )
-            )
-        )
-        .scalar()
-    )
+def frequent_keys(df: DataFrame, key: str, rows_per_split: int) -> dict[str, int]:
+    """Keys of ``df`` with more than ``rows_per_split`` rows -> number of splits; few or none.
+
+    The counts come from a mergeable sketch of fixed size, so only its result is gathered. A key
+    it misses is one among many of like frequency, and is joined unsplit.
+    """
+    top = df.agg(F.expr(f"approx_top_k(`{key}`, {TOP_KEYS}, {SKETCH_COUNTERS})")).first()[0]
+    return {
+        entry["item"]: math.ceil(entry["count"] / rows_per_split)
+        for entry in top
+        if entry["item"] is not None and entry["count"] > rows_per_split
+    }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from retail_strata.operators.columns import require_columns, select_existing
 from retail_strata.operators.joins import enrich_with_customer
@@ -10,14 +10,12 @@ from retail_strata.operators.rules import active_orders
 from retail_strata.schemas import GOLD_COLUMNS
 
 
-def build_gold(
-    order_items: DataFrame, customers: DataFrame, spread_by: Column | None = None
-) -> DataFrame:
+def build_gold(order_items: DataFrame, customers: DataFrame) -> DataFrame:
     """Order lines from silver order_items and silver customers.
 
     The status rule is written after the join and runs before it, at the scan of the items.
     """
     require_columns(order_items, ["customer_id", "order_status"], "silver order_items")
     require_columns(customers, ["customer_id", "city", "state"], "silver customers")
-    lines = enrich_with_customer(order_items, customers, ["city", "state"], spread_by)
+    lines = enrich_with_customer(order_items, customers, ["city", "state"])
     return select_existing(active_orders(lines), GOLD_COLUMNS)

@@ -1,22 +1,26 @@
 """The whole run: newest raw CSV -> bronze -> silver -> gold, each table written once.
 
-A layer's tables are written before the next layer starts. Later steps read what was written, so
-no plan is computed twice and a lost executor costs a task, not a recomputation from raw. Any
-failure is raised and stops the run.
+A layer's tables are written before the next layer starts; those that do not depend on each other
+are written at the same time. Later steps read what was written, so no plan is computed twice and
+a lost executor costs a task, not a recomputation from raw. Any failure is raised and stops the
+run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from retail_strata.functions.dates import parse_run_date
-from retail_strata.operators.joins import silver_order_items, silver_orders, silver_products
+from retail_strata.operators.joins import silver_products
 from retail_strata.plans.bronze import build_bronze
 from retail_strata.plans.gold import build_gold
-from retail_strata.plans.silver import clean_entities
+from retail_strata.plans.silver import clean_entities, join_entities
 from retail_strata.schemas import ENTITIES, GOLD_ORDER_LINES, layer_table
 from retail_strata.session import scratch_path
 from retail_strata.sinks.tables import write_layer
@@ -43,10 +47,7 @@ def run_bronze(
         ENTITIES,
         on_missing,
     )
-    bronze = build_bronze(raw, ingest_ts)
-    for entity, df in bronze.items():
-        write_layer(df, warehouse, layer_table("bronze", entity), run_date)
-    return _read_layer_entities(spark, warehouse, "bronze", run_date)
+    return _write_entities(spark, build_bronze(raw, ingest_ts), warehouse, "bronze", run_date)
 
 
 def run_silver(
@@ -56,46 +57,38 @@ def run_silver(
 
     Valid orders feed two joins and are no output themselves, so they go to the scratch folder.
     """
-    clean = clean_entities(_read_layer_entities(spark, warehouse, "bronze", run_date, on_missing))
-
-    def write(entity: str, df: DataFrame) -> DataFrame:
-        table = layer_table("silver", entity)
-        write_layer(df, warehouse, table, run_date)
-        return read_layer(spark, warehouse, table, run_date)
-
-    silver = {}
-    if "customers" in clean:
-        silver["customers"] = write("customers", clean["customers"])
-    orders = clean.get("orders")
-    if orders is not None:
-        staged = scratch_path(spark, "valid-orders")
-        orders.write.parquet(staged)
-        orders = spark.read.parquet(staged)
-        restricted = silver_orders(orders, silver["customers"]) if "customers" in silver else orders
-        silver["orders"] = write("orders", restricted)
-    items = clean.get("order_items")
-    if items is not None:
-        silver["order_items"] = write(
-            "order_items", items if orders is None else silver_order_items(items, orders)
-        )
-    products = clean.get("products")
-    if products is not None:
-        if items is not None:
+    clean = clean_entities(_read_entities(spark, warehouse, "bronze", run_date, on_missing))
+
+    silver: dict[str, DataFrame] = {}
+
+    def write(tables: dict[str, DataFrame]) -> None:
+        silver.update(_write_entities(spark, tables, warehouse, "silver", run_date))
+
+    def stage_orders() -> None:
+        if "orders" in clean:
+            path = scratch_path(spark, "valid-orders")
+            clean["orders"].write.parquet(path)
+            clean["orders"] = spark.read.parquet(path)
+
+    customers = {entity: df for entity, df in clean.items() if entity == "customers"}
+    together(spark, [partial(write, customers), stage_orders])
+
+    joined = join_entities({**clean, **silver})
+    write({entity: joined[entity] for entity in ("orders", "order_items") if entity in joined})
+    if "products" in clean:
+        products = clean["products"]
+        if "order_items" in silver:
             products = silver_products(products, silver["order_items"])
-        silver["products"] = write("products", products)
+        write({"products": products})
     return silver
 
 
 def run_gold(spark: SparkSession, warehouse: str, run_date: str | dt.date) -> DataFrame:
     """Gold order lines. Both inputs must exist."""
-    silver = _read_layer_entities(
+    silver = _read_entities(
         spark, warehouse, "silver", run_date, "fail", ["customers", "order_items"]
     )
-    # A row's place in its file tells rows of one customer apart without reading their columns.
-    customers = silver["customers"].select(
-        "customer_id", "city", "state", F.col("_metadata.row_index").alias("_row")
-    )
-    gold = build_gold(silver["order_items"], customers, spread_by=F.col("_row"))
+    gold = build_gold(silver["order_items"], silver["customers"])
     write_layer(gold, warehouse, GOLD_ORDER_LINES, run_date)
     return read_layer(spark, warehouse, GOLD_ORDER_LINES, run_date)
 
@@ -114,16 +107,44 @@ def run_pipeline(
     return run_gold(spark, warehouse, run_date)
 
 
-def _read_layer_entities(
+def together(spark: SparkSession, actions: Sequence[Callable[[], object]]) -> None:
+    """Run independent Spark actions at the same time; the first failure is raised."""
+    inherit = inheritable_thread_target(spark)
+    if inherit is spark:  # Python threads are not pinned to JVM threads: nothing to inherit.
+        inherit = partial
+    with ThreadPoolExecutor(max_workers=max(len(actions), 1)) as pool:
+        for done in [pool.submit(inherit(action)) for action in actions]:
+            done.result()
+
+
+def _read_entities(
     spark: SparkSession,
     warehouse: str,
     layer: str,
     run_date: str | dt.date,
     on_missing: str = "skip",
-    entities: list[str] | tuple[str, ...] = ENTITIES,
+    entities: Sequence[str] = ENTITIES,
 ) -> dict[str, DataFrame]:
     return read_entities(
         lambda entity: read_layer(spark, warehouse, layer_table(layer, entity), run_date),
         entities,
         on_missing,
     )
+
+
+def _write_entities(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    warehouse: str,
+    layer: str,
+    run_date: str | dt.date,
+) -> dict[str, DataFrame]:
+    """Write a layer's tables side by side and return them as read back."""
+    together(
+        spark,
+        [
+            partial(write_layer, df, warehouse, layer_table(layer, entity), run_date)
+            for entity, df in tables.items()
+        ],
+    )
+    return _read_entities(spark, warehouse, layer, run_date, "fail", list(tables))

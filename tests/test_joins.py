@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from retail_strata import plans
 from retail_strata.operators import attach_customer_key, enrich_with_customer, left_join
+from retail_strata.operators.joins import frequent_keys
 from tests.helpers import rows
 
 CUSTOMERS = "customer_id string, full_name string, email string, city string, state string"
@@ -157,8 +158,12 @@ def test_split_keys_give_the_plain_left_join(spark, left, right, rows_per_split)
     assert rows(actual) == rows(lefts.join(rights, "k", "left"))
 
 
-def test_a_given_spread_column_is_used(spark):
-    lefts = spark.createDataFrame([(1, "a"), (2, "z"), (3, None)], "l int, k string")
-    rights = spark.range(1000).select(F.lit("a").alias("k"), F.col("id").alias("r"))
-    actual = left_join(lefts, rights, "k", ["r"], spread_by=F.col("r"), rows_per_split=10)
-    assert rows(actual) == rows(lefts.join(rights, "k", "left"))
+def test_only_frequent_keys_are_split(spark):
+    df = spark.range(1000).select(
+        F.when(F.col("id") < 700, "a").otherwise(F.col("id").cast("string")).alias("k")
+    )
+    assert frequent_keys(df, "k", 200) == {"a": 4}
+    assert frequent_keys(df, "k", 700) == {}
+    nulls = spark.range(1000).select(F.lit(None).cast("string").alias("k"))
+    assert frequent_keys(nulls, "k", 10) == {}
+    assert frequent_keys(nulls.limit(0), "k", 10) == {}
