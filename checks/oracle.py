@@ -138,6 +138,7 @@ FROM raw_orders""",
     "silver_orders_valid": "SELECT * FROM valid_orders",
     "silver_items_valid": "SELECT * FROM valid_items",
     "silver_order_items": "SELECT * FROM joined_items",
+    "silver_order_items_one_shuffle": "SELECT * FROM joined_items",
     "silver_orders": "SELECT * FROM valid_orders JOIN customers USING (customer_id)",
     "silver_products": "SELECT * FROM products JOIN joined_items USING (product_id)",
     "silver_missing_orders": "SELECT * FROM products JOIN valid_items USING (product_id)",
@@ -205,6 +206,9 @@ UNION ALL SELECT 'order_items', 10000""",
     "purge_counts": f"""
 SELECT count(*) AS total, count(*) FILTER (WHERE {PURGED}) AS removed FROM raw_orders""",
     "purge_published": f"SELECT * FROM raw_orders WHERE NOT coalesce({PURGED}, false)",
+    "purge_partition": f"""
+SELECT event_id, user_id, event_type, value, strftime(CAST(ts AS DATE), '%Y%m%d') AS ingest_date
+FROM events WHERE CAST(ts AS DATE) <> DATE '{EVENT_DATE}'""",
     "pipeline_end_to_end": "SELECT * FROM gold",
 }
 

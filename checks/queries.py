@@ -123,13 +123,19 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.drop("ts")
 
 
-@query
-def dated_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dated_events(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a layer holding ``events`` as one partition per day."""
     root = scratch_path(spark, "dated")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "event_id", "user_id", "event_type", "value", F.col("ts").cast("date").alias("ingest_date")
     )
     sinks.write_dated(events, f"{root}/events", "ingest_date")
+    return root
+
+
+@query
+def dated_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = dated_events(spark, sf_dir)
     return sources.read_partition(spark, root, "events", EVENT_DATE).withColumn(
         "ingest_date", date_folder(F.col("ingest_date"))
     )
@@ -219,6 +225,12 @@ def silver_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_times(silver(spark, sf_dir)["order_items"])
 
 
+@query
+def silver_order_items_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = plans.clean_entities(bronze(spark, sf_dir), shuffle_once=True)
+    return text_times(ops.silver_order_items(tables["order_items"], tables["orders"]))
+
+
 @query
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_times(silver(spark, sf_dir)["orders"])
@@ -399,6 +411,15 @@ def purge_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_published(spark, path)
 
 
+@query
+def purge_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = dated_events(spark, sf_dir)
+    ops.purge_partition(spark, root, "events", EVENT_DATE, dry_run=False)
+    return spark.read.parquet(f"{root}/events").withColumn(
+        "ingest_date", date_folder(F.col("ingest_date"))
+    )
+
+
 # Whole pipeline
 
 

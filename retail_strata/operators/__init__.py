@@ -6,6 +6,7 @@ from retail_strata.operators.columns import (
     require_columns,
     select_existing,
 )
+from retail_strata.operators.frequent import frequent_keys
 from retail_strata.operators.joins import (
     attach_customer_key,
     enrich_with_customer,
@@ -15,7 +16,12 @@ from retail_strata.operators.joins import (
     silver_products,
 )
 from retail_strata.operators.keys import advance_mark, assign_surrogate_keys, high_water_marks
-from retail_strata.operators.purge import purge_counts, purge_published, purge_rows
+from retail_strata.operators.purge import (
+    purge_counts,
+    purge_partition,
+    purge_published,
+    purge_rows,
+)
 from retail_strata.operators.rules import active_orders, valid_items, valid_orders
 
 __all__ = [
@@ -26,11 +32,13 @@ __all__ = [
     "attach_customer_key",
     "clean_entity",
     "enrich_with_customer",
+    "frequent_keys",
     "high_water_marks",
     "label_lineage",
     "left_join",
     "normalise_email",
     "purge_counts",
+    "purge_partition",
     "purge_published",
     "purge_rows",
     "require_columns",

@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retail_strata.operators.frequent import frequent_keys
+
 
 def add_ingest_metadata(
     df: DataFrame,
@@ -35,12 +37,20 @@ def label_lineage(df: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def clean_entity(df: DataFrame, entity: str) -> DataFrame:
+def clean_entity(df: DataFrame, entity: str, next_key: str | None = None) -> DataFrame:
     """Label the lineage and keep one of each set of identical rows (NULLs compare equal).
 
-    Copies collapse in the map-side aggregate, so a row with very many copies does not travel.
+    The dedupe shuffles on all columns, after copies have collapsed in the map-side aggregate, so
+    neither a frequent key nor a row with very many copies gathers in one task.
+
+    ``next_key`` names the column of the next join. If none of its values, NULL and copies
+    included, holds more rows than a task can take, rows are shuffled by that column instead:
+    identical rows still meet, and the join then needs no shuffle of its own.
     """
-    return label_lineage(df, entity).dropDuplicates()
+    df = label_lineage(df, entity)
+    if next_key is not None and not frequent_keys(df, next_key):
+        df = df.repartition(next_key)
+    return df.dropDuplicates()
 
 
 def normalise_email(df: DataFrame) -> DataFrame:

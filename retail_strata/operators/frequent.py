@@ -1,0 +1,37 @@
+"""Values that hold very many rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of one value that may be left to one task.
+FREQUENT_ROWS = 2_000_000
+# Values reported at most, counters per sketch, and tasks that merge the sketches of the scan.
+TOP_VALUES, COUNTERS, MERGERS = 256, 4096, 256
+
+
+def frequent_keys(
+    df: DataFrame, key: str, more_than: int = FREQUENT_ROWS
+) -> dict[str | None, int]:
+    """Values of ``key`` with more than ``more_than`` rows -> about how many; usually none.
+
+    Runs a job that reads one column. Each task keeps a sketch of fixed size; sketches are merged
+    in two steps, and only the last one's result reaches the driver. A value can be missed only if
+    it has less than a 3,000th of all rows, so callers use the answer to spread work and never to
+    decide which rows come out.
+    """
+    sketches = (
+        df.select(key)
+        .withColumn("_merger", F.spark_partition_id() % MERGERS)
+        .groupBy("_merger")
+        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {COUNTERS})").alias("sketch"))
+    )
+    # Grouped by a constant, so that an empty frame gives no row instead of an empty sketch.
+    merged = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {COUNTERS})").alias("sketch")
+    )
+    top = merged.select(F.expr(f"approx_top_k_estimate(sketch, {TOP_VALUES})")).first()
+    if top is None:
+        return {}
+    return {entry["item"]: entry["count"] for entry in top[0] if entry["count"] > more_than}

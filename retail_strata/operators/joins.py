@@ -15,10 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Right-hand rows of one key that one task may hold before the key is split.
-ROWS_PER_SPLIT = 2_000_000
-# Most frequent keys looked at, and counters the frequency sketch may keep to find them.
-TOP_KEYS, SKETCH_COUNTERS = 256, 4096
+from retail_strata.operators.frequent import FREQUENT_ROWS, frequent_keys
 
 
 def silver_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -55,7 +52,7 @@ def left_join(
     right: DataFrame,
     key: str,
     keep: Sequence[str],
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_split: int = FREQUENT_ROWS,
 ) -> DataFrame:
     """``left`` left-joined to ``right[key, keep]`` on ``key``, whatever the key frequencies.
 
@@ -66,7 +63,7 @@ def left_join(
     The left rows of a split key have a match in some split, so their unmatched copies are
     dropped; the rows of other keys, and of a NULL key, see a plain left join.
     """
-    splits = frequent_keys(right, key, rows_per_split)
+    splits = _splits(right, key, rows_per_split)
     if not splits:
         return left.join(right.select(key, *keep), key, "left")
 
@@ -86,15 +83,10 @@ def left_join(
     )
 
 
-def frequent_keys(df: DataFrame, key: str, rows_per_split: int) -> dict[str, int]:
-    """Keys of ``df`` with more than ``rows_per_split`` rows -> number of splits; few or none.
-
-    The counts come from a mergeable sketch of fixed size, so only its result is gathered. A key
-    it misses is one among many of like frequency, and is joined unsplit.
-    """
-    top = df.agg(F.expr(f"approx_top_k(`{key}`, {TOP_KEYS}, {SKETCH_COUNTERS})")).first()[0]
+def _splits(right: DataFrame, key: str, rows_per_split: int) -> dict[str, int]:
+    """Number of splits of every frequent key; NULL matches nothing and needs none."""
     return {
-        entry["item"]: math.ceil(entry["count"] / rows_per_split)
-        for entry in top
-        if entry["item"] is not None and entry["count"] > rows_per_split
+        value: math.ceil(rows / rows_per_split)
+        for value, rows in frequent_keys(right, key, rows_per_split).items()
+        if value is not None
     }

@@ -1,12 +1,14 @@
-"""Removal of rows from a published table; nothing is removed unless asked for."""
+"""Removal of rows; nothing is removed unless asked for."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_strata.sinks.tables import publish
-from retail_strata.sources.tables import read_published
+from retail_strata.sinks.tables import publish, write_layer
+from retail_strata.sources.tables import read_layer, read_published
 
 
 def purge_rows(df: DataFrame, predicate: Column) -> DataFrame:
@@ -35,3 +37,18 @@ def purge_published(
     if not dry_run and removed:
         publish(purge_rows(current, predicate), path, version)
     return removed
+
+
+def purge_partition(
+    spark: SparkSession, root: str, table: str, run_date: str | dt.date, dry_run: bool = True
+) -> int:
+    """Number of rows in one dated partition of a layer table; unless ``dry_run``, they are removed.
+
+    The count comes from file footers and no other date is touched. The date stays as an empty
+    partition with its columns.
+    """
+    current = read_layer(spark, root, table, run_date)
+    removed = current.count()
+    if not dry_run and removed:
+        write_layer(spark.createDataFrame([], current.schema), root, table, run_date)
+    return removed

@@ -57,7 +57,8 @@ def run_silver(
 
     Valid orders feed two joins and are no output themselves, so they go to the scratch folder.
     """
-    clean = clean_entities(_read_entities(spark, warehouse, "bronze", run_date, on_missing))
+    bronze = _read_entities(spark, warehouse, "bronze", run_date, on_missing)
+    clean = clean_entities(bronze, shuffle_once="orders" in bronze)
 
     silver: dict[str, DataFrame] = {}
 

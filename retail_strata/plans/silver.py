@@ -17,10 +17,23 @@ ENTITY_RULES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def clean_entities(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Each entity deduplicated, then put through its own rule."""
+# The largest table, and the key of the join that follows its dedupe.
+NEXT_KEYS = {"order_items": "order_id"}
+
+
+def clean_entities(
+    bronze: dict[str, DataFrame], shuffle_once: bool = False
+) -> dict[str, DataFrame]:
+    """Each entity deduplicated, then put through its own rule.
+
+    With ``shuffle_once`` the items are shuffled for their dedupe and their join in one go where
+    no order holds too many of them. Looking for such orders reads a column of ``bronze`` at once,
+    so it is meant for tables that are written, not for plans.
+    """
     return {
-        entity: ENTITY_RULES.get(entity, lambda df: df)(clean_entity(df, entity))
+        entity: ENTITY_RULES.get(entity, lambda df: df)(
+            clean_entity(df, entity, NEXT_KEYS.get(entity) if shuffle_once else None)
+        )
         for entity, df in bronze.items()
     }
 

@@ -43,7 +43,6 @@ def read_partition(
     elif run_id is not None:
         path = f"{path}/run_id={run_id}"
     try:
-        # The folder name gives run_id a string type here even where it looks like a number.
         df = spark.read.option("basePath", f"{root.rstrip('/')}/{table}").parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":

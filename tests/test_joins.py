@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retail_strata import plans
 from retail_strata.operators import attach_customer_key, enrich_with_customer, left_join
-from retail_strata.operators.joins import frequent_keys
+from retail_strata.operators.frequent import frequent_keys
 from tests.helpers import rows
 
 CUSTOMERS = "customer_id string, full_name string, email string, city string, state string"
@@ -158,12 +158,19 @@ def test_split_keys_give_the_plain_left_join(spark, left, right, rows_per_split)
     assert rows(actual) == rows(lefts.join(rights, "k", "left"))
 
 
-def test_only_frequent_keys_are_split(spark):
+def test_frequent_keys(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") < 700, "a").otherwise(F.col("id").cast("string")).alias("k")
     )
-    assert frequent_keys(df, "k", 200) == {"a": 4}
+    assert frequent_keys(df, "k", 200) == {"a": 700}
     assert frequent_keys(df, "k", 700) == {}
+    assert frequent_keys(df.limit(0), "k", 10) == {}
     nulls = spark.range(1000).select(F.lit(None).cast("string").alias("k"))
-    assert frequent_keys(nulls, "k", 10) == {}
-    assert frequent_keys(nulls.limit(0), "k", 10) == {}
+    assert frequent_keys(nulls, "k", 10) == {None: 1000}
+
+
+def test_a_frequent_key_is_found_across_many_tasks(spark):
+    n = 300_000
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    df = spark.range(0, n, 1, 64).select(hot.alias("k"))
+    assert list(frequent_keys(df, "k", n // 10)) == ["hot"]

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from retail_strata import operators as ops
 from retail_strata import plans, sources
+from retail_strata.operators import columns
 from retail_strata.sinks import write_layer
-from tests.helpers import final_plan, plan
+from tests.helpers import final_plan, plan, rows
 
 DAY = "2025-02-07"
 
@@ -127,3 +129,32 @@ def test_distinct_counts_are_grouped_with_the_counted_column_first(silver):
     )
     text = plan(plans.sales_by_city(gold))
     assert re.search(r"hashpartitioning\(city#\d+, state#\d+, order_id#\d+", text)
+
+
+def exchanges(df):
+    return re.findall(r"hashpartitioning\((.*?), \d+\)", plan(df))
+
+
+def test_items_are_shuffled_once_for_dedupe_and_join(spark):
+    orders = spark.range(100).selectExpr("CAST(id AS STRING) AS order_id", "'1' AS customer_id")
+    items = spark.range(1000).selectExpr(
+        "CAST(id % 100 AS STRING) AS order_id", "'2' AS quantity", "CAST(id AS STRING) AS x"
+    )
+    items = items.union(items)
+    once = ops.silver_order_items(ops.clean_entity(items, "order_items", "order_id"), orders)
+    twice = ops.silver_order_items(ops.clean_entity(items, "order_items"), orders)
+    assert len(exchanges(once)) == 2 and len(exchanges(twice)) == 3
+    assert all("," not in keys for keys in exchanges(once))
+    assert rows(once) == rows(twice)
+
+
+@pytest.mark.parametrize("hot", ["'1'", "CAST(NULL AS STRING)"])
+def test_a_frequent_key_keeps_the_dedupe_on_all_columns(spark, monkeypatch, hot):
+    monkeypatch.setattr(columns, "frequent_keys", partial(ops.frequent_keys, more_than=200))
+    items = spark.range(900).selectExpr(
+        f"CASE WHEN id % 3 = 0 THEN {hot} ELSE CAST(id AS STRING) END AS order_id", "CAST(id AS STRING) AS x"
+    )
+    clean = ops.clean_entity(items, "order_items", "order_id")
+    (keys,) = exchanges(clean)
+    assert "order_id" in keys and "x" in keys
+    assert clean.count() == 900

@@ -3,9 +3,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from retail_strata.operators import purge_counts, purge_published, purge_rows
-from retail_strata.sinks import publish
-from retail_strata.sources import read_published
+from retail_strata.operators import purge_counts, purge_partition, purge_published, purge_rows
+from retail_strata.sinks import publish, write_layer
+from retail_strata.sources import read_layer, read_published
 from tests.helpers import rows
 
 
@@ -47,3 +47,15 @@ def test_purging_nothing_publishes_nothing(spark, orders, tmp_path):
     publish(orders, path, "v1")
     assert purge_published(spark, path, F.lit(False), "v2", dry_run=False) == 0
     assert spark.read.parquet(f"{path}/commits").count() == 1
+
+
+def test_purging_a_date_leaves_the_others(spark, orders, tmp_path):
+    root = str(tmp_path)
+    for day in ("2025-02-07", "2025-02-08"):
+        write_layer(orders, root, "refined_orders", day)
+    assert purge_partition(spark, root, "refined_orders", SEVENTH) == 4
+    assert read_layer(spark, root, "refined_orders", SEVENTH).count() == 4
+    assert purge_partition(spark, root, "refined_orders", SEVENTH, dry_run=False) == 4
+    emptied = read_layer(spark, root, "refined_orders", SEVENTH)
+    assert emptied.columns == orders.columns and emptied.count() == 0
+    assert read_layer(spark, root, "refined_orders", "2025-02-08").count() == 4
