@@ -1,4 +1,4 @@
-"""``spark-submit -m``-style entry: run one layer or the whole pipeline for a date."""
+"""Command line: run one layer or the whole pipeline for a date."""
 
 from __future__ import annotations
 
