@@ -17,14 +17,17 @@ read, so extra columns of any name do no harm; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,33 +54,82 @@ def load(path: str):
     return tokenizer
 
 
+#: Words that need no normalising but lower case: printable ASCII, Latin letters with accents.
+_PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017e]+")
+
+
+def _split_pattern(tokenizer) -> str | None:
+    """The pattern of the pieces that the tokenizer merges apart from each other.
+
+    Known for tokenizers that lower the text in NFC, split it by one pattern and map its bytes to
+    letters; for others there is none and every word goes through the whole library.
+    """
+    rule = json.loads(tokenizer.to_str())
+    norm = [x["type"] for x in (rule["normalizer"] or {}).get("normalizers", [])]
+    steps = (rule["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if norm != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+        return None
+    split, to_bytes = steps
+    if not split["invert"] or split["behavior"] != "Removed" or "Regex" not in split["pattern"]:
+        return None
+    return None if to_bytes["add_prefix_space"] or to_bytes["use_regex"] else split["pattern"]["Regex"]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+class Memory(dict):
+    """A bounded memory of what a function makes of its argument; short arguments are kept."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, x):
+        made = self.make(x)
+        if len(x) <= WORD_BYTES:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[x] = made
+        return made
+
+
 class WordEncoder:
-    """Ids of texts, word by word, with a bounded memory of words."""
+    """Ids of texts, word by word, with bounded memories of words and of the pieces they split in."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = load(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: Sequence[bytes]) -> Iterator[bytes]:
+        self.model = self.tokenizer.model
+        pattern = _split_pattern(self.tokenizer)
+        self.split = regex.compile(pattern).findall if pattern else None
+        self.added = [str(t) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        self.words = Memory(self._word)
+        self.pieces = Memory(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if self.split is not None and _PLAIN.fullmatch(text):
+            if not any(t in text for t in self.added):
+                return b"".join(map(self.pieces.__getitem__, self.split(text.lower())))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each UTF-8 text."""
-        known = self.known
+        known = self.words.__getitem__
+        added = [t.encode() for t in self.added]
         for text in texts:
-            if len(known) > REMEMBERED:
-                known.clear()
-            words = text.split()
-            unknown = list(set(words).difference(known))
-            long: dict[bytes, bytes] = {}
-            if unknown:
-                found = self.tokenizer.encode_batch_fast(
-                    [w.decode() for w in unknown], add_special_tokens=False
-                )
-                for word, encoding in zip(unknown, found, strict=True):
-                    ids = np.array(encoding.ids, dtype="<u4").tobytes()
-                    (known if len(word) <= WORD_BYTES else long)[word] = ids
-            if long:
-                yield b"".join(long[w] if w in long else known[w] for w in words)
-            else:
-                yield b"".join(map(known.__getitem__, words))
+            if self.split is not None and not any(t in text for t in added):
+                text = text.lower()  # A to Z, as the tokenizer does itself
+            yield b"".join(map(known, text.split()))
 
 
 @cache

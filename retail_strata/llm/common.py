@@ -174,12 +174,12 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.where("u <> v").select(
             F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
         )
-        down = stage(down.distinct(), "large-star")
+        down = down.distinct()
         root = down.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             down.join(root, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         ).unionByName(root.select("u", F.col("m").alias("v")))
-        edges = stage(small.where("u <> v").distinct(), "small-star")
+        edges = stage(small.where("u <> v").distinct(), "stars")
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == seen:
             break

@@ -49,10 +49,10 @@ from retail_strata.llm.common import (
 
 #: Slots of the signature counts, and counts from which a task reports a slot.
 COUNT_BITS, OFTEN = 22, 8
-#: Signatures of a bucket, and elements of a block of members to compare.
-BUCKET, BLOCK_ELEMENTS = 1 << 20, 200_000
-#: Members that share an element above which they are counted by matrix products.
-DENSE = 24
+#: Signatures of a bucket; elements and members of a block of sets to compare.
+BUCKET, BLOCK_ELEMENTS, BLOCK_MEMBERS = 1 << 20, 200_000, 512
+#: Members of an element from which on they are counted by matrix products.
+DENSE = 6
 #: Partitions tried for a set with few ranges that are not empty; elements differ, so two are rare.
 LEVELS = 16
 
@@ -318,22 +318,27 @@ def compare_members(
     """
     sizes = np.array([len(s) for s in sets])
     m = len(sets)
-    _, element = np.unique(np.concatenate(sets), return_inverse=True)
-    member = np.repeat(np.arange(m), sizes)
-    order = np.argsort(element, kind="stable")
-    element, member = element[order], member[order]
-    first = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
-    times = np.diff([*first, len(element)])
+    elements = np.concatenate(sets)
+    order = np.argsort(elements, kind="stable")
+    elements, member = elements[order], np.repeat(np.arange(m), sizes)[order]
+    first = np.flatnonzero(np.concatenate([[True], elements[1:] != elements[:-1]]))
+    times = np.diff([*first, len(elements)])
     common = np.zeros((m, m), dtype=np.float32)
-    for f, t in zip(first[(times > 1) & (times <= DENSE)], times[(times > 1) & (times <= DENSE)], strict=True):
-        who = member[f : f + t]
-        common[np.ix_(who, who)] += 1
-    dense = np.flatnonzero(times > DENSE)
-    for c in range(0, len(dense), 1024):
-        some = dense[c : c + 1024]
+    for t in range(2, DENSE):  # elements of few members: count their pairs
+        who = member[first[times == t][:, None] + np.arange(t)]
+        for j in range(1, t):
+            for i in range(j):  # members are in order, so i < j
+                pairs = np.bincount(who[:, i] * m + who[:, j], minlength=m * m)
+                common += pairs.reshape(m, m)
+    often = np.flatnonzero(times >= DENSE)
+    for c in range(0, len(often), 2048):
+        some = often[c : c + 2048]
+        column = np.repeat(np.arange(len(some)), times[some])
+        place = np.repeat(first[some], times[some]) + (
+            np.arange(len(column)) - np.repeat(np.cumsum(times[some]) - times[some], times[some])
+        )
         table = np.zeros((m, len(some)), dtype=np.float32)
-        for k, g in enumerate(some):
-            table[member[first[g] : first[g] + times[g]], k] = 1
+        table[member[place], column] = 1
         common += table @ table.T
     total = sizes[:, None] + sizes[None, :] - common
     linked = 100 * common >= threshold * total
@@ -364,38 +369,69 @@ def forest(pairs: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def verify_groups(
-    members: DataFrame, roots: DataFrame, sets: DataFrame, threshold: int
-) -> DataFrame:
-    """Links ``(u, v)`` between components, among members of groups that hold several components.
+def open_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(group, key, root, n)``: sets still to be compared, in groups with several components.
 
-    A group's members are dealt to blocks by the sizes of their sets; every two blocks (and every
-    block by itself) are one task's work, and no pair of members becomes a row.
+    The groups are those of the signatures, or, where that is less to send around, the sets that
+    such signatures connect, once for all of them. Either way a group holds every pair of sets that
+    share a signature and lie in different components.
     """
-    rooted = (
+    rooted = stage(
         members.where("size > 2")
         .join(roots.withColumnRenamed("node", "key"), "key", "left")
-        .withColumn("root", F.coalesce("root", "key"))
+        .withColumn("root", F.coalesce("root", "key")),
+        "rooted",
     )
-    open_groups = (
+    parted = (
         rooted.groupBy("sig")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("n").alias("elements"))
         .where("low <> high")
-        .select("sig", F.ceil(F.col("elements") / BLOCK_ELEMENTS).cast("int").alias("parts"))
+        .select("sig", "elements")
+    )
+    unsettled = stage(rooted.join(parted, "sig"), "unsettled")
+    near = components(
+        unsettled.where("key <> least").select(F.col("least").alias("u"), F.col("key").alias("v"))
+    ).select(F.col("node").alias("key"), F.col("root").alias("near"))
+    sent = F.col("elements") * F.ceil(F.col("elements") / BLOCK_ELEMENTS)
+    by_sig = (
+        unsettled.where("key = least")
+        .join(near, "key")
+        .groupBy("near")
+        .agg(F.sum(sent).alias("by_sig"))
+    )
+    sets = unsettled.select("key", "root", "n").distinct().join(near, "key")
+    together = sets.groupBy("near").agg(F.sum("n").alias("elements"))
+    choice = together.join(by_sig, "near").select("near", (sent <= F.col("by_sig")).alias("merge"))
+    choice = stage(choice, "choice")
+    merged = sets.join(choice.where("merge"), "near").select(
+        F.col("near").alias("group"), "key", "root", "n"
+    )
+    apart = (
+        unsettled.where("key <> least")  # compared with every member already
+        .join(near, "key")
+        .join(choice.where("not merge"), "near")
+        .select(F.col("sig").alias("group"), "key", "root", "n")
+    )
+    return merged.unionByName(apart)
+
+
+def verify_groups(groups: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links ``(u, v)`` between components, among the members of groups.
+
+    A group's members are dealt to blocks by the sizes of their sets; every two blocks (and every
+    block by itself) are one task's work, and no pair of members becomes a row.
+    """
+    parts = groups.groupBy("group").agg(
+        F.greatest(
+            F.ceil(F.sum("n") / BLOCK_ELEMENTS), F.ceil(F.count("*") / BLOCK_MEMBERS)
+        ).cast("int").alias("parts")
     )
     dealt = (
-        rooted.where("key <> least")  # compared with every member already
-        .join(open_groups, "sig")
-        .select(
-            "sig",
-            "key",
-            "root",
-            "parts",
-            F.pmod(F.xxhash64("key", F.lit(1)), F.col("parts")).cast("int").alias("own"),
-        )
+        groups.join(parts, "group")
+        .withColumn("own", F.pmod(F.xxhash64("key", F.lit(1)), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
-            "sig",
+            "group",
             "key",
             "root",
             F.least("own", "other").alias("a"),
@@ -413,7 +449,8 @@ def verify_groups(
         u, v = zip(*links, strict=True) if links else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return dealt.join(sets, "key").groupBy("sig", "a", "b").applyInArrow(compared, "u bigint, v bigint")
+    joined = dealt.join(sets, "key")
+    return joined.groupBy("group", "a", "b").applyInArrow(compared, "u bigint, v bigint")
 
 
 def jaccard_components(
@@ -435,7 +472,8 @@ def jaccard_components(
     )
     links = stage(verify_pairs(stars.distinct(), sets, threshold), "links")
     roots = components(links)
-    more = stage(verify_groups(members, roots, sets, threshold), "links-across")
+    groups = stage(open_groups(members, roots), "groups")
+    more = stage(verify_groups(groups, sets, threshold), "links-across")
     roots = components(links.unionByName(more))
     named = (
         rows.where("key is not null").groupBy("key").agg(F.min("id").alias("least_id"))

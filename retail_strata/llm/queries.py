@@ -7,9 +7,21 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retail_strata.llm import bitpack, bpe, partenum
+from retail_strata.llm import (
+    ann_tree,
+    bitpack,
+    bpe,
+    decontaminate,
+    html_text,
+    partenum,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from retail_strata.llm.common import read_table, ship
+from retail_strata.llm.token_rollup import TokenRollup
 from retail_strata.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +29,8 @@ QUERIES: dict[str, Query] = {}
 TOKENIZER = "word_bpe_49k.json"
 #: Id that op10 appends to every document.
 END_ID = 2
+#: Time that op4's responses are dated, as the pages have none.
+FETCHED = "2025-01-01T00:00:00Z"
 
 
 def query(function: Query) -> Query:
@@ -29,22 +43,102 @@ def query(function: Query) -> Query:
     return shipped
 
 
+@query
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        read_table(spark, sf_dir, "documents"),
+        "doc_id",
+        "text",
+        read_table(spark, sf_dir, "benchmark"),
+        "item_id",
+        "text",
+    )
+
+
+@query
+def op2_token_count_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load two tokenizers' counts, revise one, delete rows of low quality, repeat a batch."""
+    documents = read_table(spark, sf_dir, "documents")
+    low = read_table(spark, sf_dir, "labels").where("quality = 0").select("doc_id").distinct()
+
+    def changes(op: str, rows: DataFrame, tokenizer: str, pattern: str | None) -> DataFrame:
+        count = F.lit(None) if pattern is None else F.regexp_count("text", F.lit(pattern))
+        return rows.select(
+            F.lit(op).alias("op"),
+            F.lit(0).cast("bigint").alias("seq"),
+            "doc_id",
+            "source",
+            "lang",
+            F.lit(tokenizer).alias("tokenizer"),
+            count.cast("bigint").alias("n_tokens"),
+        )
+
+    rollup = TokenRollup(spark, scratch_path(spark, "llm-token-rollup"))
+    load = changes("insert", documents, "words-1", r"[^ \t\n\x0b\f\r]+").unionByName(
+        changes("insert", documents, "pieces-2", r"[A-Za-z]+|[0-9]|[^ \t\n\x0b\f\rA-Za-z0-9]")
+    )
+    english = documents.where("lang = 'en'")
+    revised = changes("revise", english, "words-1", r"[^ \t\n\x0b\f\r]*[A-Za-z][^ \t\n\x0b\f\r]*")
+    gone = documents.join(low, "doc_id", "left_semi")
+    removed = changes("delete", gone, "words-1", None).unionByName(
+        changes("delete", gone, "pieces-2", None)
+    )
+    rollup.apply("load", load)
+    rollup.apply("revise", revised)
+    rollup.apply("remove", removed)
+    rollup.apply("revise", revised)  # comes again, and changes nothing
+    return rollup.totals()
+
+
 @query
 def op3_bpe_tree_concatenation(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return bpe.digests(documents, "doc_id", "text", public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = warc.responses_of_pages(read_table(spark, sf_dir, "pages"), FETCHED)
+    records = warc.build_derivatives(
+        responses, "page_id", "record_id", "target_uri", "warc_date", "http_head", "payload"
+    )
+    return records.withColumn("head_md5", F.md5("head")).drop("head", "block")
+
+
+@query
+def op5_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = read_table(spark, sf_dir, "embeddings")
+    return ann_tree.nearest(embeddings, "vec_id", "embedding", lambda vec_id: vec_id % 20 == 0)
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    repeats = substring_dedup.find_repeats(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return repeats.drop("text_key")
+
+
+@query
+def op7_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read_table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
 @query
 def op8_ngram_jaccard_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(read_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query
-def op10_token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op9_toxicity_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels")
+    scorer = toxicity.train(documents, "doc_id", "text", labels, "doc_id", "toxic")
+    return toxicity.score(documents, "doc_id", "text", scorer)
+
+
+@query
+def op10_token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = bitpack.pack_documents(
-        documents,
+        read_table(spark, sf_dir, "documents"),
         "doc_id",
         "text",
         public_tokenizers.path(TOKENIZER),
@@ -52,4 +146,65 @@ def op10_token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         END_ID,
     )
     return bitpack.read_documents(shards, "doc_id")
-ORACLE_SQL: dict[str, str] = {}
+
+
+# A unit is a stretch up to and with its sentence marks and line breaks, as in the operator.
+_UNITS = r"""
+    units as (
+        select doc_id, text, unnest(regexp_extract_all(text, '[^\n.!?]+[\n.!?]*|[\n.!?]+')) as raw,
+            generate_subscripts(regexp_extract_all(text, '[^\n.!?]+[\n.!?]*|[\n.!?]+'), 1) as place
+        from documents where text is not null
+    ),
+    placed as (
+        select *, sum(length(raw)) over (partition by doc_id order by place) as stop,
+            trim(regexp_replace(lower(raw), '\s+', ' ', 'g')) as unit
+        from units
+    ),
+    worded as (
+        select doc_id, unit, stop, stop - length(raw) as start,
+            len(string_split(unit, ' ')) as words,
+            row_number() over (partition by doc_id order by place) as n
+        from placed where unit <> ''
+    ),
+    ranked as (
+        select *, min(doc_id) over (partition by unit) as kept_id,
+            row_number() over (partition by unit order by doc_id, n) as occurrence
+        from worded
+    ),
+    repeats as (
+        select *, n - row_number() over (partition by doc_id order by n) as run
+        from ranked where occurrence > 1
+    ),
+    passages as (
+        select doc_id, min(start) as start, max(stop) as stop, count(*) as units,
+            sum(words) as words, arg_min(kept_id, n) as kept_id
+        from repeats group by doc_id, run having sum(words) >= 20
+    )
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_token_count_rollup": r"""
+        with counted as (
+            select doc_id, source, lang,
+                len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')) as words,
+                len(regexp_extract_all(coalesce(text, ''),
+                    '[^ \t\n\x0b\f\r]*[A-Za-z][^ \t\n\x0b\f\r]*')) as letters,
+                len(regexp_extract_all(coalesce(text, ''),
+                    '[A-Za-z]+|[0-9]|[^ \t\n\x0b\f\rA-Za-z0-9]')) as pieces
+            from documents
+            where doc_id not in (select doc_id from labels where quality = 0)
+        )
+        select source, lang, 'words-1' as tokenizer, count(*) as n_docs,
+            cast(sum(case when lang = 'en' then letters else words end) as bigint) as n_tokens
+        from counted group by source, lang
+        union all
+        select source, lang, 'pieces-2', count(*), cast(sum(pieces) as bigint)
+        from counted group by source, lang
+    """,
+    "op6_substring_dedup": f"""
+        with {_UNITS}
+        select doc_id, start, cast(stop as bigint) as "end", units,
+            cast(words as bigint) as words, kept_id
+        from passages
+    """,
+}
