@@ -17,8 +17,9 @@ A document's set holds its distinct word shingles as 64-bit hashes. Two sets lin
 
 Sets that share a signature are compared with the least of them first (a star, linear in the
 group). Where the components of these links still part a group, its other members are compared
-across components, block by block within tasks. Copies are one set throughout, and components
-are found by distributed steps, so neither a large group nor a large component meets in one task.
+across components: in a group of few as pairs, in a larger one block by block within tasks.
+Copies are one set throughout, and components are found by distributed steps, so neither a large
+group nor a large component meets in one task.
 
 Null texts, empty texts and texts of white space have the empty set and link with nothing; fewer
 words than a shingle make one shingle of the whole sequence. Rows are reported as often as they
@@ -55,6 +56,12 @@ BUCKET, BLOCK_ELEMENTS, BLOCK_MEMBERS = 1 << 20, 200_000, 512
 DENSE = 6
 #: Partitions tried for a set with few ranges that are not empty; elements differ, so two are rare.
 LEVELS = 16
+#: Members up to which the pairs of a group, across components, are candidates one by one.
+SMALL = 32
+#: Elements of a set up to which their first 16 bits stand for them in a first comparison, else 32.
+SHORT = 1024
+
+_MEMBERS = "sig bigint, key bigint, n bigint, least bigint, least_n bigint, size bigint"
 
 
 def document_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -181,10 +188,10 @@ def slot_counts(counted: DataFrame) -> np.ndarray:
 def group_members(
     docs: DataFrame, width: int, threshold: int, often: np.ndarray, buckets: int
 ) -> DataFrame:
-    """``(sig, key, n, least, size)``: members of every signature that two sets or more share.
+    """``(sig, key, n, least, least_n, size)``: members of the signatures that sets share.
 
     A map task sends each bucket one packed row for all its signatures; a bucket's rows are sorted
-    with numpy. ``least`` is the least key of the group.
+    with numpy. ``least`` is the least key of the group, ``least_n`` the size of its set.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(often)
@@ -252,6 +259,7 @@ def group_members(
                 "key": as_long(key[keep]),
                 "n": as_long(n[keep]),
                 "least": as_long(least[keep]),
+                "least_n": as_long(np.repeat(n[first], size)[keep]),
                 "size": pa.array(each[keep], pa.int64()),
             }
         )
@@ -260,53 +268,148 @@ def group_members(
         docs.select("text")
         .mapInArrow(dealt, "bucket int, packed binary")
         .groupBy("bucket")
-        .applyInArrow(grouped, "sig bigint, key bigint, n bigint, least bigint, size bigint")
+        .applyInArrow(grouped, _MEMBERS)
     )
 
 
-def sets_of(docs: DataFrame, keys: DataFrame, width: int) -> DataFrame:
-    """``(key, elements)`` of the sets with the given keys, packed."""
-    wanted = docs.sparkSession.sparkContext.broadcast(HashFilter.of(keys, "key"))
+def shortened(elements: np.ndarray) -> np.ndarray:
+    """The elements' leading bits, in order."""
+    if len(elements) <= SHORT:
+        return (elements >> U64(48)).astype(np.uint16)
+    return (elements >> U64(32)).astype(np.uint32)
+
+
+def sets_of(docs: DataFrame, rows: DataFrame, keys: DataFrame, width: int) -> DataFrame:
+    """``(key, elements)`` of the sets with the given keys, packed.
+
+    A set is taken from the row with the least id that has it, and once by a task. The bitmaps that
+    find these rows may let a copy pass, which repeats a set and changes no link.
+    """
+    context = docs.sparkSession.sparkContext
+    first = (
+        rows.join(keys, "key")
+        .groupBy("key")
+        .agg(F.min("id").alias("id"))
+        .select(F.xxhash64("id").alias("id"))
+    )
+    wanted = context.broadcast((HashFilter.of(keys, "key"), HashFilter.of(first, "id")))
 
     def found(batches):
+        by_key, by_id = wanted.value
+        sent: set[int] = set()
         for batch in batches:
+            named = by_id.has(batch["id"].to_numpy().view(U64))
             sets: dict[int, bytes] = {}
-            for elements in document_sets(batch["text"], width):
-                if len(elements):
+            for row, elements in enumerate(document_sets(batch["text"], width)):
+                if named[row] and len(elements):
                     key = set_key(elements)
-                    if wanted.value.has(np.array([key]).view(U64))[0]:
+                    if key not in sent and by_key.has(np.array([key]).view(U64))[0]:
                         sets[key] = elements.tobytes()
+                        sent.add(key)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.binary())],
                 ["key", "elements"],
             )
 
-    return (
-        docs.select("text")
-        .mapInArrow(found, "key bigint, elements binary")
-        .join(keys, "key", "left_semi")
-        .groupBy("key")
-        .agg(F.first("elements").alias("elements"))
+    return docs.select(F.xxhash64("id").alias("id"), "text").mapInArrow(
+        found, "key bigint, elements binary"
     )
 
 
+def short_sets(sets: DataFrame) -> DataFrame:
+    """``(key, short)``: the shortened elements of every set, packed."""
+
+    def cut(batches):
+        for batch in batches:
+            every = (np.frombuffer(x, dtype=U64) for x in batch["elements"].to_pylist())
+            short = pa.array([shortened(x).tobytes() for x in every], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["key"], short], ["key", "short"])
+
+    return sets.mapInArrow(cut, "key bigint, short binary")
+
+
+def alike(a, b, threshold: int):
+    """Whether sets of two sizes can link at all."""
+    return (100 * F.least(a, b)) >= (threshold * F.greatest(a, b))
+
+
+def star_pairs(members: DataFrame, threshold: int) -> DataFrame:
+    """``(u, v, m, n)``: the least set of each group with every other, and their sizes."""
+    pairs = members.where(F.col("key") != F.col("least")).where(
+        alike(F.col("n"), F.col("least_n"), threshold)
+    )
+    return pairs.select(
+        F.col("least").alias("u"), F.col("key").alias("v"), F.col("least_n").alias("m"), "n"
+    ).distinct()
+
+
+def small_group_pairs(rooted: DataFrame, threshold: int) -> DataFrame:
+    """Pairs across components of groups with ``SMALL`` members at most, the least sets left out.
+
+    Signatures with the very same members count as one.
+    """
+    small = rooted.where(F.col("size") <= SMALL)
+    of_sig = small.groupBy("sig").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.bit_xor(F.xxhash64("key")).alias("members"),
+        F.sum(F.xxhash64("key", F.lit(2)) % (1 << 40)).alias("more"),
+    )
+    once = of_sig.where("low <> high").groupBy("members", "more").agg(F.min("sig").alias("sig"))
+    some = small.where("key <> least").join(once.select("sig"), "sig")
+    left = some.select(
+        "sig", F.col("key").alias("u"), F.col("root").alias("ru"), F.col("n").alias("m")
+    )
+    right = some.select("sig", F.col("key").alias("v"), F.col("root").alias("rv"), "n")
+    pairs = left.join(right, "sig").where("u < v and ru <> rv")
+    return pairs.where(alike(F.col("m"), F.col("n"), threshold)).select("u", "v", "m", "n").distinct()
+
+
 def verify_pairs(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs ``(u, v)`` that link."""
+    """The pairs ``(u, v)`` that link.
+
+    The elements' leading bits bound what a pair can share, and settle most pairs that do not link;
+    the others are compared in full.
+    """
+
+    def within(x: np.ndarray, y: np.ndarray) -> int:
+        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+        return int((y[at] == x).sum())
+
+    def possible(batches):
+        for batch in batches:
+            keep = []
+            for x, y, m, n in zip(
+                *(batch[c].to_pylist() for c in ("x", "y", "m", "n")), strict=True
+            ):
+                x = np.frombuffer(x, dtype=np.uint16 if m <= SHORT else np.uint32)
+                y = np.frombuffer(y, dtype=np.uint16 if n <= SHORT else np.uint32)
+                if x.dtype != y.dtype:  # compare what both have
+                    x, y = ((z >> 16).astype(np.uint16) if z.dtype == np.uint32 else z for z in (x, y))
+                most = min(within(x, y), within(y, x))
+                keep.append(100 * most >= threshold * (m + n - most))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     def linked(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
                 x, y = np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                both = within(x, y)
                 keep.append(100 * both >= threshold * (len(x) + len(y) - both))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("key").alias("u"), F.col("elements").alias("x"))
-    right = sets.select(F.col("key").alias("v"), F.col("elements").alias("y"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(
-        linked, "u bigint, v bigint"
-    )
+    def beside(some: DataFrame, held: DataFrame, column: str, *carried: str) -> DataFrame:
+        left = held.select(F.col("key").alias("u"), F.col(column).alias("x"))
+        right = held.select(F.col("key").alias("v"), F.col(column).alias("y"))
+        return some.join(left, "u").join(right, "v").select("u", "v", "x", "y", *carried)
+
+    short = beside(pairs, short_sets(sets), "short", "m", "n")
+    some = short.mapInArrow(possible, "u bigint, v bigint")
+    some = stage(some.distinct(), "possible-links")
+    ends = some.select(F.col("u").alias("key")).union(some.select("v")).distinct()
+    held = sets.join(ends, "key", "left_semi")
+    return beside(some, held, "elements").mapInArrow(linked, "u bigint, v bigint").distinct()
 
 
 def compare_members(
@@ -369,26 +472,21 @@ def forest(pairs: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def open_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``(group, key, root, n)``: sets still to be compared, in groups with several components.
+def open_groups(rooted: DataFrame) -> DataFrame:
+    """``(group, key, root, n)``: members of larger groups that several components share.
 
     The groups are those of the signatures, or, where that is less to send around, the sets that
     such signatures connect, once for all of them. Either way a group holds every pair of sets that
     share a signature and lie in different components.
     """
-    rooted = stage(
-        members.where("size > 2")
-        .join(roots.withColumnRenamed("node", "key"), "key", "left")
-        .withColumn("root", F.coalesce("root", "key")),
-        "rooted",
-    )
+    large = rooted.where(F.col("size") > SMALL)
     parted = (
-        rooted.groupBy("sig")
+        large.groupBy("sig")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("n").alias("elements"))
         .where("low <> high")
         .select("sig", "elements")
     )
-    unsettled = stage(rooted.join(parted, "sig"), "unsettled")
+    unsettled = stage(large.join(parted, "sig"), "unsettled")
     near = components(
         unsettled.where("key <> least").select(F.col("least").alias("u"), F.col("key").alias("v"))
     ).select(F.col("node").alias("key"), F.col("root").alias("near"))
@@ -466,15 +564,19 @@ def jaccard_components(
         group_members(docs, width, threshold, often, max(1, total // BUCKET)), "members"
     )
     keys = stage(members.select("key").distinct(), "keys")
-    sets = stage(sets_of(docs, keys, width), "sets")
-    stars = members.where("key <> least").select(
-        F.col("least").alias("u"), F.col("key").alias("v")
+    sets = stage(sets_of(docs, rows, keys, width), "sets")
+    links = stage(verify_pairs(star_pairs(members, threshold), sets, threshold), "links")
+    roots = components(links).withColumnRenamed("node", "key")
+    rooted = stage(
+        members.where("size > 2")
+        .join(roots, "key", "left")
+        .withColumn("root", F.coalesce("root", "key")),
+        "rooted",
     )
-    links = stage(verify_pairs(stars.distinct(), sets, threshold), "links")
-    roots = components(links)
-    groups = stage(open_groups(members, roots), "groups")
-    more = stage(verify_groups(groups, sets, threshold), "links-across")
-    roots = components(links.unionByName(more))
+    small = stage(verify_pairs(small_group_pairs(rooted, threshold), sets, threshold), "links-small")
+    groups = stage(open_groups(rooted), "groups")
+    large = stage(verify_groups(groups, sets, threshold), "links-large")
+    roots = components(links.unionByName(small).unionByName(large))
     named = (
         rows.where("key is not null").groupBy("key").agg(F.min("id").alias("least_id"))
     ).join(roots.withColumnRenamed("node", "key"), "key", "left")
