@@ -37,6 +37,7 @@ BLOCK, SHARD = 4096, 1 << 20
 #: Documents that a range of keys holds, and the most ranges there are (their totals are broadcast).
 RANGE_ROWS, MAX_RANGES = 2000, 10_000
 
+PACKED = "range int, n bigint, packed binary"
 _SHARDS = "range int, seq int, before bigint, docs bigint, ids bigint, data binary"
 
 
@@ -126,37 +127,34 @@ def range_bounds(df: DataFrame, key: str) -> np.ndarray:
     return np.unique(keys.approxQuantile("key", marks, 0.1 / ranges) if marks else [])
 
 
-def write_shards(
-    encoded: DataFrame,
-    path: str,
-    vocabulary: int,
-    bounds: np.ndarray,
-    key: str = "key",
-    end_id: int | None = None,
-) -> None:
-    """Write ``(key, ids)`` rows, ids as little-endian 32-bit integers, as shards in key order.
-
-    Keys are dealt to the ranges between ``bounds``; a task streams through its ranges and closes
-    a shard whenever it is full, so the size of a range does not matter to memory.
-    """
-    width = width_of(vocabulary)
+def pack_rows(bounds: np.ndarray, width: int, end_id: int | None) -> bpe.Finish:
+    """Makes ``PACKED`` rows of keys and ids: the range of the key, and the ids with their end."""
     end = np.array([] if end_id is None else [end_id], dtype="<u4").tobytes()
 
-    def packed(batches):
-        for batch in batches:
-            null = batch["key"].is_null().to_numpy(zero_copy_only=False)
-            values = batch["key"].cast(pa.int64()).fill_null(0).to_numpy()
-            at = np.where(null, -1, np.searchsorted(bounds, values, side="right"))
-            ids = [np.frombuffer(x + end, dtype="<u4") for x in batch["ids"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(at, pa.int32()),
-                    batch["key"].cast(pa.int64()),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([pack(x, width) for x in ids], pa.binary()),
-                ],
-                ["range", "key", "n", "packed"],
-            )
+    def packed(keys: pa.Array, ids: list[bytes]) -> pa.RecordBatch:
+        null = keys.is_null().to_numpy(zero_copy_only=False)
+        values = keys.cast(pa.int64()).fill_null(0).to_numpy()
+        at = np.where(null, -1, np.searchsorted(bounds, values, side="right"))
+        every = [np.frombuffer(x + end, dtype="<u4") for x in ids]
+        return pa.RecordBatch.from_arrays(
+            [
+                keys,
+                pa.array(at, pa.int32()),
+                pa.array([len(x) for x in every], pa.int64()),
+                pa.array([pack(x, width) for x in every], pa.binary()),
+            ],
+            ["key", "range", "n", "packed"],
+        )
+
+    return packed
+
+
+def write_shards(packed: DataFrame, path: str, width: int) -> None:
+    """Write ``key`` and ``PACKED`` rows as shards in key order.
+
+    A task streams through the ranges it is dealt and closes a shard whenever it is full, so the
+    size of a range does not matter to memory.
+    """
 
     def sharded(batches):
         state = {"range": None, "seq": 0, "before": 0}
@@ -194,8 +192,7 @@ def write_shards(
         yield from close()
 
     (
-        encoded.select(F.col(key).alias("key"), "ids")
-        .mapInArrow(packed, "range int, key bigint, n bigint, packed binary")
+        packed.select("range", F.col("key").cast("bigint").alias("key"), "n", "packed")
         .repartition("range")
         .sortWithinPartitions("range", "key", "n", "packed")
         .mapInArrow(sharded, _SHARDS)
@@ -248,6 +245,8 @@ def pack_documents(
 ) -> DataFrame:
     """Encode whole texts, append ``end_id``, write the shards to ``path`` and open them."""
     vocabulary = bpe.load(tokenizer_path).get_vocab_size(with_added_tokens=True)
-    encoded = bpe.encode(df, key, text, tokenizer_path)
-    write_shards(encoded, path, vocabulary, range_bounds(df, key), end_id=end_id)
+    width = width_of(vocabulary)
+    finish = pack_rows(range_bounds(df, key), width, end_id)
+    packed = bpe.encode(df, key, text, tokenizer_path, finish=finish, columns=PACKED)
+    write_shards(packed, path, width)
     return read_shards(df.sparkSession, path)

@@ -21,7 +21,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -36,7 +36,7 @@ LEAF = 32_768
 #: Tokens on each side of a join in the first window, and tokens that must agree.
 WINDOW, AGREE = 16, 4
 #: Words a worker remembers, and the longest such word in bytes.
-REMEMBERED, WORD_BYTES = 400_000, 64
+REMEMBERED, WORD_BYTES = 250_000, 64
 
 _WHITE = re.compile(r"[\t-\r ]")
 _RUNS = re.compile(r"[^\t-\r ]+")
@@ -293,8 +293,16 @@ _RUN = pa.struct(
 _RUN_SQL = "struct<text:string,ids:array<bigint>,starts:array<bigint>,ends:array<bigint>>"
 
 
-def encode_long(docs: DataFrame, path: str, leaf: int) -> DataFrame:
-    """``(key, ids)`` of long texts ``(row, key, text)``: leaves in parallel, then the tree."""
+#: Makes rows of keys and the ids of their texts.
+Finish = Callable[[pa.Array, list[bytes]], pa.RecordBatch]
+
+
+def keys_and_ids(keys: pa.Array, ids: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.binary())], ["key", "ids"])
+
+
+def encode_long(docs: DataFrame, path: str, leaf: int, finish: Finish, schema: str) -> DataFrame:
+    """What ``finish`` makes of long texts ``(row, key, text)``: leaves in parallel, then the tree."""
     kind = docs.schema["key"].dataType.simpleString()
 
     def leaves(batches):
@@ -339,7 +347,7 @@ def encode_long(docs: DataFrame, path: str, leaf: int) -> DataFrame:
         for x in rows:
             x |= {k: Run(**x[k]) if x[k] is not None else None for k in ("head", "tail")}
         ids = concatenate(load(path), rows)
-        return pa.table({"key": table["key"].slice(0, 1), "ids": pa.array([ids], pa.binary())})
+        return pa.Table.from_batches([finish(table["key"].combine_chunks().slice(0, 1), [ids])])
 
     return (
         docs.mapInArrow(
@@ -353,29 +361,39 @@ def encode_long(docs: DataFrame, path: str, leaf: int) -> DataFrame:
             f" ids binary, tail {_RUN_SQL}",
         )
         .groupBy("row")
-        .applyInArrow(merged, f"key {kind}, ids binary")
+        .applyInArrow(merged, schema)
     )
 
 
-def encode(df: DataFrame, key: str, text: str, path: str, leaf: int = LEAF) -> DataFrame:
+def encode(
+    df: DataFrame,
+    key: str,
+    text: str,
+    path: str,
+    leaf: int = LEAF,
+    finish: Finish = keys_and_ids,
+    columns: str = "ids binary",
+) -> DataFrame:
     """``(key, ids)`` for every row: ids as little-endian unsigned 32-bit integers.
 
     Texts of one leaf are encoded where they are read; only longer ones are cut and shuffled.
+    ``finish`` may make something else of the ids in the same task: ``key`` and ``columns``.
     """
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     is_long = F.coalesce(F.length("text") > leaf, F.lit(False))
-    kind = rows.schema["key"].dataType.simpleString()
+    schema = f"key {rows.schema['key'].dataType.simpleString()}, {columns}"
 
     def whole(batches):
         encoder = word_encoder(path)
         for batch in batches:
-            texts = batch["text"].cast(pa.large_binary()).fill_null(b"").to_pylist()
-            ids = pa.array(encoder.encode(texts), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["key"], ids], ["key", "ids"])
+            for first in range(0, batch.num_rows, 512):
+                part = batch.slice(first, 512)
+                texts = part["text"].cast(pa.large_binary()).fill_null(b"").to_pylist()
+                yield finish(part["key"], list(encoder.encode(texts)))
 
-    short = rows.where(~is_long).mapInArrow(whole, f"key {kind}, ids binary")
+    short = rows.where(~is_long).mapInArrow(whole, schema)
     long = rows.where(is_long).select(F.monotonically_increasing_id().alias("row"), "key", "text")
-    return short.unionByName(encode_long(long, path, leaf))
+    return short.unionByName(encode_long(long, path, leaf, finish, schema))
 
 
 def decode(tokenizer, ids: bytes) -> str:
@@ -385,25 +403,26 @@ def decode(tokenizer, ids: bytes) -> str:
 
 def digests(df: DataFrame, key: str, text: str, path: str, leaf: int = LEAF) -> DataFrame:
     """``(key, n_tokens, ids_sha256, decoded_sha256)`` of every row's tokens and decoded text."""
-    encoded = encode(df, key, text, path, leaf)
-    kind = encoded.schema["key"].dataType.simpleString()
 
-    def hashed(batches):
-        tokenizer = load(path)
-        decimal = {i: str(i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True))}
-        for batch in batches:
-            n, ids_hex, text_hex = [], [], []
-            for packed in batch["ids"].to_pylist():
-                ids = np.frombuffer(packed, dtype="<u4").tolist()
-                written = " ".join(map(decimal.__getitem__, ids))
-                n.append(len(ids))
-                ids_hex.append(hashlib.sha256(written.encode()).hexdigest())
-                text_hex.append(hashlib.sha256(decode(tokenizer, packed).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch["key"], pa.array(n, pa.int64()), pa.array(ids_hex), pa.array(text_hex)],
-                ["key", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+    def hashed(keys: pa.Array, packed: list[bytes]) -> pa.RecordBatch:
+        tokenizer, decimal = load(path), decimals(path)
+        n, ids_hex, text_hex = [], [], []
+        for data in packed:
+            ids = np.frombuffer(data, dtype="<u4").tolist()
+            written = " ".join(map(decimal.__getitem__, ids))
+            n.append(len(ids))
+            ids_hex.append(hashlib.sha256(written.encode()).hexdigest())
+            text_hex.append(hashlib.sha256(decode(tokenizer, data).encode()).hexdigest())
+        return pa.RecordBatch.from_arrays(
+            [keys, pa.array(n, pa.int64()), pa.array(ids_hex), pa.array(text_hex)],
+            ["key", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+    columns = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return encode(df, key, text, path, leaf, hashed, columns).withColumnRenamed("key", key)
 
-    return encoded.mapInArrow(
-        hashed, f"key {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    ).withColumnRenamed("key", key)
+
+@cache
+def decimals(path: str) -> list[str]:
+    """Every id of the vocabulary as text."""
+    return [str(i) for i in range(load(path).get_vocab_size(with_added_tokens=True))]
