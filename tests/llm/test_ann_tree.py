@@ -1,0 +1,92 @@
+"""Nearest neighbours against brute force."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from retail_strata.llm import ann_tree as a
+
+VECTORS = "vec_id bigint, embedding array<float>, key string, leaf int, query string"
+
+
+def run(spark, rows, k=20):
+    df = spark.createDataFrame([(i, v, "x", 1, "y") for i, v in rows], VECTORS)
+    return a.nearest(df, "vec_id", "embedding", lambda v: v % 20 == 0, k).collect()
+
+
+def brute(rows, k=20):
+    good = {}
+    for i, v in rows:
+        if i is not None and v is not None and len(v) == 8 and None not in v:
+            x = np.array(v, dtype=np.float32).astype(np.float64)
+            if np.isfinite(x).all() and x.any():
+                good[i] = x
+    ids = np.array(sorted(good), dtype=np.int64)
+    out = {}
+    for q in ids[ids % 20 == 0]:
+        scores = np.array([good[i] @ good[q] for i in ids])
+        order = [j for j in np.lexsort((ids, -scores)) if ids[j] != q][:k]
+        out[int(q)] = [(int(ids[j]), scores[j]) for j in order]
+    return out
+
+
+@pytest.fixture
+def small_leaves(monkeypatch):
+    monkeypatch.setattr(a, "LEAF_POINTS", 40)
+    monkeypatch.setattr(a, "BLOCK", 64)
+
+
+def test_recall_ranks_and_scores(spark, small_leaves):
+    rng = np.random.default_rng(2)
+    middles = rng.normal(size=(12, 8)) * 2
+    points = middles[rng.integers(0, 12, 1500)] + rng.normal(size=(1500, 8)) * 0.5
+    rows = [(k, [float(x) for x in p]) for k, p in enumerate(points)]
+    true = brute(rows)
+    got: dict = {}
+    for r in run(spark, rows):
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert got.keys() == true.keys()
+    met = 0
+    for q, found in got.items():
+        found.sort()
+        assert [f[0] for f in found] == list(range(1, 21))
+        exact = {i: rows[i][1] for _, i, _ in found}
+        own = np.array(rows[q][1], dtype=np.float32).astype(np.float64)
+        for _, i, score in found:
+            assert score == pytest.approx(np.array(exact[i], dtype=np.float32).astype(float) @ own, abs=1e-9)
+        met += len({f[1] for f in found} & {i for i, _ in true[q]})
+    assert met / sum(map(len, true.values())) >= 0.9
+
+
+def test_copies_ties_and_rows_that_take_no_part(spark, small_leaves):
+    rng = np.random.default_rng(3)
+    same = [1.0] * 8
+    rows = [(k, same) for k in range(100)] + [(k, [float(x) for x in rng.normal(size=8)]) for k in range(100, 130)]
+    rows += [(200, None), (220, [0.0] * 8), (240, [float("nan")] * 8), (260, [float("inf")] + [1.0] * 7)]
+    rows += [(280, [None] + [1.0] * 7), (300, [1.0, 2.0]), (None, same), (0, same), (320, [])]
+    true = brute(rows)
+    got: dict = {}
+    for r in sorted(run(spark, rows), key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got.keys() == true.keys()
+    for q in (0, 20, 40, 60, 80):  # the copies' ties go to the smaller ids
+        assert got[q] == [i for i, _ in true[q]]
+
+
+def test_fewer_candidates_than_asked(spark):
+    rows = [(0, [1.0] * 8), (1, [2.0] * 8), (20, [-1.0] + [1.0] * 7)]
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in run(spark, rows))
+    assert got == [(0, 1, 1), (0, 2, 20), (20, 1, 1), (20, 2, 0)]
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+def test_best_bins_visit_every_leaf_once():
+    points = np.random.default_rng(1).normal(size=(600, 4))
+    tree = a.Tree.fit(points, 20)
+    leaves = tree.best_bins(points[0], tree.leaves)
+    assert sorted(leaves) == list(range(tree.leaves)) and tree.leaves >= 16
+    assert set(tree.assign(points)) <= set(leaves)
