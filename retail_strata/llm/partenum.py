@@ -58,9 +58,10 @@ DENSE = 6
 LEVELS = 16
 #: Members up to which the pairs of a group, across components, are candidates one by one.
 SMALL = 32
-#: Elements of a set up to which their first 16 bits stand for them in a first comparison, else 32.
-SHORT = 1024
+#: The largest count that a sketch can tell.
+MOST = 15
 
+_ROW = np.dtype([("sig", "<u8"), ("key", "<u8"), ("n", "<u4")])
 _MEMBERS = "sig bigint, key bigint, n bigint, least bigint, least_n bigint, size bigint"
 
 
@@ -201,25 +202,18 @@ def group_members(
         count = 0
 
         def flush() -> pa.RecordBatch:
-            rows = np.concatenate(held, axis=1)
-            rows = np.unique(rows, axis=1)
-            at = (rows[0] % U64(buckets)).astype(np.int64)
-            order = np.argsort(at, kind="stable")
-            rows, at = rows[:, order], at[order]
+            rows = np.concatenate(held)
+            at = (rows["sig"] % U64(buckets)).astype(np.int64)
+            order = np.lexsort((rows["key"], rows["sig"], at))
+            rows, at = rows[order], at[order]
+            new = np.ones(len(rows), dtype=bool)  # a copy's rows are the same
+            new[1:] = (rows["sig"][1:] != rows["sig"][:-1]) | (rows["key"][1:] != rows["key"][:-1])
+            rows, at = rows[new], at[new]
             found, first = np.unique(at, return_index=True)
             last = [*first[1:], len(at)]
+            packed = [rows[a:b].tobytes() for a, b in zip(first, last, strict=True)]
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(found, pa.int32()),
-                    pa.array(
-                        [
-                            np.ascontiguousarray(rows[:, a:b]).tobytes()
-                            for a, b in zip(first, last, strict=True)
-                        ],
-                        pa.binary(),
-                    ),
-                ],
-                ["bucket", "packed"],
+                [pa.array(found, pa.int32()), pa.array(packed, pa.binary())], ["bucket", "packed"]
             )
 
         for batch in batches:
@@ -228,8 +222,8 @@ def group_members(
                     continue
                 key = np.array([set_key(elements)]).view(U64)[0]
                 for found in signatures(elements, threshold, shared.value):
-                    rows = np.empty((3, len(found)), dtype=U64)
-                    rows[0], rows[1], rows[2] = found, key, len(elements)
+                    rows = np.empty(len(found), dtype=_ROW)
+                    rows["sig"], rows["key"], rows["n"] = found, key, len(elements)
                     held.append(rows)
                     count += len(found)
                 if count >= 2 * BUCKET:
@@ -239,10 +233,8 @@ def group_members(
             yield flush()
 
     def grouped(table: pa.Table) -> pa.Table:
-        parts = [
-            np.frombuffer(x, dtype=U64).reshape(3, -1) for x in table["packed"].to_pylist()
-        ]
-        sig, key, n = np.concatenate(parts, axis=1)
+        rows = np.concatenate([np.frombuffer(x, dtype=_ROW) for x in table["packed"].to_pylist()])
+        sig, key, n = rows["sig"], rows["key"], rows["n"].astype(U64)
         order = np.lexsort((key, sig))
         sig, key, n = sig[order], key[order], n[order]
         new = np.ones(len(sig), dtype=bool)
@@ -272,15 +264,32 @@ def group_members(
     )
 
 
-def shortened(elements: np.ndarray) -> np.ndarray:
-    """The elements' leading bits, in order."""
-    if len(elements) <= SHORT:
-        return (elements >> U64(48)).astype(np.uint16)
-    return (elements >> U64(32)).astype(np.uint32)
+def sketch(elements: np.ndarray) -> bytes:
+    """How many elements lie in each of as many ranges as there are elements, in four bits each."""
+    bits = max(4, len(elements).bit_length() - 1)
+    counts = np.bincount((elements >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    counts = np.minimum(counts, MOST).astype(np.uint8)
+    return (counts[::2] | (counts[1::2] << 4)).tobytes()
 
 
-def sets_of(docs: DataFrame, rows: DataFrame, keys: DataFrame, width: int) -> DataFrame:
-    """``(key, elements)`` of the sets with the given keys, packed.
+def may_link(x: bytes, y: bytes, m: int, n: int, threshold: int) -> bool:
+    """Whether sets of these sketches and sizes can share enough: in no range more than both have."""
+    a, b = (np.frombuffer(z, dtype=np.uint8) for z in (x, y))
+    a, b = (np.stack([z & MOST, z >> 4], axis=1).reshape(-1) for z in (a, b))
+    if (a == MOST).any() or (b == MOST).any():  # such a range may hold any number
+        return True
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) < len(b):
+        b = b.reshape(len(a), -1).sum(axis=1)
+    most = int(np.minimum(a, b).sum())
+    return 100 * most >= threshold * (m + n - most)
+
+
+def sets_of(
+    docs: DataFrame, rows: DataFrame, keys: DataFrame, width: int, sketched: bool = False
+) -> DataFrame:
+    """``(key, elements)`` of the sets with the given keys, packed; or the sketches of them.
 
     A set is taken from the row with the least id that has it, and once by a task. The bitmaps that
     find these rows may let a copy pass, which repeats a set and changes no link.
@@ -299,12 +308,13 @@ def sets_of(docs: DataFrame, rows: DataFrame, keys: DataFrame, width: int) -> Da
         sent: set[int] = set()
         for batch in batches:
             named = by_id.has(batch["id"].to_numpy().view(U64))
+            some = batch.filter(pa.array(named, pa.bool_()))
             sets: dict[int, bytes] = {}
-            for row, elements in enumerate(document_sets(batch["text"], width)):
-                if named[row] and len(elements):
+            for elements in document_sets(some["text"], width):
+                if len(elements):
                     key = set_key(elements)
                     if key not in sent and by_key.has(np.array([key]).view(U64))[0]:
-                        sets[key] = elements.tobytes()
+                        sets[key] = sketch(elements) if sketched else elements.tobytes()
                         sent.add(key)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.binary())],
@@ -316,18 +326,6 @@ def sets_of(docs: DataFrame, rows: DataFrame, keys: DataFrame, width: int) -> Da
     )
 
 
-def short_sets(sets: DataFrame) -> DataFrame:
-    """``(key, short)``: the shortened elements of every set, packed."""
-
-    def cut(batches):
-        for batch in batches:
-            every = (np.frombuffer(x, dtype=U64) for x in batch["elements"].to_pylist())
-            short = pa.array([shortened(x).tobytes() for x in every], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["key"], short], ["key", "short"])
-
-    return sets.mapInArrow(cut, "key bigint, short binary")
-
-
 def alike(a, b, threshold: int):
     """Whether sets of two sizes can link at all."""
     return (100 * F.least(a, b)) >= (threshold * F.greatest(a, b))
@@ -365,51 +363,44 @@ def small_group_pairs(rooted: DataFrame, threshold: int) -> DataFrame:
     return pairs.where(alike(F.col("m"), F.col("n"), threshold)).select("u", "v", "m", "n").distinct()
 
 
-def verify_pairs(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs ``(u, v)`` that link.
+def beside(pairs: DataFrame, sets: DataFrame, *carried: str) -> DataFrame:
+    """Pairs ``(u, v)`` with what ``sets`` holds of either, as ``x`` and ``y``."""
+    left = sets.select(F.col("key").alias("u"), F.col("elements").alias("x"))
+    right = sets.select(F.col("key").alias("v"), F.col("elements").alias("y"))
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y", *carried)
 
-    The elements' leading bits bound what a pair can share, and settle most pairs that do not link;
-    the others are compared in full.
-    """
 
-    def within(x: np.ndarray, y: np.ndarray) -> int:
-        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-        return int((y[at] == x).sum())
+def possible_pairs(pairs: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame:
+    """The pairs ``(u, v)`` whose sketches allow a link; most that do not link are settled here."""
 
     def possible(batches):
         for batch in batches:
-            keep = []
-            for x, y, m, n in zip(
-                *(batch[c].to_pylist() for c in ("x", "y", "m", "n")), strict=True
-            ):
-                x = np.frombuffer(x, dtype=np.uint16 if m <= SHORT else np.uint32)
-                y = np.frombuffer(y, dtype=np.uint16 if n <= SHORT else np.uint32)
-                if x.dtype != y.dtype:  # compare what both have
-                    x, y = ((z >> 16).astype(np.uint16) if z.dtype == np.uint32 else z for z in (x, y))
-                most = min(within(x, y), within(y, x))
-                keep.append(100 * most >= threshold * (m + n - most))
+            values = zip(*(batch[c].to_pylist() for c in ("x", "y", "m", "n")), strict=True)
+            keep = [may_link(x, y, m, n, threshold) for x, y, m, n in values]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
+    found = beside(pairs, sketches, "m", "n").mapInArrow(possible, "u bigint, v bigint")
+    return found.distinct()
+
+
+def verify_pairs(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs ``(u, v)`` that link."""
+
     def linked(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
                 x, y = np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)
-                both = within(x, y)
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                both = int((y[at] == x).sum())
                 keep.append(100 * both >= threshold * (len(x) + len(y) - both))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    def beside(some: DataFrame, held: DataFrame, column: str, *carried: str) -> DataFrame:
-        left = held.select(F.col("key").alias("u"), F.col(column).alias("x"))
-        right = held.select(F.col("key").alias("v"), F.col(column).alias("y"))
-        return some.join(left, "u").join(right, "v").select("u", "v", "x", "y", *carried)
+    return beside(pairs, sets).mapInArrow(linked, "u bigint, v bigint").distinct()
+
 
-    short = beside(pairs, short_sets(sets), "short", "m", "n")
-    some = short.mapInArrow(possible, "u bigint, v bigint")
-    some = stage(some.distinct(), "possible-links")
-    ends = some.select(F.col("u").alias("key")).union(some.select("v")).distinct()
-    held = sets.join(ends, "key", "left_semi")
-    return beside(some, held, "elements").mapInArrow(linked, "u bigint, v bigint").distinct()
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("key")).union(pairs.select("v")).distinct()
 
 
 def compare_members(
@@ -564,8 +555,14 @@ def jaccard_components(
         group_members(docs, width, threshold, often, max(1, total // BUCKET)), "members"
     )
     keys = stage(members.select("key").distinct(), "keys")
-    sets = stage(sets_of(docs, rows, keys, width), "sets")
-    links = stage(verify_pairs(star_pairs(members, threshold), sets, threshold), "links")
+    sketches = stage(sets_of(docs, rows, keys, width, sketched=True), "sketches")
+
+    def full_sets(keys: DataFrame, name: str) -> DataFrame:
+        return stage(sets_of(docs, rows, stage(keys, f"keys-{name}"), width), f"sets-{name}")
+
+    pairs = stage(possible_pairs(star_pairs(members, threshold), sketches, threshold), "stars")
+    sets = full_sets(ends_of(pairs), "stars")
+    links = stage(verify_pairs(pairs, sets, threshold), "links")
     roots = components(links).withColumnRenamed("node", "key")
     rooted = stage(
         members.where("size > 2")
@@ -573,8 +570,11 @@ def jaccard_components(
         .withColumn("root", F.coalesce("root", "key")),
         "rooted",
     )
-    small = stage(verify_pairs(small_group_pairs(rooted, threshold), sets, threshold), "links-small")
+    pairs = small_group_pairs(rooted, threshold)
+    pairs = stage(possible_pairs(pairs, sketches, threshold), "pairs-small")
     groups = stage(open_groups(rooted), "groups")
+    sets = full_sets(ends_of(pairs).union(groups.select("key")).distinct(), "across")
+    small = stage(verify_pairs(pairs, sets, threshold), "links-small")
     large = stage(verify_groups(groups, sets, threshold), "links-large")
     roots = components(links.unionByName(small).unionByName(large))
     named = (
