@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -21,6 +22,7 @@ TABLES = [
     "lineitem",
     "part",
     "events",
+    "pages",
 ]
 
 
@@ -69,6 +71,7 @@ def main() -> None:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checks-"))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

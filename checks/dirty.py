@@ -1,9 +1,10 @@
 """Raw retail tables with known dirt, derived from the clean benchmark tables.
 
-The moduli below plant dirt on part of the keys; they do not shrink the work. Every source row is
-read, and each rule of the pipeline has rows to remove: missing customers, orders and products make
-dangling references, and keys divisible by COPY_KEY appear twice. Columns are all strings, as in a
-CSV landing zone. ``RAW_SQL`` says the same for the SQL engine.
+The moduli below plant dirt on part of the keys. Every source row is kept, and each rule of the
+pipeline has rows to remove: some customers, orders and products have an id that nothing refers to
+(their own, negated), which leaves the references to them dangling, and keys divisible by COPY_KEY
+appear twice. Columns are all strings, as in a CSV landing zone. ``RAW_SQL`` says the same for the
+SQL engine.
 """
 
 from __future__ import annotations
@@ -24,6 +25,11 @@ def _money(column: Column | str) -> Column:
     return _text((F.col(column) if isinstance(column, str) else column).cast(MONEY))
 
 
+def _id(key: Column, lost: int) -> Column:
+    """The key as text; negated where it is divisible by ``lost``."""
+    return _text(F.when(key % lost == 0, -key).otherwise(key))
+
+
 def _with_copies(df: DataFrame, key: Column, columns: dict[str, Column]) -> DataFrame:
     """Map the columns, giving rows whose key is divisible by COPY_KEY twice, in one scan."""
     copies = F.sequence(F.lit(1), F.when(key % COPY_KEY == 0, 2).otherwise(1))
@@ -36,10 +42,10 @@ def _with_copies(df: DataFrame, key: Column, columns: dict[str, Column]) -> Data
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return _with_copies(
-        spark.read.parquet(f"{sf_dir}/customer.parquet").filter(key % 7 != 0),
+        spark.read.parquet(f"{sf_dir}/customer.parquet"),
         key,
         {
-            "customer_id": _text(key),
+            "customer_id": _id(key, 7),
             "full_name": F.col("c_name"),
             "email": F.concat(
                 F.when(key % 2 == 0, "USER").otherwise("user"), _text(key), F.lit("@Example.com")
@@ -54,10 +60,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     return _with_copies(
-        spark.read.parquet(f"{sf_dir}/part.parquet").filter(key % 13 != 0),
+        spark.read.parquet(f"{sf_dir}/part.parquet"),
         key,
         {
-            "product_id": _text(key),
+            "product_id": _id(key, 13),
             "product_name": F.col("p_name"),
             "category": F.col("p_brand"),
             "price": _money("p_retailprice"),
@@ -69,10 +75,10 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     status = F.col("o_orderstatus")
     return _with_copies(
-        spark.read.parquet(f"{sf_dir}/orders.parquet").filter(key % 11 != 0),
+        spark.read.parquet(f"{sf_dir}/orders.parquet"),
         key,
         {
-            "order_id": _text(key),
+            "order_id": _id(key, 11),
             "order_date": _text(F.col("o_orderdate").cast("date")),
             "customer_id": F.when(key % 31 != 0, _text("o_custkey")),
             "total_amount": F.when(key % 97 == 0, F.lit(None))
@@ -128,30 +134,33 @@ RAW_SQL = {
         "raw_customers",
         "customer_id",
         """
-  SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+  SELECT CAST(CASE WHEN c_custkey % 7 = 0 THEN -c_custkey ELSE c_custkey END AS VARCHAR)
+             AS customer_id,
          c_name AS full_name,
          concat(CASE WHEN c_custkey % 2 = 0 THEN 'USER' ELSE 'user' END,
                 CAST(c_custkey AS VARCHAR), '@Example.com') AS email,
          concat(CAST(c_custkey % 9999 + 1 AS VARCHAR), ' Main St') AS address,
          c_mktsegment AS city,
          CAST(c_nationkey AS VARCHAR) AS state
-  FROM customer WHERE c_custkey % 7 <> 0""",
+  FROM customer""",
     ),
     "raw_products": _sql_with_copies(
         "raw_products",
         "product_id",
         """
-  SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+  SELECT CAST(CASE WHEN p_partkey % 13 = 0 THEN -p_partkey ELSE p_partkey END AS VARCHAR)
+             AS product_id,
          p_name AS product_name,
          p_brand AS category,
          CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS price
-  FROM part WHERE p_partkey % 13 <> 0""",
+  FROM part""",
     ),
     "raw_orders": _sql_with_copies(
         "raw_orders",
         "order_id",
         """
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+  SELECT CAST(CASE WHEN o_orderkey % 11 = 0 THEN -o_orderkey ELSE o_orderkey END AS VARCHAR)
+             AS order_id,
          CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
          CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
          CASE WHEN o_orderkey % 97 = 0 THEN NULL
@@ -162,7 +171,7 @@ RAW_SQL = {
               WHEN o_orderstatus = 'O' THEN 'SHIPPED'
               WHEN o_orderkey % 2 = 0 THEN 'PENDING'
               ELSE 'CANCELLED' END AS order_status
-  FROM orders WHERE o_orderkey % 11 <> 0""",
+  FROM orders""",
     ),
     "raw_order_items": _sql_with_copies(
         "raw_order_items",

@@ -103,6 +103,9 @@ SELECTS = {
     "csv_scan_strings": "SELECT * FROM raw_orders",
     "csv_scan_typed": """
 SELECT order_id, customer_id, order_date, TRY_CAST(total_amount AS DOUBLE) AS total_amount
+FROM raw_orders""",
+    "csv_scan_mixed_headers": """
+SELECT order_id, customer_id, order_date, TRY_CAST(total_amount AS DOUBLE) AS total_amount
 FROM raw_orders""",
     "newest_batch": "SELECT DISTINCT * FROM raw_products",
     "latest_snapshot": """
@@ -116,11 +119,45 @@ ranked AS (
   FROM modified)
 SELECT event_id, user_id, value, entity, folder, file
 FROM files JOIN (SELECT entity, folder, file FROM ranked WHERE r = 1) USING (entity, folder, file)""",
+    "latest_snapshot_null_folder": """
+WITH files AS (
+  SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS folder,
+         CASE WHEN o_custkey % 3 <> 0 THEN o_orderpriority END AS file,
+         CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS modified
+  FROM orders),
+ranked AS (
+  SELECT folder, file,
+         row_number() OVER (PARTITION BY folder ORDER BY modified DESC, file DESC NULLS LAST) AS r
+  FROM files)
+SELECT f.* FROM files f JOIN ranked n
+ON n.r = 1 AND f.folder IS NOT DISTINCT FROM n.folder AND f.file IS NOT DISTINCT FROM n.file""",
+    "object_paths": """
+SELECT page_id, split_part(url, '/', 3) AS bucket,
+       array_to_string(string_split(url, '/')[4:], '/') AS prefix
+FROM pages""",
+    "skipped_inputs": """
+SELECT 'customers' AS entity, count(*) AS rows FROM raw_customers
+UNION ALL SELECT 'products', count(*) FROM raw_products""",
+    "missing_input_fails": """
+SELECT order_id, 'no input for customers, products, order_items' AS message FROM raw_orders""",
+    "missing_columns": """
+SELECT order_id, 'orders lacks order_status; it has order_id, order_date, customer_id, total_amount'
+    AS message
+FROM raw_orders""",
+    "preview_limit": """
+SELECT least(5, count(*)) AS shown, least(5, count(*)) AS found FROM valid_items""",
+    "ingest_times": """
+SELECT 'customers' AS entity, 1 AS times, 0 AS nulls, count(*) AS rows FROM raw_customers
+UNION ALL SELECT 'products', 1, 0, count(*) FROM raw_products
+UNION ALL SELECT 'orders', 1, 0, count(*) FROM raw_orders
+UNION ALL SELECT 'order_items', 1, 0, count(*) FROM raw_order_items""",
     "dated_partition_read": f"""
 SELECT event_id, user_id, event_type, value, strftime(CAST(ts AS DATE), '%Y%m%d') AS ingest_date
 FROM events WHERE CAST(ts AS DATE) = DATE '{EVENT_DATE}'""",
     "published_orders": "SELECT * FROM valid_orders",
-    "fanout_order_lines": "SELECT * FROM gold",
+    "fanout_order_lines": """
+SELECT * FROM gold
+CROSS JOIN (VALUES ('customers'), ('products'), ('orders'), ('order_items')) AS o(output)""",
     "bronze_customers": f"""
 SELECT *, {INGEST_TS} AS ingest_timestamp, 'generated' AS source FROM raw_customers""",
     "bronze_products": f"""
@@ -180,11 +217,16 @@ GROUP BY p.product_id, c.category""",
 SELECT i.*, c.name, c.email, c.phone, c.address
 FROM keyed_items i LEFT JOIN cloud_customers c ON i.customer_id = c.customer_id""",
     "active_orders_optional": """
-SELECT i.*, s.order_status, c.name, c.email, c.phone, c.address
-FROM keyed_items i
-LEFT JOIN (SELECT order_id, order_status FROM valid_orders) s ON i.order_id = s.order_id
-LEFT JOIN cloud_customers c ON i.customer_id = c.customer_id
-WHERE i.customer_id IS NOT NULL AND s.order_status <> 'CANCELLED'""",
+SELECT i.*, s.customer_id, s.order_status, c.name, c.email, c.phone, c.address
+FROM cloud_items i
+LEFT JOIN (SELECT order_id, customer_id, order_status FROM valid_orders) s
+    ON i.order_id = s.order_id
+LEFT JOIN cloud_customers c ON s.customer_id = c.customer_id
+WHERE s.customer_id IS NOT NULL AND s.order_status <> 'CANCELLED'""",
+    "cloud_end_to_end": """
+SELECT i.*, c.name, c.email, c.phone, c.address, output
+FROM keyed_items i LEFT JOIN cloud_customers c ON i.customer_id = c.customer_id
+CROSS JOIN (VALUES ('customers'), ('products'), ('orders'), ('order_items')) AS o(output)""",
     "run_dates": """
 SELECT order_id, strftime(CAST(order_date AS DATE), '%Y%m%d') AS folder,
        strftime(CAST(order_date AS TIMESTAMP) + INTERVAL '10 hours 15 minutes',
@@ -210,6 +252,12 @@ SELECT count(*) AS total, count(*) FILTER (WHERE {PURGED}) AS removed FROM raw_o
 SELECT event_id, user_id, event_type, value, strftime(CAST(ts AS DATE), '%Y%m%d') AS ingest_date
 FROM events WHERE CAST(ts AS DATE) <> DATE '{EVENT_DATE}'""",
     "pipeline_end_to_end": "SELECT * FROM gold",
+    "rerun_newest": f"""
+SELECT *, {INGEST_TS} AS ingest_timestamp, 'generated' AS source, 'newest' AS run FROM raw_orders
+UNION ALL SELECT *, '2025-02-07 09:00:00', 'generated', 'first' FROM raw_orders""",
+    "written_mart": """
+SELECT city, state, CAST(sum(amount) AS DOUBLE) AS revenue, count(DISTINCT order_id) AS orders
+FROM priced GROUP BY city, state""",
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,15 @@ from pyspark.sql import types as T
 from checks.dirty import raw_orders, raw_products, raw_tables
 from retail_strata import operators as ops
 from retail_strata import plans, sinks, sources
-from retail_strata.functions import date_folder, run_date_column, run_stamp
+from retail_strata.functions import (
+    date_folder,
+    object_bucket,
+    object_prefix,
+    run_date_column,
+    run_stamp,
+)
 from retail_strata.plans.pipeline import landing_folder
-from retail_strata.schemas import CLOUD_SCHEMAS, ENTITIES, GOLD_COLUMNS
+from retail_strata.schemas import CLOUD_SCHEMAS, ENTITIES, GOLD_COLUMNS, GOLD_SALES_BY_CITY
 from retail_strata.session import scratch_path
 from retail_strata.sources.csv import bind_schema
 
@@ -97,6 +104,21 @@ def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_entity(spark, path, "orders")
 
 
+@query
+def csv_scan_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the orders under one header, the others in another order with one column more."""
+    path = scratch_path(spark, "csv-mixed")
+    orders = raw_orders(spark, sf_dir)
+    even = F.col("order_id").cast("bigint") % 2 == 0
+    narrow = orders.filter(even).select("order_id", "customer_id", "order_date", "total_amount")
+    wide = orders.filter(~even).select(
+        "order_status", "total_amount", "order_date", "order_id", "customer_id"
+    )
+    sinks.write_csv(narrow, f"{path}/narrow")
+    sinks.write_csv(wide, f"{path}/wide")
+    return sources.read_entity(spark, [f"{path}/narrow", f"{path}/wide"], "orders")
+
+
 @query
 def newest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "batches")
@@ -123,6 +145,19 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.drop("ts")
 
 
+@query
+def latest_snapshot_null_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by priority and month, where some have no folder and some no file."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("folder"),
+        F.when(F.col("o_custkey") % 3 != 0, F.col("o_orderpriority")).alias("file"),
+        F.col("o_orderdate").cast("date").alias("modified"),
+    )
+    newest = sources.latest_snapshot(orders, ["folder"], file="file", modified="modified")
+    return newest.withColumn("modified", F.col("modified").cast("string"))
+
+
 def dated_events(spark: SparkSession, sf_dir: str) -> str:
     """Root of a layer holding ``events`` as one partition per day."""
     root = scratch_path(spark, "dated")
@@ -155,12 +190,79 @@ def fanout_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "fanout-out")
     paths = [f"{root}/gold_{entity}" for entity in ENTITIES]
     sinks.write_fanout(text_times(gold(spark, sf_dir)), paths)
-    return sources.read_csv(spark, paths[-1])
+    outputs = [
+        sources.read_csv(spark, path).withColumn("output", F.lit(entity))
+        for entity, path in zip(ENTITIES, paths, strict=True)
+    ]
+    return reduce(DataFrame.unionByName, outputs)
 
 
 @query
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.preview(clean(spark, sf_dir)["order_items"].drop("order_items_ingest_timestamp"))
+    """How many rows the preview has, and how many of them are the table's."""
+    table = clean(spark, sf_dir)["order_items"].drop("order_items_ingest_timestamp")
+    path = scratch_path(spark, "preview")
+    sinks.preview(table).write.parquet(path)
+    shown = spark.read.parquet(path)
+    known = table.select("order_item_id").distinct().withColumn("known", F.lit(1))
+    return shown.join(known, "order_item_id", "left").agg(
+        F.count(F.lit(1)).alias("shown"), F.count("known").alias("found")
+    )
+
+
+@query
+def object_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.col("url")
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        "page_id", object_bucket(url).alias("bucket"), object_prefix(url).alias("prefix")
+    )
+
+
+@query
+def skipped_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the entities that have a file, when those without one are left out."""
+    found = sources.read_entities(landed(spark, sf_dir, ["customers", "products"]), ENTITIES)
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(entity).alias("entity"), "rows")
+        for entity, df in found.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def missing_input_fails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the error names, beside the entities that have a file."""
+    read = landed(spark, sf_dir, ["orders"])
+    try:
+        sources.read_entities(read, ENTITIES, on_missing="fail")
+        message = "no error"
+    except sources.MissingInputError as error:
+        message = str(error)
+    return read("orders").select("order_id", F.lit(message).alias("message"))
+
+
+@query
+def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the column check says of a table without its status, beside the rows of that table."""
+    orders = raw_orders(spark, sf_dir).drop("order_status")
+    try:
+        ops.require_columns(orders, ["order_id", "order_status"], "orders")
+        message = "no error"
+    except ValueError as error:
+        message = str(error)
+    checked = ops.require_columns(orders, ["order_id"], "orders")
+    return checked.select("order_id", F.lit(message).alias("message"))
+
+
+def landed(
+    spark: SparkSession, sf_dir: str, entities: list[str]
+) -> Callable[[str], DataFrame | None]:
+    """Reads an entity's newest landed file, of which only some entities have one."""
+    landing = scratch_path(spark, "landed")
+    for entity in entities:
+        table = raw_tables(spark, sf_dir)[entity]
+        sinks.write_csv(table, f"{landing}/raw_{entity}/raw_{entity}.csv")
+    return lambda entity: sources.read_latest(spark, f"{landing}/raw_{entity}")
 
 
 # Bronze
@@ -186,6 +288,24 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_times(bronze(spark, sf_dir)["order_items"])
 
 
+@query
+def ingest_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of a table has the same ingestion time, and each has one."""
+    tables = plans.build_bronze(raw_tables(spark, sf_dir))
+    counts = [
+        df.groupBy("ingest_timestamp")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(
+            F.count("ingest_timestamp").alias("times"),
+            F.count_if(F.col("ingest_timestamp").isNull()).alias("nulls"),
+            F.sum("rows").alias("rows"),
+        )
+        .withColumn("entity", F.lit(entity))
+        for entity, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # Silver
 
 
@@ -227,7 +347,8 @@ def silver_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_order_items_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = plans.clean_entities(bronze(spark, sf_dir), shuffle_once=True)
+    """Dedupe and join from the parts: the join shuffles by itself, so that it can be split."""
+    tables = plans.clean_entities(bronze(spark, sf_dir))
     return text_times(ops.silver_order_items(tables["order_items"], tables["orders"]))
 
 
@@ -340,8 +461,25 @@ def gold_cloud_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def active_orders_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = cloud_silver(spark, sf_dir)
     orders = clean(spark, sf_dir)["orders"]
-    items = ops.left_join(tables["order_items"], orders, "order_id", ["order_status"])
-    return plans.build_gold_from_parts(items, tables["orders"], tables["customers"])
+    keyed = ops.left_join(tables["order_items"], orders, "order_id", ["customer_id", "order_status"])
+    return ops.active_orders(
+        ops.enrich_with_customer(keyed, tables["customers"]), if_present=True
+    )
+
+
+@query
+def cloud_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing, warehouse = scratch_path(spark, "cloud-landing"), scratch_path(spark, "cloud")
+    for entity, df in cloud_raw(spark, sf_dir).items():
+        sinks.write_csv(df, f"{landing}/raw_{entity}/raw_{entity}_20250207_100000.csv")
+    plans.run_cloud_silver(spark, landing, warehouse, "20250207_100000", on_missing="fail")
+    paths = plans.run_cloud_gold(spark, warehouse)
+    schema = {**CLOUD_SCHEMAS["order_items"], **CLOUD_SCHEMAS["customers"]}
+    outputs = [
+        bind_schema(sources.read_csv(spark, path), schema).withColumn("output", F.lit(entity))
+        for entity, path in zip(ENTITIES, paths, strict=True)
+    ]
+    return reduce(DataFrame.unionByName, outputs)
 
 
 # Functions, keys, purge
@@ -363,9 +501,7 @@ def run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    return ops.assign_surrogate_keys(
-        customers, ["c_custkey"], last_id=10000, replayable=True
-    )
+    return ops.assign_surrogate_keys(customers, ["c_custkey"], last_id=10000)
 
 
 @query
@@ -384,7 +520,7 @@ def high_water_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("products", "part", "p_partkey"),
     ]:
         batch = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(key)
-        keyed = ops.assign_surrogate_keys(batch, [key], replayable=True)
+        keyed = ops.assign_surrogate_keys(batch, [key])
         marks = ops.advance_mark(marks, entity, keyed)
     return marks
 
@@ -423,12 +559,45 @@ def purge_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Whole pipeline
 
 
-@query
-def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+def land(spark: SparkSession, sf_dir: str, landing: str) -> None:
     for entity, df in raw_tables(spark, sf_dir).items():
         folder = landing_folder(landing, entity, RUN_DATE)
         sinks.write_csv(df, f"{folder}/raw_{entity}_20250207_100000.csv")
+
+
+@query
+def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    land(spark, sf_dir, landing)
     return text_times(
         plans.run_pipeline(spark, landing, warehouse, RUN_DATE, ingest_ts(), on_missing="fail")
     )
+
+
+@query
+def rerun_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of a date: the newest is read, and the first is still there."""
+    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    land(spark, sf_dir, landing)
+    earlier = F.expr("timestamp'2025-02-07 09:00:00'")
+    for run_id, time in (("run_1", earlier), ("run_2", ingest_ts())):
+        plans.run_bronze(spark, landing, warehouse, RUN_DATE, time, "fail", run_id)
+    runs = {
+        name: sources.read_layer(spark, warehouse, "refined_orders", RUN_DATE, run_id)
+        for name, run_id in (("newest", None), ("first", "run_1"))
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [text_times(df).withColumn("run", F.lit(name)) for name, df in runs.items()],
+    )
+
+
+@query
+def written_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by city as the whole run wrote them."""
+    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    land(spark, sf_dir, landing)
+    plans.run_pipeline(
+        spark, landing, warehouse, RUN_DATE, ingest_ts(), on_missing="fail", run_id="run_1"
+    )
+    return _float_money(sources.read_layer(spark, warehouse, GOLD_SALES_BY_CITY, RUN_DATE))

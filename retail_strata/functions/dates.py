@@ -25,6 +25,8 @@ def run_date_column(text: Column) -> Column:
 
 def parse_run_date(run_date: str | dt.date) -> dt.date:
     """Run-date parameter as a date; a string must read ``yyyy-MM-dd``."""
+    if isinstance(run_date, dt.datetime):
+        return run_date.date()
     if isinstance(run_date, dt.date):
         return run_date
     return dt.datetime.strptime(run_date, "%Y-%m-%d").date()

@@ -6,7 +6,6 @@ from retail_strata.operators.columns import (
     require_columns,
     select_existing,
 )
-from retail_strata.operators.frequent import frequent_keys
 from retail_strata.operators.joins import (
     attach_customer_key,
     enrich_with_customer,
@@ -32,7 +31,6 @@ __all__ = [
     "attach_customer_key",
     "clean_entity",
     "enrich_with_customer",
-    "frequent_keys",
     "high_water_marks",
     "label_lineage",
     "left_join",

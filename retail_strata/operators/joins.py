@@ -1,6 +1,6 @@
 """Joins of the four entities.
 
-None carries a broadcast hint: Spark broadcasts a side when its size, estimated or measured by
+The entities carry no broadcast hint: Spark broadcasts a side when its size, estimated or measured by
 adaptive execution, is below the session's threshold. A frequent key on either side of an inner
 join, or on the left of a left join, is split by adaptive execution's skew handling, because each
 join reads straight from its own shuffle. What adaptive execution cannot split is a frequent key
@@ -9,13 +9,13 @@ on the right of a left join; ``left_join`` splits that one itself.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.operators.frequent import FREQUENT_ROWS, frequent_keys
+# Rows of one key on the right of a left join that one task may take.
+ROWS_PER_SPLIT = 2_000_000
 
 
 def silver_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -52,41 +52,38 @@ def left_join(
     right: DataFrame,
     key: str,
     keep: Sequence[str],
-    rows_per_split: int = FREQUENT_ROWS,
+    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """``left`` left-joined to ``right[key, keep]`` on ``key``, whatever the key frequencies.
 
-    Keys with more than ``rows_per_split`` rows in ``right`` are looked for first, in a job that
-    reads that one column. Without any, which is usual, this is a plain join. Otherwise the right
-    rows of such a key are dealt to several splits, by a hash of the whole row that a retried task
-    repeats, and its left rows are copied to every split, so that each pair meets exactly once.
-    The left rows of a split key have a match in some split, so their unmatched copies are
-    dropped; the rows of other keys, and of a NULL key, see a plain left join.
-    """
-    splits = _splits(right, key, rows_per_split)
-    if not splits:
-        return left.join(right.select(key, *keep), key, "left")
+    The keys with more than ``rows_per_split`` rows in ``right`` are counted as part of the plan
+    and joined to both sides. The right rows of such a key are dealt to several splits, by a hash
+    of the whole row that a retried task repeats, and its left rows are copied to every split, so
+    that each pair meets exactly once. The left rows of a split key have a match in some split, so
+    their unmatched copies are dropped; the rows of other keys, and of a NULL key, are in one
+    split and see a plain left join.
 
-    literals = [F.lit(part) for item in splits.items() for part in item]
-    n_splits = F.coalesce(F.try_element_at(F.create_map(*literals), F.col(key)), F.lit(1))
+    There are fewer such keys than ``right`` has rows over ``rows_per_split``: half a million, or
+    some 15 MB, for 10**12 rows. That is what bounds the broadcast of them, which spares both sides
+    a shuffle on the bare key that would bring a frequent one together after all.
+    """
+    splits = F.broadcast(
+        right.groupBy(key)
+        .agg(F.ceil(F.count(F.lit(1)) / rows_per_split).cast("int").alias("_splits"))
+        .filter((F.col("_splits") > 1) & F.col(key).isNotNull())
+    )
+    n_splits = F.coalesce("_splits", F.lit(1))
     whole_row = F.xxhash64(*[F.col(f"`{name}`") for name in right.columns])
-    dealt = right.select(
+    dealt = right.join(splits, key, "left").select(
         key, *keep, F.pmod(whole_row, n_splits).cast("int").alias("_split"), F.lit(True).alias("_hit")
     )
-    copied = left.withColumn("_splits", n_splits).withColumn(
-        "_split", F.explode(F.sequence(F.lit(0), F.col("_splits") - 1))
+    copied = (
+        left.join(splits, key, "left")
+        .withColumn("_splits", n_splits)
+        .withColumn("_split", F.explode(F.sequence(F.lit(0), F.col("_splits") - 1)))
     )
     return (
         copied.join(dealt, [key, "_split"], "left")
         .filter((F.col("_splits") == 1) | F.col("_hit"))
         .drop("_split", "_splits", "_hit")
     )
-
-
-def _splits(right: DataFrame, key: str, rows_per_split: int) -> dict[str, int]:
-    """Number of splits of every frequent key; NULL matches nothing and needs none."""
-    return {
-        value: math.ceil(rows / rows_per_split)
-        for value, rows in frequent_keys(right, key, rows_per_split).items()
-        if value is not None
-    }

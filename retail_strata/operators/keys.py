@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retail_strata.schemas import ENTITIES, FIRST_HIGH_WATER_MARK
-from retail_strata.session import ensure_checkpoint_dir, scratch_path
+from retail_strata.session import scratch_path
 
 # monotonically_increasing_id() packs the partition number above 33 bits of row position.
 POSITION_BITS = 33
@@ -19,7 +19,6 @@ def assign_surrogate_keys(
     order_by: Sequence[str],
     last_id: int = FIRST_HIGH_WATER_MARK,
     key: str = "id",
-    replayable: bool = False,
 ) -> DataFrame:
     """``df`` with ids ``last_id + 1 .. last_id + rows``, ascending in ``order_by``.
 
@@ -30,12 +29,13 @@ def assign_surrogate_keys(
     shuffle cut through a value, or a set of identical rows, that makes up much of the data.
 
     Arrival order must not change on a retry. That holds for a scan of files with row-wise steps
-    on top (``replayable=True``); any other input is checkpointed first.
+    on top; any other input is first written to the scratch folder and read back.
     """
     spark = df.sparkSession
-    if not replayable:
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint()
+    if not replays_in_order(df):
+        staged = scratch_path(spark, "surrogate-key-input")
+        df.write.parquet(staged)
+        df = spark.read.schema(df.schema).parquet(staged)
     path = scratch_path(spark, "surrogate-keys")
     (
         df.withColumn("_arrival", F.monotonically_increasing_id())
@@ -62,6 +62,19 @@ def assign_surrogate_keys(
     )
 
 
+def replays_in_order(df: DataFrame) -> bool:
+    """Whether the plan is a scan of files with deterministic row-wise steps and nothing else."""
+    execution = df._jdf.queryExecution()
+
+    def row_wise(plan) -> bool:
+        children = plan.children()
+        if children.size() == 0:
+            return plan.nodeName().startswith("Scan ") and plan.nodeName() != "Scan ExistingRDD"
+        return plan.nodeName() in ("Project", "Filter") and row_wise(children.head())
+
+    return execution.analyzed().deterministic() and row_wise(execution.sparkPlan())
+
+
 def high_water_marks(spark: SparkSession, marks: DataFrame | None = None) -> DataFrame:
     """``(entity, last_id)`` for every entity; those without a mark yet start at the default."""
     default = spark.createDataFrame(

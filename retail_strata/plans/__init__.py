@@ -1,5 +1,10 @@
 from retail_strata.plans.bronze import build_bronze
-from retail_strata.plans.cloud import build_cloud_silver, build_gold_from_parts
+from retail_strata.plans.cloud import (
+    build_cloud_silver,
+    build_gold_from_parts,
+    run_cloud_gold,
+    run_cloud_silver,
+)
 from retail_strata.plans.gold import build_gold
 from retail_strata.plans.marts import (
     gold_customers,
@@ -23,6 +28,8 @@ __all__ = [
     "gold_orders",
     "gold_products",
     "run_bronze",
+    "run_cloud_gold",
+    "run_cloud_silver",
     "run_gold",
     "run_pipeline",
     "run_silver",

@@ -3,7 +3,8 @@
 A layer's tables are written before the next layer starts; those that do not depend on each other
 are written at the same time. Later steps read what was written, so no plan is computed twice and
 a lost executor costs a task, not a recomputation from raw. Any failure is raised and stops the
-run.
+run. With a run id each table is written beside those of earlier runs of the date, which stay as
+they were; without one a date is overwritten in place.
 """
 
 from __future__ import annotations
@@ -20,8 +21,15 @@ from retail_strata.functions.dates import parse_run_date
 from retail_strata.operators.joins import silver_products
 from retail_strata.plans.bronze import build_bronze
 from retail_strata.plans.gold import build_gold
+from retail_strata.plans.marts import (
+    gold_customers,
+    gold_order_items,
+    gold_orders,
+    gold_products,
+    sales_by_city,
+)
 from retail_strata.plans.silver import clean_entities, join_entities
-from retail_strata.schemas import ENTITIES, GOLD_ORDER_LINES, layer_table
+from retail_strata.schemas import ENTITIES, GOLD_ORDER_LINES, GOLD_SALES_BY_CITY, layer_table
 from retail_strata.session import scratch_path
 from retail_strata.sinks.tables import write_layer
 from retail_strata.sources.latest import read_latest
@@ -41,29 +49,35 @@ def run_bronze(
     run_date: str | dt.date,
     ingest_ts: Column | dt.datetime | None = None,
     on_missing: str = "skip",
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     raw = read_entities(
         lambda entity: read_latest(spark, landing_folder(landing, entity, run_date)),
         ENTITIES,
         on_missing,
     )
-    return _write_entities(spark, build_bronze(raw, ingest_ts), warehouse, "bronze", run_date)
+    tables = build_bronze(raw, ingest_ts)
+    return _write_entities(spark, tables, warehouse, "bronze", run_date, run_id)
 
 
 def run_silver(
-    spark: SparkSession, warehouse: str, run_date: str | dt.date, on_missing: str = "skip"
+    spark: SparkSession,
+    warehouse: str,
+    run_date: str | dt.date,
+    on_missing: str = "skip",
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """The referential joins, each fed from tables already written.
 
     Valid orders feed two joins and are no output themselves, so they go to the scratch folder.
     """
-    bronze = _read_entities(spark, warehouse, "bronze", run_date, on_missing)
-    clean = clean_entities(bronze, shuffle_once="orders" in bronze)
+    bronze = _read_entities(spark, warehouse, "bronze", run_date, on_missing, run_id=run_id)
+    clean = clean_entities(bronze)
 
     silver: dict[str, DataFrame] = {}
 
     def write(tables: dict[str, DataFrame]) -> None:
-        silver.update(_write_entities(spark, tables, warehouse, "silver", run_date))
+        silver.update(_write_entities(spark, tables, warehouse, "silver", run_date, run_id))
 
     def stage_orders() -> None:
         if "orders" in clean:
@@ -84,14 +98,41 @@ def run_silver(
     return silver
 
 
-def run_gold(spark: SparkSession, warehouse: str, run_date: str | dt.date) -> DataFrame:
-    """Gold order lines. Both inputs must exist."""
+def run_gold(
+    spark: SparkSession, warehouse: str, run_date: str | dt.date, run_id: str | None = None
+) -> DataFrame:
+    """Gold order lines, and the marts made of them. Items and customers must exist.
+
+    The mart of products needs the products as well and is left out without them.
+    """
     silver = _read_entities(
-        spark, warehouse, "silver", run_date, "fail", ["customers", "order_items"]
+        spark, warehouse, "silver", run_date, "fail", ["customers", "order_items"], run_id
+    )
+    write_layer(
+        build_gold(silver["order_items"], silver["customers"]),
+        warehouse,
+        GOLD_ORDER_LINES,
+        run_date,
+        run_id,
+    )
+    gold = read_layer(spark, warehouse, GOLD_ORDER_LINES, run_date, run_id)
+    marts = {
+        GOLD_SALES_BY_CITY: sales_by_city(gold),
+        layer_table("gold", "customers"): gold_customers(gold),
+        layer_table("gold", "orders"): gold_orders(gold),
+        layer_table("gold", "order_items"): gold_order_items(gold),
+    }
+    products = _read_entities(spark, warehouse, "silver", run_date, "skip", ["products"], run_id)
+    if "products" in products:
+        marts[layer_table("gold", "products")] = gold_products(gold, products["products"])
+    together(
+        spark,
+        [
+            partial(write_layer, df, warehouse, table, run_date, run_id)
+            for table, df in marts.items()
+        ],
     )
-    gold = build_gold(silver["order_items"], silver["customers"])
-    write_layer(gold, warehouse, GOLD_ORDER_LINES, run_date)
-    return read_layer(spark, warehouse, GOLD_ORDER_LINES, run_date)
+    return gold
 
 
 def run_pipeline(
@@ -101,11 +142,12 @@ def run_pipeline(
     run_date: str | dt.date,
     ingest_ts: Column | dt.datetime | None = None,
     on_missing: str = "skip",
+    run_id: str | None = None,
 ) -> DataFrame:
     """All layers in order; returns the gold order lines."""
-    run_bronze(spark, landing, warehouse, run_date, ingest_ts, on_missing)
-    run_silver(spark, warehouse, run_date, on_missing)
-    return run_gold(spark, warehouse, run_date)
+    run_bronze(spark, landing, warehouse, run_date, ingest_ts, on_missing, run_id)
+    run_silver(spark, warehouse, run_date, on_missing, run_id)
+    return run_gold(spark, warehouse, run_date, run_id)
 
 
 def together(spark: SparkSession, actions: Sequence[Callable[[], object]]) -> None:
@@ -125,9 +167,10 @@ def _read_entities(
     run_date: str | dt.date,
     on_missing: str = "skip",
     entities: Sequence[str] = ENTITIES,
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     return read_entities(
-        lambda entity: read_layer(spark, warehouse, layer_table(layer, entity), run_date),
+        lambda entity: read_layer(spark, warehouse, layer_table(layer, entity), run_date, run_id),
         entities,
         on_missing,
     )
@@ -139,13 +182,14 @@ def _write_entities(
     warehouse: str,
     layer: str,
     run_date: str | dt.date,
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Write a layer's tables side by side and return them as read back."""
     together(
         spark,
         [
-            partial(write_layer, df, warehouse, layer_table(layer, entity), run_date)
+            partial(write_layer, df, warehouse, layer_table(layer, entity), run_date, run_id)
             for entity, df in tables.items()
         ],
     )
-    return _read_entities(spark, warehouse, layer, run_date, "fail", list(tables))
+    return _read_entities(spark, warehouse, layer, run_date, "fail", list(tables), run_id)

@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-# The entity set and the raw CSV headers.
+# The entity set.
 ENTITIES = ("customers", "products", "orders", "order_items")
 
-RAW_COLUMNS = {
-    "customers": ["customer_id", "full_name", "email", "address", "city", "state"],
-    "products": ["product_id", "product_name", "category", "price"],
-    "orders": ["order_id", "order_date", "customer_id", "total_amount", "order_status"],
-    "order_items": ["order_item_id", "order_id", "product_id", "quantity", "unit_price"],
-}
-
 # The cloud variant's declared columns and types.
 CLOUD_SCHEMAS = {
     "customers": {
@@ -64,6 +57,7 @@ GOLD_COLUMNS = [
 # Table name prefix of each layer, and the gold order-line table.
 LAYER_PREFIXES = {"raw": "raw_", "bronze": "refined_", "silver": "silver_", "gold": "gold_"}
 GOLD_ORDER_LINES = "gold_final_orders_data"
+GOLD_SALES_BY_CITY = "gold_sales_by_city"
 
 # Fixed value: the id every table starts counting from.
 FIRST_HIGH_WATER_MARK = 10000

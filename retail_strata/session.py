@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,36 +18,39 @@ DEFAULTS = {
 }
 
 
+#: Bytes that a shuffle partition should hold before adaptive execution merges small ones.
+PARTITION_BYTES = 256 << 20
+
+
 def build_session(
-    app_name: str = "retail_strata", conf: dict[str, str] | None = None
+    app_name: str = "retail_strata",
+    conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """Session with adaptive execution on; master and sizing come from spark-submit or ``conf``."""
+    """Session with adaptive execution on; master and sizing come from spark-submit or ``conf``.
+
+    Adaptive execution merges shuffle partitions but adds none to an aggregate, so a large run
+    says how large its input is, and shuffles start with enough partitions for it (100 TB: some
+    400,000). Without it Spark's own number holds, which suits inputs up to some 50 GB.
+    """
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**DEFAULTS, **(conf or {})}.items():
+    sizing = {}
+    if input_bytes is not None:
+        number = max(200, -(-input_bytes // PARTITION_BYTES))
+        sizing["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(number)
+    for key, value in {**DEFAULTS, **sizing, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local master, where driver and executors share one disk, may go without the setting.
-    """
+    """Folder every executor can reach, named by ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="retail-strata-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared scratch folder."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_root(spark))

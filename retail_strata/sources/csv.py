@@ -2,15 +2,51 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_strata.schemas import CLOUD_SCHEMAS
 
 
+def header_files(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """The files at ``path`` by their header line, found in one pass over their first lines.
+
+    Files without a line are left out. A header has one line.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+    first = (
+        lines.filter("start = 0")
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"))
+        .groupBy("header")
+        .agg(F.sort_array(F.collect_list("file")).alias("files"))
+    )
+    return {row["header"]: [unquote(f) for f in row["files"]] for row in first.collect()}
+
+
 def read_csv(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
-    """CSV with a header row; every column is a string."""
-    return spark.read.options(header=True, **options).csv(path)
+    """CSV with a header row; every column is a string.
+
+    Columns are bound by name. Spark alone would take one file's header for all of them, so files
+    with other headers are read apart, and a column that a file lacks is NULL in its rows.
+    """
+
+    def read(files: str | list[str]) -> DataFrame:
+        return spark.read.options(header=True, **options).csv(files)
+
+    by_header = header_files(spark, path)
+    if len(by_header) < 2:
+        return read(path)
+    parts = [read(by_header[header]) for header in sorted(by_header)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def bind_schema(df: DataFrame, schema: dict[str, str]) -> DataFrame:
@@ -33,5 +69,5 @@ def bind_schema(df: DataFrame, schema: dict[str, str]) -> DataFrame:
 def read_entity(
     spark: SparkSession, path: str | list[str], entity: str, **options: str
 ) -> DataFrame:
-    """CSV of a cloud entity with its declared schema, whatever the order of the file's columns."""
+    """CSV of a cloud entity with its declared schema, whatever the order of each file's columns."""
     return bind_schema(read_csv(spark, path, **options), CLOUD_SCHEMAS[entity])

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from fnmatch import fnmatch
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,39 +14,42 @@ from retail_strata.sources.csv import read_csv
 
 def list_entries(
     spark: SparkSession, folder: str, suffix: str = ".csv", files: str = "*.csv"
-) -> DataFrame:
-    """``(entry, modified)``: what lies directly in ``folder`` under a name ending in ``suffix``.
+) -> list[tuple[int, str]] | None:
+    """``(modified, entry)`` of what lies in ``folder`` under a name ending in ``suffix``.
 
     An entry is a file, or a folder written by Spark, as new as its newest part. Only ``files``
-    count, so markers such as ``_SUCCESS`` and uncommitted output never do. File contents are
-    not read.
+    count, so markers such as ``_SUCCESS`` and uncommitted output never do. The folder is listed
+    once and nothing is opened; None if it is missing.
     """
-    below = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//)?", "", folder).rstrip("/")
-    entry = F.regexp_extract("path", rf"\Q{below}\E/([^/]+)", 1)
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", files)
-        .load(folder)
-        .select(entry.alias("entry"), F.col("modificationTime").alias("modified"))
-        .filter(F.col("entry").endswith(suffix))
-        .groupBy("entry")
-        .agg(F.max("modified").alias("modified"))
-    )
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return None
+
+    def shown(name: str) -> bool:
+        return not name.startswith(("_", ".")) and fnmatch(name, files)
+
+    found = []
+    for status in system.listStatus(path):
+        name = status.getPath().getName()
+        if not name.endswith(suffix) or name.startswith(("_", ".")):
+            continue
+        if status.isFile():
+            times = [status.getModificationTime()] if shown(name) else []
+        else:
+            parts = system.listStatus(status.getPath())
+            times = [p.getModificationTime() for p in parts if p.isFile() and shown(p.getPath().getName())]
+        if times:
+            found.append((max(times), name))
+    return found
 
 
 def latest_entry(
     spark: SparkSession, folder: str, suffix: str = ".csv", files: str = "*.csv"
 ) -> str | None:
     """Path of the newest entry (ties: greatest name); None if the folder is missing or has none."""
-    try:
-        entries = list_entries(spark, folder, suffix, files)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    newest = entries.agg(F.max(F.struct("modified", "entry")).alias("newest")).first()["newest"]
-    return None if newest is None else f"{folder.rstrip('/')}/{newest['entry']}"
+    entries = list_entries(spark, folder, suffix, files)
+    return f"{folder.rstrip('/')}/{max(entries)[1]}" if entries else None
 
 
 def read_latest(spark: SparkSession, folder: str, **options: str) -> DataFrame | None:
@@ -61,11 +64,16 @@ def latest_snapshot(
     """Rows of the newest file of every folder, for rows that carry folder, file and file time.
 
     The newest file per folder comes from one aggregate that is combined before its shuffle; the
-    semi join back can be split by adaptive execution where one file holds much of the data.
+    semi join back can be split by adaptive execution where one file holds much of the data. A
+    NULL folder is a folder like others, and so is a NULL file.
     """
     newest = (
         df.groupBy(*folder)
         .agg(F.max(F.struct(modified, file)).alias("_newest"))
-        .select(*folder, F.col("_newest").getField(file).alias(file))
+        .select(
+            *[F.col(name).alias(f"_{name}") for name in folder],
+            F.col("_newest").getField(file).alias(f"_{file}"),
+        )
     )
-    return df.join(newest, [*folder, file], "left_semi")
+    same = [df[name].eqNullSafe(newest[f"_{name}"]) for name in [*folder, file]]
+    return df.join(newest, reduce(lambda a, b: a & b, same), "left_semi")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,9 @@ from retail_strata.functions.dates import parse_run_date
 from retail_strata.sources.latest import latest_entry
 
 
+LOG = logging.getLogger(__name__)
+
+
 class MissingInputError(FileNotFoundError):
     """A required input is not there."""
 
@@ -32,23 +36,22 @@ def read_partition(
     """One dated partition of a layer table, with its ``ingest_date``.
 
     Only that date's folder is listed, however many dates the table holds. For a table written
-    with run ids, ``run_id`` picks the run, or the newest with ``"latest"``.
+    with run ids, ``run_id`` picks the run; without it the newest run is read.
     """
     path = partition_path(root, table, run_date)
-    if run_id == "latest":
-        newest = latest_entry(spark, path, suffix="", files="*.parquet")
-        if newest is None:
-            raise MissingInputError(path)
-        path = newest
-    elif run_id is not None:
+    if run_id is not None:
         path = f"{path}/run_id={run_id}"
+    else:
+        newest = latest_entry(spark, path, suffix="", files="*.parquet")
+        if newest is not None and newest.rsplit("/", 1)[1].startswith("run_id="):
+            path = newest
     try:
         df = spark.read.option("basePath", f"{root.rstrip('/')}/{table}").parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise MissingInputError(path) from error
         raise
-    return df.drop("run_id") if run_id is not None else df
+    return df.drop("run_id") if "/run_id=" in path else df
 
 
 def read_layer(
@@ -86,6 +89,8 @@ def read_entities(
             found[entity] = df
     if missing and on_missing == "fail":
         raise MissingInputError(f"no input for {', '.join(missing)}")
+    for entity in missing:
+        LOG.warning("no input for %s: left out", entity)
     return found
 
 

@@ -26,6 +26,7 @@ def test_run_date_column(spark, ansi):
 def test_run_date_parameter():
     assert fn.parse_run_date("2025-02-07") == dt.date(2025, 2, 7)
     assert fn.parse_run_date(dt.date(2025, 2, 7)) == dt.date(2025, 2, 7)
+    assert fn.parse_run_date(dt.datetime(2025, 2, 7, 10, 15)) == dt.date(2025, 2, 7)
     with pytest.raises(ValueError):
         fn.parse_run_date("20250207")
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from retail_strata import plans
 from retail_strata.operators import attach_customer_key, enrich_with_customer, left_join
-from retail_strata.operators.frequent import frequent_keys
 from tests.helpers import rows
 
 CUSTOMERS = "customer_id string, full_name string, email string, city string, state string"
@@ -158,19 +157,28 @@ def test_split_keys_give_the_plain_left_join(spark, left, right, rows_per_split)
     assert rows(actual) == rows(lefts.join(rights, "k", "left"))
 
 
-def test_frequent_keys(spark):
-    df = spark.range(1000).select(
-        F.when(F.col("id") < 700, "a").otherwise(F.col("id").cast("string")).alias("k")
+def test_every_frequent_key_is_split_and_no_job_runs_before(spark, conf):
+    conf(adaptive__enabled="false", shuffle__partitions="32")
+    # 600 keys of 40 rows each, one of 1/5,000 of the rows with 40 too, and others with one row.
+    n = 200_000
+    key = (
+        F.when(F.col("id") < 24_000, F.col("id") % 600)
+        .when(F.col("id") < 24_040, F.lit(-1))
+        .otherwise(F.col("id"))
     )
-    assert frequent_keys(df, "k", 200) == {"a": 700}
-    assert frequent_keys(df, "k", 700) == {}
-    assert frequent_keys(df.limit(0), "k", 10) == {}
-    nulls = spark.range(1000).select(F.lit(None).cast("string").alias("k"))
-    assert frequent_keys(nulls, "k", 10) == {None: 1000}
-
-
-def test_a_frequent_key_is_found_across_many_tasks(spark):
-    n = 300_000
-    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
-    df = spark.range(0, n, 1, 64).select(hot.alias("k"))
-    assert list(frequent_keys(df, "k", n // 10)) == ["hot"]
+    right = spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").alias("r"))
+    left = right.select("k").distinct()
+    context = spark.sparkContext
+    context.setJobGroup("plan", "building a plan")
+    joined = left_join(left, right, "k", ["r"], rows_per_split=20)
+    assert not context.statusTracker().getJobIdsForGroup("plan")
+    placed = joined.select("k", F.spark_partition_id().alias("task"))
+    tasks = placed.groupBy("k").agg(
+        F.count("*").alias("rows"), F.countDistinct("task").alias("tasks")
+    )
+    found = {r["k"]: r for r in tasks.filter("rows > 1").collect()}
+    assert set(found) == {*range(600), -1}
+    assert all(r["rows"] == 40 for r in found.values())
+    # Two splits of a key meet in one of 32 partitions by chance.
+    assert sum(r["tasks"] > 1 for r in found.values()) > 550
+    assert joined.count() == n

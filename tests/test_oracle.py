@@ -62,7 +62,7 @@ def test_known_row_counts(spark, name):
 def test_entry_points(spark):
     assert entry_module.entry(spark).count() > 0
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == {"preview_limit"}
+    assert set(QUERIES) == set(ORACLE_SQL) and set(QUERIES) <= set(entry_module.queries())
 
 
 def test_gold_properties(spark):

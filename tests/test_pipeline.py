@@ -5,13 +5,21 @@ import datetime as dt
 import pytest
 
 from retail_strata import plans
-from retail_strata.schemas import GOLD_ORDER_LINES, RAW_COLUMNS
+from retail_strata.schemas import GOLD_ORDER_LINES
 from retail_strata.sources import MissingInputError, read_layer
 from tests.helpers import rows
 
 NOON = dt.datetime(2025, 2, 7, 12)
 DAY = "2025-02-07"
 
+# The raw CSV headers.
+RAW_COLUMNS = {
+    "customers": ["customer_id", "full_name", "email", "address", "city", "state"],
+    "products": ["product_id", "product_name", "category", "price"],
+    "orders": ["order_id", "order_date", "customer_id", "total_amount", "order_status"],
+    "order_items": ["order_item_id", "order_id", "product_id", "quantity", "unit_price"],
+}
+
 ROWS = {
     "customers": ["1,Ann,Ann@X.com,1 Main St,Ohio,OH", "1,Ann,Ann@X.com,1 Main St,Ohio,OH"],
     "products": ["7,Pan,Kitchen,9.99"],

@@ -70,7 +70,7 @@ def test_runs_accumulate_under_run_ids(spark, tmp_path):
     write_layer(spark.range(5), root, "t", "2025-02-07", run_id="20250207_090000")
     write_layer(spark.range(7), root, "t", "2025-02-07", run_id="20250207_100000")
     assert read_layer(spark, root, "t", "2025-02-07", run_id="20250207_090000").count() == 5
-    newest = read_layer(spark, root, "t", "2025-02-07", run_id="latest")
+    newest = read_layer(spark, root, "t", "2025-02-07")
     assert newest.columns == ["id"] and newest.count() == 7
 
 

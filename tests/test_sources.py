@@ -61,6 +61,45 @@ def test_typed_csv_fills_absent_columns_with_null(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("as_list", [True, False])
+def test_files_with_other_headers_bind_by_name(spark, tmp_path, as_list):
+    put(tmp_path / "a b", "1.csv", "order_id,customer_id,order_date,total_amount\no1,c1,2025-01-01,1.5\n", 1000)
+    put(tmp_path / "c", "2.csv", "order_id,order_date,customer_id,total_amount,order_status\no2,2025-01-02,c2,2,X\n", 1000)
+    put(tmp_path / "c", "3.csv", "", 1000)
+    put(tmp_path / "c", "4.csv", "total_amount,order_id\n4,o4\n", 1000)
+    paths = [f"{tmp_path}/a b", f"{tmp_path}/c"] if as_list else f"{tmp_path}/*"
+    assert rows(read_entity(spark, paths, "orders")) == {
+        ("o1", "c1", "2025-01-01", 1.5): 1,
+        ("o2", "c2", "2025-01-02", 2.0): 1,
+        ("o4", None, None, 4.0): 1,
+    }
+    found = read_csv(spark, paths)
+    assert set(found.columns) == {"order_id", "customer_id", "order_date", "total_amount", "order_status"}
+    assert rows(found.select("order_id", "order_status")) == {("o1", None): 1, ("o2", "X"): 1, ("o4", None): 1}
+
+
+def test_the_newest_run_is_read_by_default(spark, tmp_path):
+    for run_id, n in (("run_1", 3), ("run_2", 5)):
+        write_layer(spark.range(n), str(tmp_path), "t", "2025-02-07", run_id)
+        path = tmp_path / "t" / "ingest_date=2025-02-07" / f"run_id={run_id}"
+        for part in path.iterdir():
+            os.utime(part, (1000 * n, 1000 * n))
+    newest = read_layer(spark, str(tmp_path), "t", "2025-02-07")
+    assert newest.columns == ["id"] and newest.count() == 5
+    assert read_layer(spark, str(tmp_path), "t", "2025-02-07", "run_1").count() == 3
+
+
+def test_a_null_folder_is_a_folder(spark):
+    df = spark.createDataFrame(
+        [(None, "f1", 5), (None, None, 9), ("d", None, 1), ("d", None, 1)],
+        "folder string, file string, modified int",
+    )
+    assert rows(latest_snapshot(df, ["folder"], "file", "modified")) == {
+        (None, None, 9): 1,
+        ("d", None, 1): 2,
+    }
+
+
 def test_the_newest_file_wins_whatever_its_name(spark, tmp_path):
     folder = tmp_path / "raw_orders" / "20250207"
     put(folder, "z_old.csv", "id\nold\n", 1000)
