@@ -36,7 +36,7 @@ LEAF = 32_768
 #: Tokens on each side of a join in the first window, and tokens that must agree.
 WINDOW, AGREE = 16, 4
 #: Words a worker remembers, and the longest such word in bytes.
-REMEMBERED, WORD_BYTES = 250_000, 64
+REMEMBERED, WORD_BYTES = 500_000, 64
 
 _WHITE = re.compile(r"[\t-\r ]")
 _RUNS = re.compile(r"[^\t-\r ]+")
@@ -54,6 +54,7 @@ def load(path: str):
     return tokenizer
 
 
+_MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
 #: Words that need no normalising but lower case: printable ASCII, Latin letters with accents.
 _PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017e]+")
 
@@ -99,7 +100,7 @@ class Memory(dict):
 
 
 class WordEncoder:
-    """Ids of texts, word by word, with bounded memories of words and of the pieces they split in."""
+    """Ids of texts, word by word, with a bounded memory of words and of the pieces they split in."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = load(path)
@@ -107,19 +108,30 @@ class WordEncoder:
         pattern = _split_pattern(self.tokenizer)
         self.split = regex.compile(pattern).findall if pattern else None
         self.added = [str(t) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # No added token can lie within ASCII letters and one mark.
+        self.quick = self.split is not None and not any(
+            re.fullmatch("[A-Za-z]*[.,;:!?]?", t) for t in self.added
+        )
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.words = Memory(self._word)
-        self.pieces = Memory(self._piece)
 
-    def _piece(self, piece: str) -> bytes:
-        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+    def _piece(self, piece: bytes) -> bytes:
+        shown = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
+        known = self.words
+        if self.quick:  # letters are one piece, and so is a mark after them
+            if word.isalpha():
+                low = word.lower()
+                return self._piece(word) if low == word else known[low]
+            if word[-1:] in _MARKS and word[:-1].isalpha():
+                return known[word[:-1].lower()] + known[word[-1:]]
         text = word.decode()
         if self.split is not None and _PLAIN.fullmatch(text):
             if not any(t in text for t in self.added):
-                return b"".join(map(self.pieces.__getitem__, self.split(text.lower())))
+                pieces = [p.encode() for p in self.split(text.lower())]
+                return self._piece(word) if pieces == [word] else b"".join([known[p] for p in pieces])
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
