@@ -38,12 +38,12 @@ def test_the_comparison_sees_a_difference(duck):
 
 
 COUNTS = {
-    "silver_customers": 1285,
-    "silver_orders_valid": 12844,
+    "silver_customers": 1500,
+    "silver_orders_valid": 14113,
     "silver_items_valid": 57663,
     "silver_order_items": 49434,
-    "silver_orders": 10630,
-    "silver_products": 45707,
+    "silver_orders": 11696,
+    "silver_products": 45735,
     "gold_final_orders": 38829,
     "items_with_customer_key": 57663,
     "gold_cloud_orders": 57663,
