@@ -144,9 +144,12 @@ def disguised(token: str) -> list[str]:
         return []
     found = []
     for stretch in _MIXED.findall(token):
-        core = stretch.rstrip(_EDGES).lstrip(SEPARATORS + "!|+(")
+        whole = stretch.rstrip(SEPARATORS).lstrip(SEPARATORS + "!|+(")
+        core = whole.rstrip(_EDGES)
         if _WORD.search(core) and (not core.isalpha() or _TRIPLE.search(core)):
             found.append(core)
+            if whole != core:  # the signs at its end may be letters too
+                found.append(whole)
     return found
 
 

@@ -47,7 +47,7 @@ def test_each_stage_takes_effect(spark, tables):
 
 
 def test_run_is_the_stages(spark, tables):
-    assert corpus_pipeline.run(spark, tables).count() == 42
+    assert corpus_pipeline.run(spark, tables).count() == 44
 
 
 def test_registered():

@@ -84,7 +84,10 @@ def corpus(prose):
 def test_held_out_accuracy(spark, documents, prose):
     rows = corpus(prose)
     disguise = str.maketrans({"o": "0", "i": "1", "s": "$"})
-    hidden = [(1000 + k, prose(900 + k, 30) + " " + BAD[k % 4].translate(disguise)) for k in range(20)]
+    hidden = [
+        (1000 + k, f"{prose(900 + k, 30)} " + f"{BAD[k % 4]} {BAD[k % 3]}".translate(disguise))
+        for k in range(20)
+    ]  # two words each, as in the rows that are learned from
     df = documents([(k, x) for k, x, _ in rows] + hidden, clash=True)
     labels = spark.createDataFrame([(k, y, "x") for k, _, y in rows], LABELS)
     scorer = t.train(df, "doc_id", "text", labels, "doc_id", "toxic")
