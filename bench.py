@@ -38,6 +38,8 @@ HEADLINE = [
     "purge_published",
     "pipeline_end_to_end",
 ]
+# Queries that write their own input first; only what follows is timed.
+WRITE_FIRST = {"csv_scan_typed", "dated_partition_read"}
 
 
 def main() -> None:
@@ -59,7 +61,10 @@ def main() -> None:
 
     def seconds(name: str) -> float:
         start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        result = QUERIES[name](spark, sf_dir)
+        if name in WRITE_FIRST:
+            start = time.perf_counter()
+        result.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
     timings = {}
