@@ -9,9 +9,9 @@ to visit is calibrated: for ``CALIBRATION`` queries the true neighbours are foun
 with every row, and visits are widened until ``RECALL`` of these lie in visited leaves.
 
 Equal vectors are one point of the index, with the ``k + 1`` least ids that they carry, and equal
-queries are searched once, so copies of a vector add nothing to the work. A leaf's points are dealt
-to blocks of bounded size. Each block answers the queries that visit it with its ``k`` best points,
-and a query's answers are merged by key. Scores are double-precision inner products of the original
+queries are searched once, so copies of a vector add nothing to the work. Leaves make up groups
+of bounded size, and a large leaf is dealt to several. Each group answers the queries that visit
+some of its leaves with the ``k + 1`` best points there, and a query's answers are merged by key. Scores are double-precision inner products of the original
 vectors; ties go to the smaller id.
 
 Vectors that are null, of another length than most, zero, or with null or non-finite components
@@ -26,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_strata.llm.common import stage
@@ -35,8 +35,8 @@ from retail_strata.llm.common import stage
 SAMPLE, BRANCHES, LEAF_POINTS, MAX_LEAVES = 32_768, 16, 256, 4_096
 #: Queries for which all neighbours are looked up, and the share of these that visits must reach.
 CALIBRATION, RECALL = 256, 0.97
-#: Points of a block.
-BLOCK = 4_096
+#: Points of a group, which one task compares with the queries that visit its leaves.
+GROUP = 16_384
 
 
 class Tree:
@@ -163,8 +163,6 @@ def usable(df: DataFrame, id_column: str, vector: str) -> DataFrame:
 
 def distinct_points(rows: DataFrame, k: int) -> DataFrame:
     """``(key, vector, ids)``: each vector once, with its ``k + 1`` least ids."""
-    from pyspark.sql import Window
-
     ranked = (
         rows.select("key", "id")
         .distinct()
@@ -175,58 +173,90 @@ def distinct_points(rows: DataFrame, k: int) -> DataFrame:
     return rows.groupBy("key").agg(F.first("vector").alias("vector")).join(ids, "key")
 
 
+def lay_out(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First group and number of groups of every leaf.
+
+    Neighbouring leaves share a group of ``GROUP`` points; a larger leaf is dealt to several.
+    """
+    first, parts = np.zeros(len(sizes), dtype=np.int64), np.ones(len(sizes), dtype=np.int64)
+    group, held = 0, 0
+    for leaf, size in enumerate(sizes.tolist()):
+        parts[leaf] = max(1, -(-size // GROUP))
+        if held and held + size > GROUP:
+            group, held = group + 1, 0
+        first[leaf] = group
+        held += size
+        if parts[leaf] > 1:
+            group, held = group + int(parts[leaf]), 0
+    return first, parts
+
+
 def search_points(
-    points: DataFrame, queries: DataFrame, k: int, longest: float, shared, visits: int
+    points: DataFrame, queries: DataFrame, k: int, longest: float, tree: Tree, visits: int
 ) -> DataFrame:
-    """``(query, id, score)``: the best points of every visited block, for every distinct query."""
+    """``(query, id, score)``: the best of the visited leaves of every group, for every query."""
+    spark = points.sparkSession
+    sizes = np.zeros(tree.leaves, dtype=np.int64)
+    for row in points.groupBy("leaf").count().collect():  # a row for each leaf
+        sizes[row["leaf"]] = row["count"]
+    shared = spark.sparkContext.broadcast((tree, *lay_out(sizes)))
 
     def visit(batches):
+        bins, first, parts = shared.value
         for batch in batches:
             vectors = matrix(batch["vector"])
             lifted = lift_queries(vectors, longest) if len(vectors) else vectors
             for row in range(len(vectors)):
-                bins = shared.value.best_bins(lifted[row], visits)
-                at = pa.array([row] * len(bins), pa.int64())
+                groups: dict[int, list[int]] = {}
+                for leaf in bins.best_bins(lifted[row], visits):
+                    for group in range(first[leaf], first[leaf] + parts[leaf]):
+                        groups.setdefault(int(group), []).append(leaf)
+                at = pa.array([row] * len(groups), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bins, pa.int64()), batch["key"].take(at), batch["vector"].take(at)],
-                    ["leaf", "query", "vector"],
+                    [
+                        pa.array(list(groups), pa.int64()),
+                        batch["key"].take(at),
+                        batch["vector"].take(at),
+                        pa.array(list(groups.values()), pa.list_(pa.int64())),
+                    ],
+                    ["group", "query", "vector", "leaves"],
                 )
 
-    wanted = queries.select("key", "vector").mapInArrow(
-        visit, "leaf bigint, query string, vector array<double>"
-    )
-    parts = points.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    dealt = points.join(parts, "leaf").withColumn(
-        "part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    def deal(batches):
+        _, first, parts = shared.value
+        for batch in batches:
+            leaf = batch["leaf"].to_numpy()
+            group = first[leaf] + batch["hash"].to_numpy() % parts[leaf]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(group), batch["leaf"], batch["vector"], batch["ids"]],
+                ["group", "leaf", "vector", "ids"],
+            )
+
+    asked = queries.select("key", "vector").mapInArrow(
+        visit, "group bigint, query string, vector array<double>, leaves array<bigint>"
     )
-    asked = wanted.join(parts, "leaf").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    dealt = points.select("leaf", "vector", "ids", F.xxhash64("key").alias("hash")).mapInArrow(
+        deal, "group bigint, leaf bigint, vector array<double>, ids array<bigint>"
     )
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table(
-                {
-                    "query": pa.array([], pa.string()),
-                    "id": pa.array([], pa.int64()),
-                    "score": pa.array([], pa.float64()),
-                }
-            )
-        vectors = matrix(left["vector"])
-        ids = left["ids"].to_pylist()
-        owner = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
-        every = np.array([i for x in ids for i in x], dtype=np.int64)
         query, found, scores = [], [], []
-        names = right["query"].to_pylist()
-        asked_vectors = right["vector"].to_pylist()
-        for first in range(0, len(names), 256):
-            part = np.array(asked_vectors[first : first + 256], dtype=np.float64)
-            all_scores = part @ vectors.T
-            for name, row in zip(names[first : first + 256], all_scores, strict=True):
-                some = best(row[owner], every, k + 1)
-                query += [name] * len(some)
-                found += every[some].tolist()
-                scores += row[owner[some]].tolist()
+        if left.num_rows and right.num_rows:
+            vectors = matrix(left["vector"])
+            leaf = left["leaf"].to_numpy()
+            ids = left["ids"].to_pylist()
+            owner = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+            every = np.array([i for x in ids for i in x], dtype=np.int64)
+            names, asked_vectors = right["query"].to_pylist(), right["vector"].to_pylist()
+            visited = right["leaves"].to_pylist()
+            for start in range(0, len(names), 128):
+                part = np.array(asked_vectors[start : start + 128], dtype=np.float64)
+                for q, row in enumerate(part @ vectors.T, start):
+                    seen = np.flatnonzero(np.isin(leaf[owner], visited[q]))
+                    some = seen[best(row[owner[seen]], every[seen], k + 1)]
+                    query += [names[q]] * len(some)
+                    found += every[some].tolist()
+                    scores += row[owner[some]].tolist()
         return pa.table(
             {
                 "query": pa.array(query, pa.string()),
@@ -236,9 +266,8 @@ def search_points(
         )
 
     return (
-        dealt.select("leaf", "part", "vector", "ids")
-        .groupBy("leaf", "part")
-        .cogroup(asked.select("leaf", "part", "query", "vector").groupBy("leaf", "part"))
+        dealt.groupBy("group")
+        .cogroup(asked.groupBy("group"))
         .applyInArrow(answer, "query string, id bigint, score double")
     )
 
@@ -284,8 +313,6 @@ def calibrate(points: DataFrame, sample: DataFrame, k: int, longest: float, tree
             ["q", "score", "leaf"],
         )
 
-    from pyspark.sql import Window
-
     true = (
         points.select("key", "vector", "leaf")
         .mapInArrow(compared, "q int, score double, leaf bigint")
@@ -311,8 +338,6 @@ def nearest(
 
     ``is_query`` makes a condition of the id column.
     """
-    from pyspark.sql import Window
-
     spark = df.sparkSession
     rows = stage(usable(df, id_column, vector), "vectors")
     points = stage(distinct_points(rows, k), "points")
@@ -348,7 +373,7 @@ def nearest(
     distinct = queries.groupBy("key").agg(F.first("vector").alias("vector"))
     some = distinct.orderBy(F.xxhash64("key", F.lit(1)), "key").limit(CALIBRATION)
     visits = calibrate(indexed, some, k, longest, tree)
-    found = search_points(indexed, distinct, k, longest, shared, visits)
+    found = search_points(indexed, distinct, k, longest, tree, visits)
     nearest_first = [F.desc("score"), F.col("id")]
     by_query = Window.partitionBy("query").orderBy(*nearest_first)
     kept = found.withColumn("at", F.row_number().over(by_query)).where(F.col("at") <= k + 1)

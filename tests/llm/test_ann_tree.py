@@ -34,7 +34,7 @@ def brute(rows, k=20):
 @pytest.fixture
 def small_leaves(monkeypatch):
     monkeypatch.setattr(a, "LEAF_POINTS", 40)
-    monkeypatch.setattr(a, "BLOCK", 64)
+    monkeypatch.setattr(a, "GROUP", 150)
 
 
 def test_recall_ranks_and_scores(spark, small_leaves):
@@ -90,3 +90,14 @@ def test_best_bins_visit_every_leaf_once():
     leaves = tree.best_bins(points[0], tree.leaves)
     assert sorted(leaves) == list(range(tree.leaves)) and tree.leaves >= 16
     assert set(tree.assign(points)) <= set(leaves)
+
+
+def test_groups_hold_every_leaf():
+    sizes = np.array([100, 100, a.GROUP, 5, 3 * a.GROUP, 7, 0, 9])
+    first, parts = a.lay_out(sizes)
+    held: dict[int, int] = {}
+    for size, f, p in zip(sizes, first, parts, strict=True):
+        for g in range(f, f + p):
+            held[g] = held.get(g, 0) + size / p
+    assert parts.tolist() == [1, 1, 1, 1, 3, 1, 1, 1]
+    assert max(held.values()) <= a.GROUP and sorted(held) == list(range(len(held)))
