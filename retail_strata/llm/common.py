@@ -166,7 +166,6 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.where("u is not null and v is not null and u <> v").select("u", "v").distinct()
     edges = stage(edges, "edges")
-    seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -180,10 +179,12 @@ def components(edges: DataFrame) -> DataFrame:
             down.join(root, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         ).unionByName(root.select("u", F.col("m").alias("v")))
         edges = stage(small.where("u <> v").distinct(), "stars")
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == seen:
+        # Done when all are stars: a node has one edge down, or edges from above, but not both.
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+        ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+        sums = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+        if sums.where("down + up > 1").isEmpty():
             break
-        seen = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

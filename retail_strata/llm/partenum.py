@@ -344,7 +344,8 @@ def star_pairs(members: DataFrame, threshold: int) -> DataFrame:
 def small_group_pairs(rooted: DataFrame, threshold: int) -> DataFrame:
     """Pairs across components of groups with ``SMALL`` members at most, the least sets left out.
 
-    Signatures with the very same members count as one.
+    Signatures with the very same members count as one, and a pair is made in the first of the
+    signatures that its sets share, so that it comes up once.
     """
     small = rooted.where(F.col("size") <= SMALL)
     of_sig = small.groupBy("sig").agg(
@@ -354,13 +355,38 @@ def small_group_pairs(rooted: DataFrame, threshold: int) -> DataFrame:
         F.sum(F.xxhash64("key", F.lit(2)) % (1 << 40)).alias("more"),
     )
     once = of_sig.where("low <> high").groupBy("members", "more").agg(F.min("sig").alias("sig"))
-    some = small.where("key <> least").join(once.select("sig"), "sig")
-    left = some.select(
-        "sig", F.col("key").alias("u"), F.col("root").alias("ru"), F.col("n").alias("m")
+    some = stage(
+        small.where("key <> least").join(once.select("sig"), "sig").select("sig", "key", "root", "n"),
+        "small-groups",
+    )
+    own = some.groupBy("key").agg(F.collect_list("sig").alias("sigs"))  # no more than its prefix
+
+    def paired(table: pa.Table) -> pa.Table:
+        sig = table["sig"][0].as_py()
+        rows = sorted(
+            zip(
+                *(table[c].to_pylist() for c in ("key", "root", "n")),
+                map(frozenset, table["sigs"].to_pylist()),
+                strict=True,
+            ),
+            key=lambda r: r[0],
+        )
+        out = []
+        for j, (v, root, n, sigs) in enumerate(rows):
+            for u, other, m, others in rows[:j]:
+                near = 100 * min(m, n) >= threshold * max(m, n)
+                if root != other and near and u != v and min(sigs & others) == sig:
+                    out.append((u, v, m, n))
+        columns = list(zip(*out, strict=True)) if out else [()] * 4
+        return pa.table(
+            {c: pa.array(x, pa.int64()) for c, x in zip(("u", "v", "m", "n"), columns, strict=True)}
+        )
+
+    return (
+        some.join(own, "key")
+        .groupBy("sig")
+        .applyInArrow(paired, "u bigint, v bigint, m bigint, n bigint")
     )
-    right = some.select("sig", F.col("key").alias("v"), F.col("root").alias("rv"), "n")
-    pairs = left.join(right, "sig").where("u < v and ru <> rv")
-    return pairs.where(alike(F.col("m"), F.col("n"), threshold)).select("u", "v", "m", "n").distinct()
 
 
 def beside(pairs: DataFrame, sets: DataFrame, *carried: str) -> DataFrame:
@@ -466,42 +492,22 @@ def forest(pairs: np.ndarray) -> list[tuple[int, int]]:
 def open_groups(rooted: DataFrame) -> DataFrame:
     """``(group, key, root, n)``: members of larger groups that several components share.
 
-    The groups are those of the signatures, or, where that is less to send around, the sets that
-    such signatures connect, once for all of them. Either way a group holds every pair of sets that
-    share a signature and lie in different components.
+    Groups with the same least set are one, so that a set they share is sent around once; that set
+    has been compared with every member already.
     """
     large = rooted.where(F.col("size") > SMALL)
     parted = (
         large.groupBy("sig")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("n").alias("elements"))
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
         .where("low <> high")
-        .select("sig", "elements")
-    )
-    unsettled = stage(large.join(parted, "sig"), "unsettled")
-    near = components(
-        unsettled.where("key <> least").select(F.col("least").alias("u"), F.col("key").alias("v"))
-    ).select(F.col("node").alias("key"), F.col("root").alias("near"))
-    sent = F.col("elements") * F.ceil(F.col("elements") / BLOCK_ELEMENTS)
-    by_sig = (
-        unsettled.where("key = least")
-        .join(near, "key")
-        .groupBy("near")
-        .agg(F.sum(sent).alias("by_sig"))
+        .select("sig")
     )
-    sets = unsettled.select("key", "root", "n").distinct().join(near, "key")
-    together = sets.groupBy("near").agg(F.sum("n").alias("elements"))
-    choice = together.join(by_sig, "near").select("near", (sent <= F.col("by_sig")).alias("merge"))
-    choice = stage(choice, "choice")
-    merged = sets.join(choice.where("merge"), "near").select(
-        F.col("near").alias("group"), "key", "root", "n"
-    )
-    apart = (
-        unsettled.where("key <> least")  # compared with every member already
-        .join(near, "key")
-        .join(choice.where("not merge"), "near")
-        .select(F.col("sig").alias("group"), "key", "root", "n")
+    return (
+        large.where("key <> least")
+        .join(parted, "sig")
+        .select(F.col("least").alias("group"), "key", "root", "n")
+        .distinct()
     )
-    return merged.unionByName(apart)
 
 
 def verify_groups(groups: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
