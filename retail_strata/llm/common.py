@@ -129,33 +129,45 @@ def as_long(x: np.ndarray) -> pa.Array:
 class HashFilter:
     """A bitmap of hashes whose size is bounded; it lets other hashes through now and then.
 
-    Sixteen bits for each hash as long as that stays within ``MAX_BITS`` (8 MB). Past that more
-    foreign hashes pass, and the exact join that follows has more to drop; no row is lost.
+    Each hash sets two bits, among ``spread`` for each hash as long as that stays within
+    ``MAX_BITS`` (16 MB). Past that more foreign hashes pass, and the exact join that follows has
+    more to drop; no row is lost.
     """
 
-    MAX_BITS = 26
+    MAX_BITS = 27
 
     def __init__(self, bits: int, words: np.ndarray) -> None:
         self.bits, self.words = bits, words
 
     @classmethod
-    def of(cls, df: DataFrame, column: str) -> HashFilter:
-        size = df.count()
-        bits = min(cls.MAX_BITS, max(12, (16 * size).bit_length()))
-        slots = df.select(F.shiftrightunsigned(F.col(column), 64 - bits).alias("slot"))
-        packed = slots.groupBy(F.expr("shiftright(slot, 5)").alias("at")).agg(
-            F.expr("bit_or(shiftleft(1L, cast(slot % 32 as int)))").alias("word")
+    def of(cls, df: DataFrame, column: str, spread: int = 32) -> HashFilter:
+        bits = min(cls.MAX_BITS, max(12, (spread * df.count()).bit_length()))
+        both = F.array(
+            F.shiftrightunsigned(F.col(column), 64 - bits),
+            F.shiftrightunsigned(F.col(column), 64 - 2 * bits).bitwiseAND(F.lit((1 << bits) - 1)),
+        )
+        packed = (
+            df.select(F.explode(both).alias("slot"))
+            .groupBy(F.expr("shiftright(slot, 5)").alias("at"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(slot % 32 as int)))").alias("word"))
         )
         words = np.zeros(1 << (bits - 5), dtype=np.uint32)
         found = packed.toPandas()
         words[found["at"].to_numpy(dtype=np.int64)] = found["word"].to_numpy(dtype=np.int64)
         return cls(bits, words)
 
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        slot = hashes >> U64(64 - self.bits)
+    def _bit(self, slot: np.ndarray) -> np.ndarray:
         held = self.words[(slot >> U64(5)).astype(np.int64)]
         return (held >> (slot & U64(31)).astype(np.uint32)) & np.uint32(1) == 1
 
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        found = self._bit(hashes >> U64(64 - self.bits))
+        if found.any():
+            some = np.flatnonzero(found)
+            second = (hashes[some] >> U64(64 - 2 * self.bits)) & U64((1 << self.bits) - 1)
+            found[some] = self._bit(second)
+        return found
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the undirected edges ``(u, v)``; root is the least node.

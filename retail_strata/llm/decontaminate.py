@@ -131,7 +131,8 @@ def documents_with_hits(docs: DataFrame, hashes: DataFrame, masks: list[int]) ->
     ``masks`` numbers the masks in use. ``hits`` are pairs of a hash and its place, packed.
     """
     kind = docs.schema["id"].dataType.simpleString()
-    held = docs.sparkSession.sparkContext.broadcast(HashFilter.of(hashes, "hash"))
+    # A document asks for some thousand hashes, so few may pass by chance.
+    held = docs.sparkSession.sparkContext.broadcast(HashFilter.of(hashes, "hash", spread=2048))
     every = all_masks()
 
     def found(batches):
