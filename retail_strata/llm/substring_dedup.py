@@ -1,11 +1,14 @@
 """Substring deduplication by hashing of sentences and lines.
 
 A text is cut into units: a run of characters up to and with the sentence marks ``. ! ?`` and line
-breaks that follow it. A unit is normalised (lower case, white space as one space, trimmed) and
-hashed to 128 bits. Globally, the occurrence in the least document id is kept, there the first;
-every other occurrence is a repeat. Neighbouring repeats of at least ``min_words`` words together
-are removed; shorter ones are chance meetings of small units and stay. Offsets are code points of
-the original text.
+breaks that follow it, never over a line's end. A unit is normalised (lower case, white space as one
+space, trimmed) and hashed to 128 bits. Globally, the occurrence in the least document id is kept,
+there the first; every other occurrence is a repeat and is removed. Only sentences inside a line
+that is no repeat itself stay if they and their neighbouring repeats have fewer than
+``CHANCE_WORDS`` words together, as those are chance meetings. Whole lines are removed whatever
+their length: as their sentences are repeats wherever they are, only lines of fewer words than that
+need hashes of their own. With ``min_words``, neighbouring repeats of fewer words stay, lines too.
+Offsets are code points of the original text.
 
 Documents with the same id count as one document, so their texts are no repeats of each other; a
 null id ranks last. Null and empty texts have no units. Rows repeated in full are reported once. An
@@ -25,9 +28,9 @@ from pyspark.sql import functions as F
 
 from retail_strata.llm.common import U64, HashFilter, stage
 
-#: Words of neighbouring repeats from which they are removed.
-MIN_WORDS = 20
-_UNIT = re.compile(r"[^\n.!?]+[\n.!?]*|[\n.!?]+")
+#: Words of neighbouring repeats inside a line from which they are removed.
+CHANCE_WORDS = 5
+_UNIT = re.compile(r"[^\n.!?]+[.!?]*\n*|[.!?]+\n*|\n+")
 
 
 def units(text: str) -> list[tuple[bytes, int, int, int]]:
@@ -41,6 +44,20 @@ def units(text: str) -> list[tuple[bytes, int, int, int]]:
     return found
 
 
+def short_lines(text: str, mine: list[tuple[bytes, int, int, int]]) -> list[tuple[bytes, int, int]]:
+    """``(digest, first unit, end unit)`` of every whole line of fewer than ``CHANCE_WORDS`` words."""
+    found, first = [], 0
+    for k in range(1, len(mine) + 1):
+        if k < len(mine) and "\n" not in text[mine[k - 1][1] : mine[k][1]]:
+            continue
+        if sum(u[3] for u in mine[first:k]) < CHANCE_WORDS:
+            words = text[mine[first][1] : mine[k - 1][2]].lower().split()
+            digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16, person=b"line").digest()
+            found.append((digest, first, k))
+        first = k
+    return found
+
+
 def _rows(df: DataFrame, id_column: str, text: str) -> DataFrame:
     return df.select(
         F.col(id_column).cast("bigint").alias("id"),
@@ -50,14 +67,15 @@ def _rows(df: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def repeated_units(rows: DataFrame) -> DataFrame:
-    """``(d1, d2, kept_id)`` of every digest that occurs more than once."""
+    """``(d1, d2, kept_id)`` of every digest of a unit or short line that occurs more than once."""
 
     def found(batches):
         for batch in batches:
             ids, digests, times = [], [], []
             for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 counts: dict[bytes, int] = {}
-                for digest, *_ in units(text or ""):
+                mine = units(text or "")
+                for digest, *_ in [*mine, *short_lines(text or "", mine)]:
                     counts[digest] = counts.get(digest, 0) + 1
                 ids += [doc] * len(counts)
                 digests += counts.keys()
@@ -82,9 +100,13 @@ def repeated_units(rows: DataFrame) -> DataFrame:
     )
 
 
-def candidates(rows: DataFrame, repeated: DataFrame, min_words: int) -> DataFrame:
-    """Units of neighbours that may all be repeated and hold ``min_words`` words together."""
-    held = rows.sparkSession.sparkContext.broadcast(HashFilter.of(repeated, "d1"))
+def candidates(rows: DataFrame, repeated: DataFrame, min_words: int | None) -> DataFrame:
+    """Units of neighbours that may all be repeated and hold enough words, and short lines alike.
+
+    A unit's row has a place ``unit`` and one ``unit``; that of a line has all of its ``units``.
+    """
+    least, whole_lines = (CHANCE_WORDS, True) if min_words is None else (min_words, False)
+    held = rows.sparkSession.sparkContext.broadcast(HashFilter.of(repeated, "d1", spread=8))
 
     def found(batches):
         for batch in batches:
@@ -102,61 +124,91 @@ def candidates(rows: DataFrame, repeated: DataFrame, min_words: int) -> DataFram
                 together = np.bincount(run, weights=words)[run]
                 seen: set[bytes] = set()
                 for k, (digest, start, end, n) in enumerate(mine):
-                    if may[k] and together[k] >= min_words:
+                    if may[k] and together[k] >= least:
                         first = digest not in seen
-                        out.append((doc, key, k, *halves[k].tolist(), start, end, n, first))
+                        out.append((doc, key, k, 1, False, *halves[k].tolist(), start, end, n, first))
                     seen.add(digest)
-            columns = list(zip(*out, strict=True)) if out else [()] * 9
-            kinds = [pa.int64()] * 8 + [pa.bool_()]
+                lines = short_lines(text, mine) if whole_lines else []
+                if not lines:
+                    continue
+                halves = np.frombuffer(b"".join(x[0] for x in lines), dtype="<i8").reshape(-1, 2)
+                may = held.value.has(np.ascontiguousarray(halves[:, 0]).view(U64))
+                for k, (digest, begin, stop) in enumerate(lines):
+                    if may[k]:
+                        out.append(
+                            (doc, key, begin, stop - begin, True, *halves[k].tolist())
+                            + (mine[begin][1], mine[stop - 1][2])
+                            + (sum(u[3] for u in mine[begin:stop]), digest not in seen)
+                        )
+                    seen.add(digest)
+            columns = list(zip(*out, strict=True)) if out else [()] * 11
+            kinds = [pa.int64()] * 4 + [pa.bool_()] + [pa.int64()] * 5 + [pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                ["id", "text_key", "unit", "d1", "d2", "start", "end", "words", "first_here"],
+                ["id", "text_key", "unit", "units", "line", "d1", "d2", "start", "end", "words"]
+                + ["first_here"],
             )
 
     return rows.mapInArrow(
         found,
-        "id bigint, text_key bigint, unit bigint, d1 bigint, d2 bigint, `start` bigint,"
-        " `end` bigint, words bigint, first_here boolean",
+        "id bigint, text_key bigint, unit bigint, units bigint, line boolean, d1 bigint, d2 bigint,"
+        " `start` bigint, `end` bigint, words bigint, first_here boolean",
     )
 
 
-def find_repeats(df: DataFrame, id_column: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
+def neighbours(parts: list[dict]) -> list[list[dict]]:
+    """Parts in order of their units, those that follow on each other together."""
+    runs: list[list[dict]] = []
+    for u in sorted(parts, key=lambda u: u["unit"]):
+        if runs and runs[-1][-1]["unit"] + runs[-1][-1]["units"] == u["unit"]:
+            runs[-1].append(u)
+        else:
+            runs.append([u])
+    return runs
+
+
+def find_repeats(
+    df: DataFrame, id_column: str, text: str, min_words: int | None = None
+) -> DataFrame:
     """``(id, text_key, start, end, units, words, kept_id)`` of every passage to be removed.
 
-    ``kept_id`` is the document that keeps the first unit of the passage.
+    ``kept_id`` is the document that keeps the first unit of the passage. With ``min_words``, lines
+    and sentences of fewer words together with their neighbours are no passages.
     """
+    least = CHANCE_WORDS if min_words is None else min_words
     rows = _rows(df, id_column, text)
     repeated = stage(repeated_units(rows), "repeated-units")
     some = stage(candidates(rows, repeated, min_words), "repeat-candidates")
     repeats = (
         some.join(repeated, ["d1", "d2"])
         .where("not first_here or id > kept_id or (id is null and kept_id is not null)")
-        .dropDuplicates(["id", "text_key", "unit"])
+        .dropDuplicates(["id", "text_key", "unit", "line"])
     )
 
     def passages(batches):
         for batch in batches:
             out = []
             for x in batch.to_pylist():
-                run: list[dict] = []
-                for u in [*sorted(x["units"], key=lambda u: u["unit"]), None]:
-                    if u is not None and (not run or u["unit"] == run[-1]["unit"] + 1):
-                        run.append(u)
-                        continue
-                    words = sum(r["words"] for r in run)
-                    if words >= min_words:
-                        out.append(
-                            (x["id"], x["text_key"], run[0]["start"], run[-1]["end"], len(run))
-                            + (words, run[0]["kept_id"])
-                        )
-                    run = [u]
+                long = [
+                    run
+                    for run in neighbours([u for u in x["units"] if not u["line"]])
+                    if sum(u["words"] for u in run) >= least
+                ]
+                inside = {u["unit"] for run in long for u in run}
+                short = neighbours([u for u in x["units"] if u["line"] and u["unit"] not in inside])
+                for run in long + short:
+                    out.append(
+                        (x["id"], x["text_key"], run[0]["start"], run[-1]["end"])
+                        + (sum(u["units"] for u in run), sum(u["words"] for u in run))
+                        + (run[0]["kept_id"],)
+                    )
             columns = list(zip(*out, strict=True)) if out else [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns],
                 ["id", "text_key", "start", "end", "units", "words", "kept_id"],
             )
 
-    one = F.struct("unit", "start", "end", "words", "kept_id")
+    one = F.struct("unit", "units", "line", "start", "end", "words", "kept_id")
     return (
         repeats.groupBy("id", "text_key")
         .agg(F.collect_list(one).alias("units"))  # the units of one document

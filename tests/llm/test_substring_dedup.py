@@ -78,3 +78,39 @@ def test_short_meetings_stay(documents):
 
 def test_empty_table(documents):
     assert run(documents([])) == []
+
+
+def test_short_lines_go_and_chance_meetings_inside_lines_stay(documents, spark):
+    from pyspark.sql import functions as F
+
+    line, later = "A short line of six words", "Yes. No.\n"
+    rows = [(1, f"Ok. Head one.\n{line}\n{later}"), (2, f"{line}\nOk. Other text\n{later}Ok. x y z")]
+    rows += [(3, f"Own words here\n...\n{line}\nOwn\nNo.\nNo. \n...\nEnd"), (4, "no.\n Yes.  no. \nlast")]
+    rows += [(5, f"{line}\n" * 3), (6, f"In a row: more. {line.upper()}! Then {line}.")]
+    rows += [(7, f"First here: {line}! On and on. {line}. {line}!")]
+    rows += [(8, "A short line of six words! Not a whole line.")]
+    df = documents(rows)
+    got = s.remove(df, "doc_id", "text", s.find_repeats(df, "doc_id", "text"))
+    texts = {r.doc_id: r.text for r in got.select("doc_id", F.col("text")).collect()}
+    assert texts[1] == rows[0][1]
+    assert texts[2] == " Other text\nOk. x y z"  # the first Ok. is a neighbour of the line that goes
+    assert texts[3] == "Own words here\n...\nOwn\nNo.\nEnd"
+    assert texts[4].split() == ["last"]
+    assert texts[5] == ""
+    assert texts[6].startswith("In a row: more.")
+    assert "a short line" not in texts[8].lower() and "Not a whole line." in texts[8]
+
+
+def test_every_later_line_goes(documents, prose):
+    lines = [f"{prose(k, 1 + k % 9)}" for k in range(12)]
+    rows = [(d, "\n".join([f"only {d}", *lines[d % 5 :], *lines[: d % 7]])) for d in range(6)]
+    rows += [(9, "\n.lead\nyes\n.lead\nyes\n"), (10, "yes\n?!\n.lead\nnew")]
+    df = documents(rows)
+    left = s.remove(df, "doc_id", "text", s.find_repeats(df, "doc_id", "text"))
+    seen = set()
+    for _, text in sorted((r.doc_id, r.text) for r in left.collect()):
+        for line in filter(None, (" ".join(x.lower().split()) for x in text.split("\n"))):
+            assert line not in seen
+            seen.add(line)
+    whole = {" ".join(x.lower().split()) for _, t in rows for x in t.split("\n")} - {""}
+    assert whole == seen
