@@ -108,6 +108,7 @@ class WordEncoder:
         pattern = _split_pattern(self.tokenizer)
         self.split = regex.compile(pattern).findall if pattern else None
         self.added = [str(t) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added_low = [t.lower() for t in self.added]
         # No added token can lie within ASCII letters and one mark.
         self.quick = self.split is not None and not any(
             re.fullmatch("[A-Za-z]*[.,;:!?]?", t) for t in self.added
@@ -129,18 +130,16 @@ class WordEncoder:
                 return known[word[:-1].lower()] + known[word[-1:]]
         text = word.decode()
         if self.split is not None and _PLAIN.fullmatch(text):
-            if not any(t in text for t in self.added):
-                pieces = [p.encode() for p in self.split(text.lower())]
+            low = text.lower()  # an added token in other letters is none, but would be once lowered
+            if not any(t in low for t in self.added_low):
+                pieces = [p.encode() for p in self.split(low)]
                 return self._piece(word) if pieces == [word] else b"".join([known[p] for p in pieces])
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each UTF-8 text."""
         known = self.words.__getitem__
-        added = [t.encode() for t in self.added]
-        for text in texts:
-            if self.split is not None and not any(t in text for t in added):
-                text = text.lower()  # A to Z, as the tokenizer does itself
+        for text in texts:  # words as they are: letters may compose with marks in one case only
             yield b"".join(map(known, text.split()))
 
 

@@ -83,3 +83,15 @@ def test_bounded_memory(tokenizer_path, monkeypatch, prose):
     for text, ids in zip(texts, found, strict=True):
         whole = bpe.load(tokenizer_path).encode(text, add_special_tokens=False).ids
         assert np.frombuffer(ids, dtype="<u4").tolist() == whole
+
+
+ODD = ["<|ENDOFTEXT|>", "<|EndOfText|>", "x<|EndOfText|>Y", "<|StartOfText|>", "J\u030cA", "j\u030ca"]
+ODD += ["H\u0331", "T\u0308", "W\u030a", "Y\u030a", "H\u0331<|ENDOFTEXT|>", "\u00c9TE", "THE."]
+
+
+@pytest.mark.parametrize("word", ODD)
+def test_words_that_lowering_would_change(tokenizer_path, word):
+    for text in (word, f"The {word} End.", f"{word} <|endoftext|> {word}"):
+        whole = bpe.load(tokenizer_path).encode(text, add_special_tokens=False).ids
+        (ids,) = bpe.WordEncoder(tokenizer_path).encode([text.encode()])
+        assert np.frombuffer(ids, dtype="<u4").tolist() == whole
