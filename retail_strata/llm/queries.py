@@ -20,7 +20,7 @@ from retail_strata.llm import (
     toxicity,
     warc,
 )
-from retail_strata.llm.common import read_table, ship
+from retail_strata.llm.common import read_table, ship, stage
 from retail_strata.llm.token_rollup import TokenRollup
 from retail_strata.session import scratch_path
 
@@ -102,7 +102,8 @@ def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.build_derivatives(
         responses, "page_id", "record_id", "target_uri", "warc_date", "http_head", "payload"
     )
-    return records.withColumn("head_md5", F.md5("head")).drop("head", "block")
+    path = scratch_path(spark, "llm-warc")
+    return warc.written_and_read(stage(records, "warc-records"), path)
 
 
 @query

@@ -14,13 +14,15 @@ the named columns are read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html
 import re
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_strata.llm.html_text import blocks_of
@@ -29,8 +31,8 @@ _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the public name sp
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.I | re.S)
 _LANG = re.compile(r"<html[^>]*\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
 _HREF = re.compile(r"<a\s[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-#: Headers of the HTTP response that the metadata record repeats.
-SOURCE_HEADERS = ("content-type", "content-language", "last-modified", "etag", "server")
+#: Most records of a file, which is read back whole.
+FILE_RECORDS = 4_096
 
 DERIVED = (
     "type string, record_id string, refers_to string, target_uri string, warc_date string,"
@@ -43,18 +45,20 @@ def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def header_fields(text: str) -> dict[str, str]:
-    """The fields of an HTTP head by lower-case name; the last of a name counts."""
-    found = {}
+def header_fields(text: str) -> list[tuple[str, str]]:
+    """Lower-case name and value of every field of an HTTP head, in order and with repeats."""
+    found: list[tuple[str, str]] = []
     for line in re.split(r"\r?\n", text)[1:]:
         name, colon, value = line.partition(":")
-        if colon:
-            found[name.strip().lower()] = " ".join(value.split())
+        if line[:1] in (" ", "\t") and found:  # goes on with the field before
+            found[-1] = (found[-1][0], one_line(f"{found[-1][1]} {line}"))
+        elif colon:
+            found.append((one_line(name).lower(), one_line(value)))
     return found
 
 
 def one_line(text: str) -> str:
-    return " ".join(html.unescape(text).split())
+    return " ".join(text.split())
 
 
 def record(kind: str, source: dict, content_type: str, block: str) -> dict:
@@ -101,17 +105,16 @@ def derive(identifier: str | None, target, date, head: str | None, payload: str
         "payload_digest": digest(body),
         "block_digest": digest(head.encode() + body),
     }
-    headers = header_fields(head)
     title, lang = _TITLE.search(payload), _LANG.search(payload)
-    fields = [(f"source-{name}", headers[name]) for name in SOURCE_HEADERS if name in headers]
+    fields = [(f"source-{name}", value) for name, value in header_fields(head)]
     fields += [
         ("source-payload-length", str(len(body))),
         ("source-payload-digest", source["payload_digest"]),
         ("source-block-digest", source["block_digest"]),
     ]
-    fields += [("title", one_line(title.group(1)))] if title else []
+    fields += [("title", one_line(html.unescape(title.group(1))))] if title else []
     fields += [("language", lang.group(1).lower())] if lang else []
-    fields += [("outlink", one_line("".join(found))) for found in _HREF.findall(payload)]
+    fields += [("outlink", one_line(html.unescape("".join(found)))) for found in _HREF.findall(payload)]
     text = "\n".join(t for t, _ in blocks_of(payload))
     block = "".join(f"{name}: {value}\r\n" for name, value in fields)
     return [
@@ -169,10 +172,58 @@ def write_warc(records: DataFrame, path: str) -> None:
         records.select(F.concat("head", F.lit("\r\n\r\n"), "block"))
         .write.option("lineSep", "\r\n\r\n")
         .option("compression", "gzip")
+        .option("maxRecordsPerFile", FILE_RECORDS)
         .text(path)
     )
 
 
+def records_of(data: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """Head and block of every record of a WARC file, by the records' own lengths."""
+    at = 0
+    while at < len(data):
+        end = data.find(b"\r\n\r\n", at)
+        size = re.search(rb"\r\nContent-Length: (\d+)", data[at:end]) if end >= 0 else None
+        stop = end + 4 + int(size.group(1)) if size else 0
+        if not data.startswith(b"WARC/1.1\r\n", at) or not size or data[stop : stop + 4] != b"\r\n\r\n":
+            raise ValueError(f"no WARC record at byte {at}")
+        yield data[at:end], data[end + 4 : stop]
+        at = stop + 4
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """``(head_md5, content_length, block_digest)`` of the records in WARC files, from their bytes."""
+
+    def read(batches):
+        for batch in batches:
+            for content in batch["content"]:
+                found = list(records_of(gzip.decompress(content.as_py())))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([hashlib.md5(head).hexdigest() for head, _ in found], pa.string()),
+                        pa.array([len(block) for _, block in found], pa.int64()),
+                        pa.array([digest(block) for _, block in found], pa.string()),
+                    ],
+                    ["head_md5", "content_length", "block_digest"],
+                )
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    return files.select("content").mapInArrow(
+        read, "head_md5 string, content_length bigint, block_digest string"
+    )
+
+
+def written_and_read(records: DataFrame, path: str) -> DataFrame:
+    """Records without head and block, and with lengths and digests as they are in files at ``path``.
+
+    A record that the files do not hold has none.
+    """
+    write_warc(records, path)
+    found = read_warc(records.sparkSession, path).distinct()
+    own = records.withColumn("head_md5", F.md5("head")).drop("head", "block")
+    columns = [found[c] if c in ("content_length", "block_digest") else own[c] for c in own.columns]
+    return own.join(found, own["head_md5"] == found["head_md5"], "left").select(*columns)
+
+
 def responses_of_pages(pages: DataFrame, fetched: str) -> DataFrame:
     """Response records of a table of pages: an identifier, the HTTP head and the page itself."""
     length = F.octet_length(F.coalesce("html", F.lit("")))

@@ -80,3 +80,27 @@ def test_same_records_again(spark):
 
 def test_empty_table(spark):
     assert build(spark, [])[1].collect() == []
+
+
+def test_addresses_and_all_headers_stay_as_they_are(spark, tmp_path):
+    url = "https://x/a?id=5&copy=2&section=3&para=1"
+    http = "HTTP/1.1 200 OK\r\nX-B: 1\r\nSet-Cookie: a=1&copy=2\r\nSet-Cookie: b\r\n\tc\r\nX-A: 2\r\n\r\n"
+    meta, _ = warc.derive("<urn:uuid:1>", url, "2025-01-01T00:00:00Z", http, PAGE)
+    assert f"WARC-Target-URI: {url}\r\n" in meta["head"]
+    assert f"WARC-Refers-To-Target-URI: {url}\r\n" in meta["head"]
+    lines = ["x-b: 1", "set-cookie: a=1&copy=2", "set-cookie: b c", "x-a: 2", "payload-length: "]
+    assert meta["block"].startswith("\r\n".join(f"source-{x}" for x in lines))
+
+
+def test_lengths_and_digests_come_from_the_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_RECORDS", 2)
+    rows = [(1, "http://a.example/", PAGE), (2, None, None), (3, "http://b.example/?a&copy=1", "")]
+    rows += [(1, "http://a.example/", PAGE), (1, "http://a.example/", "<p>other")]
+    _, records = build(spark, rows)
+    got = warc.written_and_read(records, str(tmp_path / "w"))
+    expected = records.selectExpr("*", "md5(head) as head_md5").drop("head", "block")
+    assert got.columns == expected.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert warc.read_warc(spark, str(tmp_path / "w")).count() == 2 * len(rows)
+    assert len(glob.glob(str(tmp_path / "w" / "*.gz"))) >= len(rows)
+    assert warc.written_and_read(build(spark, [])[1], str(tmp_path / "e")).collect() == []
