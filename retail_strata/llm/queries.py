@@ -15,18 +15,23 @@ from retail_strata.llm import (
     bpe,
     decontaminate,
     html_text,
+    license_templates,
     partenum,
+    prefix_trie,
     substring_dedup,
+    tokenizer_alignment,
     toxicity,
     warc,
 )
 from retail_strata.llm.common import read_table, ship, stage
+from retail_strata.llm.license_texts import BASE_PHRASES, TEMPLATES
 from retail_strata.llm.token_rollup import TokenRollup
 from retail_strata.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Id that op10 appends to every document.
 END_ID = 2
 #: Time that op4's responses are dated, as the pages have none.
@@ -149,6 +154,32 @@ def op10_token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_documents(shards, "doc_id")
 
 
+@query
+def op11_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_templates.scan_licenses(
+        read_table(spark, sf_dir, "documents"), "doc_id", "text"
+    ).drop("templates")
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenizer_alignment.alignment(
+        read_table(spark, sf_dir, "documents"),
+        "doc_id",
+        "text",
+        public_tokenizers.path(BYTE_TOKENIZER),
+        public_tokenizers.path(PIECE_TOKENIZER),
+    )
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    turns = prefix_trie.number_turns(conversations, "conv_id", "turn", "role", "text")
+    heads = F.crc32(F.col("conv").cast("string").cast("binary")) % 4
+    return prefix_trie.build_trie(*prefix_trie.graft(turns, 20, 3, heads))
+
+
 # A unit is a stretch up to and with its sentence marks and line breaks, as in the operator.
 _UNITS = r"""
     units as (
@@ -183,7 +214,127 @@ _UNITS = r"""
     )
 """
 
+
+
+def _template_pattern(parts: tuple) -> str:
+    """A template as a pattern over words that stand between two spaces each."""
+    found = ""
+    for part in parts:
+        if isinstance(part, license_templates.Word):
+            found += f" {part.text} "
+        elif isinstance(part, license_templates.Optional):
+            found += f"(?:{_template_pattern(part.parts)})?"
+        else:
+            given = "[^ ]+" if part.match is None else "|".join(sorted(part.match, key=lambda x: (-len(x), x)))
+            found += f"(?: (?:{given}) ){{{part.low},{part.high}}}"
+    return found
+
+
+def _license_sql() -> str:
+    patterns = ", ".join(
+        f"('{label}', '{_template_pattern(license_templates.parse(markup))}')"
+        for _, label, markup in TEMPLATES
+    )
+    phrases = ", ".join(
+        f"('{label}', {phrase.split(' ')!r})" for phrase, label in BASE_PHRASES.items()
+    )
+    return rf"""
+        with words as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents
+        ),
+        phrases(label, p) as (values {phrases}),
+        patterns(label, pattern) as (values {patterns}),
+        places as (
+            select doc_id, label, s - 1 as start
+            from (select doc_id, w, unnest(generate_series(1, len(w))) as s from words) t, phrases
+            where w[s] = p[1] and list_slice(w, s, s + len(p) - 1) = p
+        ),
+        base as (
+            select doc_id, count(*) as n_base, min(start) as first_word, max(start) as last_word,
+                string_agg(distinct label, ',' order by label) as base_labels
+            from places group by doc_id
+        ),
+        accepted as (
+            select doc_id, label, unnest(regexp_extract_all(' ' || array_to_string(w, '  ') || ' ', pattern)) as found
+            from words, patterns
+        ),
+        labelled as (
+            select doc_id, string_agg(distinct label, ',' order by label) as labels
+            from (select doc_id, label from places union all select doc_id, label from accepted)
+            group by doc_id
+        ),
+        longest as (
+            select doc_id, max(len(string_split(trim(found), '  '))) as n from accepted group by doc_id
+        )
+        select words.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base,
+            first_word, last_word, coalesce(base_labels, '') as base_labels,
+            coalesce(labels, '') as labels,
+            coalesce(n / len(w), cast(0 as double)) as score
+        from words left join base using (doc_id) left join labelled using (doc_id)
+            left join longest using (doc_id)
+    """
+
+
+_TRIE = r"""
+    with numbered as (
+        select conv_id as c, row_number() over (partition by conv_id order by turn nulls first) as d,
+            [coalesce(role, ''), coalesce(text, '')] as said
+        from conversations where conv_id is not null
+    ),
+    convs as (
+        select c, xor(list_reduce(
+            list_concat([4294967295], flatten(list_transform(string_split(cast(c as varchar), ''),
+                lambda x: [cast(ascii(x) as bigint), -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda s, y: case when y >= 0 then xor(s, y) when s & 1 = 1 then xor(s >> 1, 3988292384)
+                else s >> 1 end), 4294967295) % 4 as h
+        from (select distinct c from numbered)
+    ),
+    rebuilt as (
+        select convs.c, 0 as own, d, said
+        from convs join numbered n on n.c = convs.c - convs.c % 20 and n.d <= h
+        union all
+        select convs.c, 1, d, said from convs join numbered n on n.c = convs.c and n.d > h
+    ),
+    paths as (
+        select convs.c, coalesce(list(said order by own, d) filter (where said is not null), []) as path
+        from convs left join rebuilt using (c) group by convs.c
+    ),
+    steps as (
+        select c, unnest(generate_series(0, len(path))) as depth, path from paths
+    ),
+    nodes as (
+        select list_slice(path, 1, depth) as node, depth, min(c) as conv_id, count(*) as n_convs,
+            sha256(coalesce(string_agg(cast(c as varchar), ',' order by c)
+                filter (where depth = len(path)), '')) as ends_sha256
+        from steps group by node, depth
+    ),
+    counted as (
+        select n.*, list_slice(node, 1, depth - 1) as up,
+            (n_convs - 1) * case when depth = 0 then 0
+                else len(regexp_extract_all(node[depth][2], '[^\x20\x09-\x0D]+')) end as saved,
+            (select count(*) from nodes k where k.depth = n.depth + 1
+                and list_slice(k.node, 1, n.depth) = n.node) as n_children
+        from nodes n
+    ),
+    sums as (
+        select list_slice(b.node, 1, a.d) as node, sum(saved) as saved_tokens,
+            count(*) filter (where n_children = 0) as n_leaves
+        from counted b, (select unnest(generate_series(0, (select max(depth) from nodes))) as d) a
+        where a.d <= b.depth
+        group by list_slice(b.node, 1, a.d)
+    )
+    select t.conv_id, t.depth, p.conv_id as parent_conv_id, t.n_convs, t.n_children, s.n_leaves,
+        cast(s.saved_tokens as bigint) as saved_tokens, t.ends_sha256
+    from counted t join sums s on s.node = t.node
+        left join nodes p on p.depth = t.depth - 1 and p.node = t.up
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_license_templates": _license_sql(),
+    "op13_conversation_trie": _TRIE,
     "op2_token_count_rollup": r"""
         with counted as (
             select doc_id, source, lang,
