@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from checks.dirty import RAW_SQL
-from checks.queries import EVENT_DATE, ONE_DATE
+from checks.queries import EVENT_DATE, ONE_DATE, PURGED_DATE
 
 INGEST_TS = "'2025-02-07 10:00:00'"
 
@@ -239,6 +239,11 @@ SELECT *, 10000 + row_number() OVER (ORDER BY c_custkey) AS id FROM customer""",
 SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_date,
        row_number() OVER (ORDER BY CAST(l_shipdate AS DATE)) AS id
 FROM lineitem""",
+    "surrogate_keys_two_batches": """
+SELECT *, 10000 + row_number() OVER (ORDER BY c_custkey % 2 = 0, c_custkey % 2,
+           CASE WHEN c_custkey % 2 = 0 THEN c_name END, c_custkey) AS id,
+       10000 + count(*) OVER () AS mark
+FROM customer""",
     "high_water_marks": """
 SELECT 'customers' AS entity, 10000 + count(*) AS last_id FROM customer
 UNION ALL SELECT 'products', 10000 + count(*) FROM part
@@ -251,6 +256,16 @@ SELECT count(*) AS total, count(*) FILTER (WHERE {PURGED}) AS removed FROM raw_o
     "purge_partition": f"""
 SELECT event_id, user_id, event_type, value, strftime(CAST(ts AS DATE), '%Y%m%d') AS ingest_date
 FROM events WHERE CAST(ts AS DATE) <> DATE '{EVENT_DATE}'""",
+    "purge_layer": f"""
+SELECT event_id, user_id, event_type, value, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS folder
+FROM events WHERE coalesce(user_id % 7, 1) <> 0 AND CAST(ts AS DATE) <> DATE '{PURGED_DATE}'
+UNION ALL
+SELECT event_id, user_id, event_type, value + 1, '{EVENT_DATE}/run_id=r1'
+FROM events WHERE coalesce(user_id % 7, 1) <> 0 AND CAST(ts AS DATE) = DATE '{EVENT_DATE}'""",
+    "refined_names": """
+SELECT order_id, CASE WHEN CAST(order_id AS BIGINT) % 5 = 0 THEN 'old_raw_' ELSE 'refined_' END
+           || lower(order_status) AS table_name
+FROM raw_orders""",
     "pipeline_end_to_end": "SELECT * FROM gold",
     "rerun_newest": f"""
 SELECT *, {INGEST_TS} AS ingest_timestamp, 'generated' AS source, 'newest' AS run FROM raw_orders

@@ -16,6 +16,7 @@ from retail_strata.functions import (
     date_folder,
     object_bucket,
     object_prefix,
+    refined_name,
     run_date_column,
     run_stamp,
 )
@@ -27,6 +28,7 @@ from retail_strata.sources.csv import bind_schema
 RUN_DATE = "2025-02-07"
 ONE_DATE = "1995-03-15"
 EVENT_DATE = "2024-01-12"
+PURGED_DATE = "2024-01-15"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,13 +99,22 @@ def csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_csv(spark, path)
 
 
-@query
-def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the orders as CSV."""
     path = scratch_path(spark, "csv-typed")
     sinks.write_csv(raw_orders(spark, sf_dir), path)
+    return path
+
+
+def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
     return sources.read_entity(spark, path, "orders")
 
 
+@query
+def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_typed_csv(spark, typed_csv(spark, sf_dir))
+
+
 @query
 def csv_scan_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the orders under one header, the others in another order with one column more."""
@@ -168,14 +179,24 @@ def dated_events(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-@query
-def dated_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = dated_events(spark, sf_dir)
+def read_dated(spark: SparkSession, root: str) -> DataFrame:
     return sources.read_partition(spark, root, "events", EVENT_DATE).withColumn(
         "ingest_date", date_folder(F.col("ingest_date"))
     )
 
 
+@query
+def dated_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_dated(spark, dated_events(spark, sf_dir))
+
+
+#: Of queries that write their own input first: what writes it, and what reads it.
+READS = {
+    "csv_scan_typed": (typed_csv, read_typed_csv),
+    "dated_partition_read": (dated_events, read_dated),
+}
+
+
 @query
 def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "published")
@@ -218,6 +239,16 @@ def object_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def refined_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw table names of the orders, by status, as bronze calls them; others stay as they are."""
+    status = F.lower("order_status")
+    name = F.when(F.col("order_id").cast("bigint") % 5 == 0, F.concat(F.lit("old_raw_"), status))
+    return raw_orders(spark, sf_dir).select(
+        "order_id", refined_name(F.coalesce(name, F.concat(F.lit("raw_"), status))).alias("table_name")
+    )
+
+
 @query
 def skipped_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the entities that have a file, when those without one are left out."""
@@ -512,6 +543,19 @@ def surrogate_keys_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.assign_surrogate_keys(shipped, ["ship_date"], last_id=0)
 
 
+@query
+def surrogate_keys_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of customers, the first of which comes again in another order."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    odd = customers.filter("c_custkey % 2 = 1")
+    batches = ops.KeyedBatches(spark, scratch_path(spark, "keyed"), "customers")
+    batches.add("odd", odd, ["c_custkey"])
+    batches.add("even", customers.filter("c_custkey % 2 = 0"), ["c_name", "c_custkey"])
+    batches.add("odd", odd, ["c_name"])
+    (mark,) = ops.high_water_marks(spark, batches.marks()).filter("entity = 'customers'").select("last_id").first()
+    return batches.rows().withColumn("mark", F.lit(mark))
+
+
 @query
 def high_water_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = ops.high_water_marks(spark)
@@ -556,6 +600,24 @@ def purge_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def purge_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some users' events go from all dates, one date goes whole; one date has a run besides."""
+    root = scratch_path(spark, "purge-layer")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", "user_id", "event_type", "value", F.col("ts").cast("date").alias("ingest_date")
+    )
+    sinks.write_dated(events, f"{root}/events", "ingest_date")
+    again = sources.read_partition(spark, root, "events", EVENT_DATE).drop("ingest_date")
+    sinks.write_layer(again.withColumn("value", F.col("value") + 1), root, "events", EVENT_DATE, "r1")
+    gone = (F.col("user_id") % 7 == 0) | (F.col("ingest_date") == F.lit(PURGED_DATE).cast("date"))
+    ops.purge_layer(spark, root, "events", gone, dry_run=False)
+    files = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/events")
+    return files.withColumn(
+        "folder", F.regexp_extract(F.col("_metadata.file_path"), "/ingest_date=(.*)/[^/]*$", 1)
+    )
+
+
 # Whole pipeline
 
 

@@ -16,7 +16,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--warehouse", required=True, help="folder of the layer tables")
     parser.add_argument("--run-date", type=dt.date.fromisoformat, default=dt.date.today())
     parser.add_argument("--on-missing", choices=["skip", "fail"], default="skip")
-    parser.add_argument("--run-id", help="write beside earlier runs of the date, under this name")
+    parser.add_argument("--run-id", help="name of the run (default: its time); give that of a run that broke off to go on with it")
     parser.add_argument("--input-gb", type=float, help="size of the input, for shuffle partitions")
     args = parser.parse_args(argv)
     if args.layer in ("bronze", "all") and not args.landing:

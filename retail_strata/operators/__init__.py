@@ -14,9 +14,15 @@ from retail_strata.operators.joins import (
     silver_orders,
     silver_products,
 )
-from retail_strata.operators.keys import advance_mark, assign_surrogate_keys, high_water_marks
+from retail_strata.operators.keys import (
+    KeyedBatches,
+    advance_mark,
+    assign_surrogate_keys,
+    high_water_marks,
+)
 from retail_strata.operators.purge import (
     purge_counts,
+    purge_layer,
     purge_partition,
     purge_published,
     purge_rows,
@@ -24,6 +30,7 @@ from retail_strata.operators.purge import (
 from retail_strata.operators.rules import active_orders, valid_items, valid_orders
 
 __all__ = [
+    "KeyedBatches",
     "active_orders",
     "add_ingest_metadata",
     "advance_mark",
@@ -36,6 +43,7 @@ __all__ = [
     "left_join",
     "normalise_email",
     "purge_counts",
+    "purge_layer",
     "purge_partition",
     "purge_published",
     "purge_rows",

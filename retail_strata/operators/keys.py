@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from retail_strata import storage
 from retail_strata.schemas import ENTITIES, FIRST_HIGH_WATER_MARK
 from retail_strata.session import scratch_path
 
@@ -89,3 +91,59 @@ def advance_mark(marks: DataFrame, entity: str, keyed: DataFrame, key: str = "id
     """``marks`` with ``entity`` moved up to the greatest id in ``keyed``; an empty batch moves none."""
     batch = keyed.agg(F.max(key).alias("last_id")).select(F.lit(entity).alias("entity"), "last_id")
     return marks.unionByName(batch).groupBy("entity").agg(F.max("last_id").alias("last_id"))
+
+
+_COMMITS = "position bigint, batch string, attempt string, first_id bigint, last_id bigint"
+
+
+class KeyedBatches:
+    """Batches of one entity with ids that go on from batch to batch, under a folder.
+
+    A batch is written under a name of its own attempt. It takes effect by one commit row, which
+    names the attempt and holds the mark the batch ends at: rows and mark are there together or not
+    at all. A batch that is committed gives the rows it got then when it comes again, whatever is
+    in it now; an attempt that broke off is never read, and its ids are given out anew. One
+    writer at a time is assumed.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, entity: str, key: str = "id") -> None:
+        self.spark, self.entity, self.key = spark, entity, key
+        self.path = f"{root.rstrip('/')}/{entity}"
+
+    def commits(self) -> DataFrame:
+        """One row a batch, with the ids it got; ``last_id`` is the mark after it."""
+        path = f"{self.path}/commits"
+        if not storage.exists(self.spark, path):
+            return self.spark.createDataFrame([], _COMMITS)
+        return self.spark.read.schema(_COMMITS).parquet(path)
+
+    def marks(self) -> DataFrame:
+        """``(entity, last_id)``, as ``high_water_marks`` takes it; no row without a batch."""
+        found = self.commits().groupBy(F.lit(self.entity).alias("entity"))
+        return found.agg(F.max("last_id").alias("last_id"))
+
+    def _read(self, attempts: Sequence[str]) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.path}/rows/{attempt}" for attempt in attempts])
+
+    def add(self, batch: str, df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+        """``df`` with its ids, ascending in ``order_by``; those given before if it was committed."""
+        commits = self.commits()
+        known = commits.filter(F.col("batch") == batch).select("attempt").first()
+        if known is not None:
+            return self._read([known["attempt"]])
+        last = commits.agg(F.max("last_id"), F.max("position")).first()
+        mark = FIRST_HIGH_WATER_MARK if last[0] is None else last[0]
+        attempt = f"{batch}-{uuid.uuid4().hex}"
+        keyed = assign_surrogate_keys(df, order_by, mark, self.key)
+        keyed.write.parquet(f"{self.path}/rows/{attempt}")
+        rows = self._read([attempt])
+        added = rows.count()  # from the footers
+        commit = [((last[1] or 0) + 1, batch, attempt, mark + 1, mark + added)]
+        committed = self.spark.createDataFrame(commit, _COMMITS).coalesce(1)
+        committed.write.mode("append").parquet(f"{self.path}/commits")
+        return rows
+
+    def rows(self) -> DataFrame | None:
+        """All committed batches; None without one."""
+        attempts = [r["attempt"] for r in self.commits().orderBy("position").collect()]
+        return self._read(attempts) if attempts else None

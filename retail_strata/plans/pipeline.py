@@ -3,13 +3,15 @@
 A layer's tables are written before the next layer starts; those that do not depend on each other
 are written at the same time. Later steps read what was written, so no plan is computed twice and
 a lost executor costs a task, not a recomputation from raw. Any failure is raised and stops the
-run. With a run id each table is written beside those of earlier runs of the date, which stay as
-they were; without one a date is overwritten in place.
+run. Each table is written under the run's id, beside those of earlier runs of the date, which stay
+as they were. A run that failed is taken up again under its id: layers that it completed are not
+run again. Layers that are run by themselves, without an id, read the run completed last.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -17,6 +19,7 @@ from functools import partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from retail_strata import storage
 from retail_strata.functions.dates import parse_run_date
 from retail_strata.operators.joins import silver_products
 from retail_strata.plans.bronze import build_bronze
@@ -31,10 +34,12 @@ from retail_strata.plans.marts import (
 from retail_strata.plans.silver import clean_entities, join_entities
 from retail_strata.schemas import ENTITIES, GOLD_ORDER_LINES, GOLD_SALES_BY_CITY, layer_table
 from retail_strata.session import scratch_path
-from retail_strata.sinks.tables import write_layer
+from retail_strata.sinks.tables import new_run_id, write_layer
 from retail_strata.sources.latest import read_latest
 from retail_strata.sources.tables import read_entities, read_layer
 
+LOG = logging.getLogger(__name__)
+
 
 def landing_folder(landing: str, entity: str, run_date: str | dt.date) -> str:
     """``<landing>/raw_<entity>/<yyyymmdd>``."""
@@ -51,6 +56,7 @@ def run_bronze(
     on_missing: str = "skip",
     run_id: str | None = None,
 ) -> dict[str, DataFrame]:
+    run_id = run_id or new_run_id()
     raw = read_entities(
         lambda entity: read_latest(spark, landing_folder(landing, entity, run_date)),
         ENTITIES,
@@ -72,6 +78,7 @@ def run_silver(
     Valid orders feed two joins and are no output themselves, so they go to the scratch folder.
     """
     bronze = _read_entities(spark, warehouse, "bronze", run_date, on_missing, run_id=run_id)
+    run_id = run_id or new_run_id()
     clean = clean_entities(bronze)
 
     silver: dict[str, DataFrame] = {}
@@ -108,6 +115,8 @@ def run_gold(
     silver = _read_entities(
         spark, warehouse, "silver", run_date, "fail", ["customers", "order_items"], run_id
     )
+    products = _read_entities(spark, warehouse, "silver", run_date, "skip", ["products"], run_id)
+    run_id = run_id or new_run_id()
     write_layer(
         build_gold(silver["order_items"], silver["customers"]),
         warehouse,
@@ -122,7 +131,6 @@ def run_gold(
         layer_table("gold", "orders"): gold_orders(gold),
         layer_table("gold", "order_items"): gold_order_items(gold),
     }
-    products = _read_entities(spark, warehouse, "silver", run_date, "skip", ["products"], run_id)
     if "products" in products:
         marts[layer_table("gold", "products")] = gold_products(gold, products["products"])
     together(
@@ -144,10 +152,35 @@ def run_pipeline(
     on_missing: str = "skip",
     run_id: str | None = None,
 ) -> DataFrame:
-    """All layers in order; returns the gold order lines."""
-    run_bronze(spark, landing, warehouse, run_date, ingest_ts, on_missing, run_id)
-    run_silver(spark, warehouse, run_date, on_missing, run_id)
-    return run_gold(spark, warehouse, run_date, run_id)
+    """All layers in order; returns the gold order lines.
+
+    A run that broke off is continued by giving its ``run_id`` again (it is in the log).
+    """
+    run_id = run_id or new_run_id()
+    LOG.info("run %s of %s", run_id, run_date)
+    layers: list[tuple[str, Callable[[], object]]] = [
+        ("bronze", partial(run_bronze, spark, landing, warehouse, run_date, ingest_ts, on_missing, run_id)),
+        ("silver", partial(run_silver, spark, warehouse, run_date, on_missing, run_id)),
+        ("gold", partial(run_gold, spark, warehouse, run_date, run_id)),
+    ]
+    for layer, run in layers:
+        done = layer_marker(warehouse, run_date, run_id, layer)
+        if storage.exists(spark, done):
+            LOG.info("run %s: %s is complete", run_id, layer)
+            continue
+        try:
+            run()
+        except Exception:
+            LOG.error("run %s stopped in %s; run it again under this id", run_id, layer)
+            raise
+        storage.touch(spark, done)
+    return read_layer(spark, warehouse, GOLD_ORDER_LINES, run_date, run_id)
+
+
+def layer_marker(warehouse: str, run_date: str | dt.date, run_id: str, layer: str) -> str:
+    """The file that says that a run has completed a layer."""
+    day = parse_run_date(run_date).isoformat()
+    return f"{warehouse.rstrip('/')}/_runs/{day}/{run_id}/{layer}"
 
 
 def together(spark: SparkSession, actions: Sequence[Callable[[], object]]) -> None:

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.sources.tables import partition_path
+from retail_strata import storage
+from retail_strata.sources.tables import has_runs, partition_path
+
+
+def new_run_id() -> str:
+    """A run id of the time and a random part; later ones sort later."""
+    return f"{dt.datetime.now(dt.UTC):%Y%m%d_%H%M%S_%f}_{uuid.uuid4().hex[:8]}"
 
 
 def write_layer(
@@ -20,12 +27,21 @@ def write_layer(
     """Overwrite one dated partition of a layer table and return its path.
 
     The partition's folder is written directly: other dates are untouched, and an empty result
-    replaces an earlier one instead of leaving it in place. With ``run_id`` runs accumulate.
+    replaces an earlier one instead of leaving it in place. With ``run_id`` runs accumulate; each is
+    marked as complete after its last file, and so is the date. Without one the date is overwritten
+    in place, which is refused where it holds runs.
     """
-    path = partition_path(root, table, run_date)
-    if run_id is not None:
-        path = f"{path}/run_id={run_id}"
+    spark = df.sparkSession
+    date = partition_path(root, table, run_date)
+    if run_id is None:
+        if has_runs(spark, root, table, run_date):
+            raise ValueError(f"{date} holds runs; a write without a run id would delete them")
+        df.write.mode("overwrite").parquet(date)
+        return date
+    path = f"{date}/run_id={run_id}"
     df.write.mode("overwrite").parquet(path)
+    storage.touch(spark, f"{path}/{storage.DONE}")
+    storage.touch(spark, f"{date}/{storage.DONE}")
     return path
 
 

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_strata import storage
 from retail_strata.sources.csv import read_csv
 
 
@@ -21,26 +22,21 @@ def list_entries(
     count, so markers such as ``_SUCCESS`` and uncommitted output never do. The folder is listed
     once and nothing is opened; None if it is missing.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(path):
+    lying = storage.entries(spark, folder)
+    if lying is None:
         return None
 
     def shown(name: str) -> bool:
-        return not name.startswith(("_", ".")) and fnmatch(name, files)
+        return not storage.hidden(name) and fnmatch(name, files)
 
     found = []
-    for status in system.listStatus(path):
-        name = status.getPath().getName()
-        if not name.endswith(suffix) or name.startswith(("_", ".")):
+    for entry in lying:
+        if not entry.name.endswith(suffix) or storage.hidden(entry.name):
             continue
-        if status.isFile():
-            times = [status.getModificationTime()] if shown(name) else []
-        else:
-            parts = system.listStatus(status.getPath())
-            times = [p.getModificationTime() for p in parts if p.isFile() and shown(p.getPath().getName())]
+        parts = [entry] if entry.is_file else storage.entries(spark, entry.path) or []
+        times = [p.modified for p in parts if p.is_file and shown(p.name)]
         if times:
-            found.append((max(times), name))
+            found.append((max(times), entry.name))
     return found
 
 

@@ -10,8 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_strata import storage
 from retail_strata.functions.dates import parse_run_date
-from retail_strata.sources.latest import latest_entry
 
 
 LOG = logging.getLogger(__name__)
@@ -26,6 +26,23 @@ def partition_path(root: str, table: str, run_date: str | dt.date) -> str:
     return f"{root.rstrip('/')}/{table}/ingest_date={parse_run_date(run_date).isoformat()}"
 
 
+def completed_runs(spark: SparkSession, root: str, table: str, run_date: str | dt.date) -> list[str]:
+    """Run ids of a date whose output is complete, in the order in which they were completed."""
+    lying = storage.entries(spark, partition_path(root, table, run_date)) or []
+    found = []
+    for entry in lying:
+        if entry.name.startswith("run_id=") and not entry.is_file:
+            marks = [m for m in storage.entries(spark, entry.path) or () if m.name == storage.DONE]
+            found += [(m.modified, entry.name.removeprefix("run_id=")) for m in marks]
+    return [run_id for _, run_id in sorted(found)]
+
+
+def has_runs(spark: SparkSession, root: str, table: str, run_date: str | dt.date) -> bool:
+    """Whether runs of a date were written under run ids, complete or not."""
+    lying = storage.entries(spark, partition_path(root, table, run_date)) or []
+    return any(entry.name.startswith("run_id=") for entry in lying)
+
+
 def read_partition(
     spark: SparkSession,
     root: str,
@@ -36,15 +53,15 @@ def read_partition(
     """One dated partition of a layer table, with its ``ingest_date``.
 
     Only that date's folder is listed, however many dates the table holds. For a table written
-    with run ids, ``run_id`` picks the run; without it the newest run is read.
+    with run ids, ``run_id`` picks the run; without it the run completed last is read. A run that
+    was not completed counts as missing.
     """
     path = partition_path(root, table, run_date)
-    if run_id is not None:
-        path = f"{path}/run_id={run_id}"
-    else:
-        newest = latest_entry(spark, path, suffix="", files="*.parquet")
-        if newest is not None and newest.rsplit("/", 1)[1].startswith("run_id="):
-            path = newest
+    if run_id is not None or has_runs(spark, root, table, run_date):
+        runs = completed_runs(spark, root, table, run_date)
+        if not runs or (run_id is not None and run_id not in runs):
+            raise MissingInputError(path if run_id is None else f"{path}/run_id={run_id}")
+        path = f"{path}/run_id={runs[-1] if run_id is None else run_id}"
     try:
         df = spark.read.option("basePath", f"{root.rstrip('/')}/{table}").parquet(path)
     except AnalysisException as error:

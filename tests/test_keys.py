@@ -1,8 +1,14 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from retail_strata.operators import advance_mark, assign_surrogate_keys, high_water_marks
+from retail_strata.operators import (
+    KeyedBatches,
+    advance_mark,
+    assign_surrogate_keys,
+    high_water_marks,
+)
 from tests.helpers import rows
 
 
@@ -60,3 +66,48 @@ def test_marks_move_by_the_batch_size(spark):
     saved = marks.filter("entity = 'orders'")
     assert rows(high_water_marks(spark, saved))[("orders", 10520)] == 1
     assert rows(high_water_marks(spark, saved))[("products", 10000)] == 1
+
+
+def test_a_batch_that_comes_again_keeps_its_ids(spark, tmp_path):
+    batches = KeyedBatches(spark, str(tmp_path), "orders")
+    assert batches.rows() is None and batches.marks().count() == 0
+    first = batches.add("a", spark.range(5).toDF("n"), ["n"])
+    assert rows(first) == {(10001 + n, n): 1 for n in range(5)}
+    assert rows(batches.add("b", spark.range(3).toDF("n"), [F.col("n").desc()])) == {
+        (10006, 2): 1,
+        (10007, 1): 1,
+        (10008, 0): 1,
+    }
+    assert rows(batches.add("a", spark.range(50).toDF("n"), ["n"])) == rows(first)
+    assert batches.add("none", spark.range(0).toDF("n"), ["n"]).count() == 0
+    assert rows(KeyedBatches(spark, str(tmp_path), "orders").marks()) == {("orders", 10008): 1}
+    assert rows(high_water_marks(spark, batches.marks()))[("orders", 10008)] == 1
+    ids = batches.rows().select("id")
+    assert rows(ids) == {(10001 + k,): 1 for k in range(8)}
+    assert KeyedBatches(spark, str(tmp_path), "products").add("a", spark.range(1).toDF("n"), ["n"]).first() == (10001, 0)
+
+
+def test_a_batch_that_breaks_off_leaves_no_mark(spark, tmp_path):
+    batches = KeyedBatches(spark, str(tmp_path), "orders", key="key")
+    batches.add("a", spark.range(4), ["id"])
+    broken = spark.range(100).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("boom")).cast("bigint")).otherwise(F.col("id")).alias("id")
+    )
+    with pytest.raises(Exception, match="boom"):
+        batches.add("b", broken, ["id"])
+    assert rows(batches.marks()) == {("orders", 10004): 1}
+    again = batches.add("b", spark.range(2), ["id"])
+    assert rows(again) == {(10005, 0): 1, (10006, 1): 1}
+    assert batches.rows().count() == 6
+
+
+def test_a_batch_without_its_commit_is_not_there(spark, tmp_path, monkeypatch):
+    """The rows are written, and the attempt breaks off before its commit."""
+    batches = KeyedBatches(spark, str(tmp_path), "orders")
+    batches.add("a", spark.range(4).toDF("n"), ["n"])
+    with monkeypatch.context() as patch:
+        patch.setattr("retail_strata.operators.keys._COMMITS", "no schema at all")
+        with pytest.raises(Exception):  # noqa: B017
+            batches.add("b", spark.range(9).toDF("n"), ["n"])
+    assert batches.rows().count() == 4
+    assert batches.add("b", spark.range(1).toDF("n"), ["n"]).first() == (10005, 0)

@@ -117,3 +117,44 @@ def test_gold_lands_in_its_table(spark, landing, tmp_path):
     warehouse = str(tmp_path / "warehouse")
     plans.run_pipeline(spark, str(landing), warehouse, DAY, NOON)
     assert (tmp_path / "warehouse" / GOLD_ORDER_LINES / f"ingest_date={DAY}" / "_SUCCESS").exists()
+
+
+def parts(warehouse, prefix):
+    return {p: p.stat().st_mtime_ns for p in warehouse.rglob("*.parquet") if prefix in str(p)}
+
+
+def test_a_run_goes_on_where_it_stopped(spark, landing, tmp_path, monkeypatch):
+    warehouse = tmp_path / "warehouse"
+    args = (spark, str(landing), str(warehouse), DAY, NOON, "fail", "r1")
+
+    def broken(*_):
+        raise RuntimeError("silver broke")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("retail_strata.plans.pipeline.join_entities", broken)
+        with pytest.raises(RuntimeError, match="silver broke"):
+            plans.run_pipeline(*args)
+    bronze = parts(warehouse, "refined_")
+    assert bronze and not parts(warehouse, "gold_")
+
+    began = []
+    run_bronze = plans.pipeline.run_bronze
+    monkeypatch.setattr("retail_strata.plans.pipeline.run_bronze", lambda *a: began.append(a) or run_bronze(*a))
+    assert plans.run_pipeline(*args).count() == 2
+    assert not began and parts(warehouse, "refined_") == bronze
+    silver = parts(warehouse, "silver_")
+    assert plans.run_pipeline(*args).count() == 2  # complete: nothing is run again
+    assert parts(warehouse, "silver_") == silver
+    plans.run_pipeline(*args[:-1], "r2")
+    assert began and read_layer(spark, str(warehouse), "silver_orders", DAY, "r1").count() == 2
+
+
+def test_a_broken_run_hides_nothing(spark, landing, tmp_path, monkeypatch):
+    """Readers stay with the run before one that stopped half-way."""
+    warehouse = str(tmp_path / "warehouse")
+    whole = rows(plans.run_pipeline(spark, str(landing), warehouse, DAY, NOON))
+    with monkeypatch.context() as patch:
+        patch.setattr("retail_strata.plans.pipeline.build_gold", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            plans.run_pipeline(spark, str(landing), warehouse, DAY, NOON)
+    assert rows(read_layer(spark, warehouse, GOLD_ORDER_LINES, DAY)) == whole

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import gzip
 import os
 
 import pytest
 
 from retail_strata.schemas import layer_table
+from retail_strata import storage
 from retail_strata.sinks import publish, write_csv, write_layer
 from retail_strata.sources import (
     MissingInputError,
@@ -188,3 +190,81 @@ def test_layer_names():
     assert layer_table("bronze", "raw_orders") == "refined_orders"
     assert layer_table("silver", "refined_order_items") == "silver_order_items"
     assert layer_table("gold", "silver_customers") == "gold_customers"
+
+
+PART = "part-00000-{}-c000.csv"
+JOB = "0b1c2d3e-0000-4000-8000-00000000000{}"
+
+
+def jobs_of(spark, group):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_planning_a_csv_scan_runs_no_job_and_opens_one_part_of_a_job(spark, tmp_path, monkeypatch):
+    write_csv(spark.range(1000).selectExpr("id", "id + 1 as n").repartition(6), f"{tmp_path}/a")
+    write_csv(spark.range(9).selectExpr("id + 1 as n", "id").repartition(3), f"{tmp_path}/b")
+    opened = []
+    first_line = storage.first_line
+    monkeypatch.setattr(storage, "first_line", lambda *a: opened.append(a) or first_line(*a))
+    spark.sparkContext.setJobGroup("plan-csv", "")
+    df = read_csv(spark, [f"{tmp_path}/a", f"{tmp_path}/b"])
+    assert jobs_of(spark, "plan-csv") == 0 and len(opened) == 2
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert df.count() == 1009
+    assert df.filter("cast(n as bigint) - cast(id as bigint) <> 1").isEmpty()
+
+
+def test_jobs_with_other_headers_in_one_folder_are_bound_by_name(spark, tmp_path):
+    put(tmp_path, PART.format(JOB.format(1)), "a,b\n1,2\n", 1000)
+    put(tmp_path, PART.format(JOB.format(2)), "b,c\n3,4\n", 1000)
+    put(tmp_path, PART.format(JOB.format(2)).replace("00000-", "00001-", 1), "b,c\n5,6\n", 1000)
+    put(tmp_path, "loose.csv", "c,a\n7,8\n", 1000)
+    df = read_csv(spark, str(tmp_path)).select("a", "b", "c")
+    assert rows(df) == {("1", "2", None): 1, (None, "3", "4"): 1, (None, "5", "6"): 1, ("8", None, "7"): 1}
+
+
+@pytest.mark.parametrize("header", ["b,a", "a", "a,b,c", "a,x"])
+def test_a_part_that_is_not_like_its_job_raises(spark, tmp_path, header):
+    put(tmp_path, PART.format(JOB.format(1)), "a,b\n1,2\n", 1000)
+    values = ",".join("3" for _ in header.split(","))
+    put(tmp_path, PART.format(JOB.format(1)).replace("00000-", "00001-", 1), f"{header}\n{values}\n", 1000)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+def test_odd_headers(spark, tmp_path):
+    put(tmp_path / "q", "1.csv", '"a b","c,`d"\n1,2\n', 1000)
+    assert read_csv(spark, str(tmp_path / "q")).columns == ["a b", "c,`d"]
+    assert rows(read_csv(spark, str(tmp_path / "q"))) == {("1", "2"): 1}
+    put(tmp_path / "s", "1.csv", "a;b\n1;2\n", 1000)
+    assert rows(read_csv(spark, str(tmp_path / "s"), sep=";")) == {("1", "2"): 1}
+    put(tmp_path / "r", "1.csv", "a,a,\n1,2,3\n", 1000)
+    assert rows(read_csv(spark, str(tmp_path / "r"))) == {("1", "2", "3"): 1}
+    put(tmp_path / "bom", "1.csv", "﻿a,b\n1,2\n", 1000)
+    assert read_csv(spark, str(tmp_path / "bom")).columns == ["a", "b"]
+    packed = tmp_path / "z"
+    packed.mkdir()
+    (packed / "1.csv.gz").write_bytes(gzip.compress(b"a,b\n1,2\n"))
+    assert rows(read_csv(spark, str(packed))) == {("1", "2"): 1}
+
+
+def test_a_run_that_was_not_completed_is_not_read(spark, tmp_path):
+    root = str(tmp_path)
+    write_layer(spark.range(3), root, "t", "2025-02-07", "run_1")
+    write_layer(spark.range(9), root, "t", "2025-02-07", "run_2")
+    (tmp_path / "t" / "ingest_date=2025-02-07" / "run_id=run_2" / "_SUCCESS").unlink()
+    assert read_layer(spark, root, "t", "2025-02-07").count() == 3
+    with pytest.raises(MissingInputError, match="run_2"):
+        read_layer(spark, root, "t", "2025-02-07", "run_2")
+    (tmp_path / "t" / "ingest_date=2025-02-07" / "run_id=run_1" / "_SUCCESS").unlink()
+    with pytest.raises(MissingInputError):
+        read_layer(spark, root, "t", "2025-02-07")
+
+
+def test_a_write_without_a_run_id_does_not_delete_runs(spark, tmp_path):
+    root = str(tmp_path)
+    write_layer(spark.range(2), root, "t", "2025-02-07")
+    write_layer(spark.range(3), root, "t", "2025-02-07", "r1")
+    with pytest.raises(ValueError, match="holds runs"):
+        write_layer(spark.range(1), root, "t", "2025-02-07")
+    assert read_layer(spark, root, "t", "2025-02-07").count() == 3
