@@ -6,14 +6,17 @@ A document's set holds its distinct word shingles as 64-bit hashes. Two sets lin
 * Sizes fall into bands ``[2**i, 2**(i + 1))``. A set takes part in its own band and, if a larger
   partner may be there, in the next.
 * Linked sets of sizes a and b differ in at most ``d = floor((a + b)(100 - t) / (100 + t))``
-  elements. A band parts the feature domain into n ranges of hash values, n half as many again as
-  its largest d. A pair differs in at most d ranges, so it shares the contents of n - d of them.
-* The subsets of ranges that are enumerated are single ranges; the hash of a set's elements in a
-  range is a signature. Sharing n - d signatures means sharing one of the d + 1 that come first in
-  any common order, so only those of each set are kept. The order puts rare ones first and empty
-  ranges last; it is taken from a count of signatures that decides the work and not the links.
-* A set with d or fewer ranges that are not empty takes part in another partition too, with other
-  hash values, and so on. A pair that shares but empty ranges in one therefore meets in the next.
+  elements. A band parts the feature domain into ranges of hash values, as many as it takes that
+  one of any ``d // 2 + 1`` ranges holds at most one of a pair's differences, for its largest d.
+* Each range is parted into three again, and the subsets of two of these parts are enumerated: the
+  hash of a set's elements in a subset is a signature. Where a range holds at most one difference,
+  one of its subsets holds none, and the pair shares that signature.
+* Only subsets that hold an element give signatures. A set goes through its band's ranges in their
+  order until it has ``d // 2 + 1`` that hold elements in two parts or more, for its own d: whichever
+  of a pair stops first has a range among these with at most one difference, whose subsets all hold
+  an element, and the other set gives signatures for that range too.
+* A set with too few such ranges takes part in another partition too, with other hash values, and
+  so on. In a band whose sets link only if they are equal, the whole set is the signature.
 
 Sets that share a signature are compared with the least of them first (a star, linear in the
 group). Where the components of these links still part a group, its other members are compared
@@ -48,8 +51,8 @@ from retail_strata.llm.common import (
     word_hashes,
 )
 
-#: Slots of the signature counts, and counts from which a task reports a slot.
-COUNT_BITS, OFTEN = 22, 8
+#: Parts of a range; each subset leaves one out.
+PARTS = 3
 #: Signatures of a bucket; elements and members of a block of sets to compare.
 BUCKET, BLOCK_ELEMENTS, BLOCK_MEMBERS = 1 << 20, 200_000, 512
 #: Members of an element from which on they are counted by matrix products.
@@ -108,94 +111,79 @@ def bands(size: int, threshold: int) -> Iterator[tuple[int, int]]:
         yield band + 1, most_different(size + largest, threshold)
 
 
-def partitions(band: int, threshold: int) -> int:
+def ranges_of(band: int, threshold: int) -> int:
+    """Ranges of a band's partition; none if its sets link only if they are equal."""
     top = (2 << band) - 1
-    return 3 * (most_different(2 * top, threshold) + 1) // 2 + 1
+    d = most_different(2 * top, threshold)
+    return d // 2 + 1 if d else 0
 
 
-def signatures(
-    elements: np.ndarray, threshold: int, often: np.ndarray | None = None
-) -> Iterator[np.ndarray]:
-    """Signatures of one set; with ``often``, the counts by slot, only the d + 1 rarest of a band."""
+def signatures(elements: np.ndarray, threshold: int) -> Iterator[np.ndarray]:
+    """Signatures of one set that is not empty."""
     for band, d in bands(len(elements), threshold):
-        n = partitions(band, threshold)
+        n = ranges_of(band, threshold)
+        salt = band << 40
+        if n == 0:
+            yield mix(np.array([mix(elements).sum(dtype=U64) ^ U64(salt)]))
+            continue
         values = elements
         for level in range(LEVELS):
             if level:
                 values = np.sort(mix(elements + U64(0xD6E8FEB86659FD93 * level % (1 << 64))))
-            ranges = ((values >> U64(32)) * U64(n)) >> U64(32)
-            starts = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]]))
-            contents = np.add.reduceat(mix(values), starts)
-            found = mix(contents ^ mix(ranges[starts] + U64((band << 40) + (level << 32))))
-            if often is not None and len(found) > d + 1:
-                rank = often[(found >> U64(64 - COUNT_BITS)).astype(np.int64)]
-                yield found[np.lexsort((found, rank))[: d + 1]]
-            else:
-                yield found
-            if len(found) > d:
+            part = (((values >> U64(32)) * U64(PARTS * n)) >> U64(32)).astype(np.int64)
+            starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            contents = np.zeros(PARTS * n, dtype=U64)
+            contents[part[starts]] = np.add.reduceat(mix(values), starts)
+            held = np.bincount(part, minlength=PARTS * n).reshape(n, PARTS)
+            contents = contents.reshape(n, PARTS)
+            full = np.cumsum((held > 0).sum(axis=1) >= 2)
+            enough = full[-1] > d // 2
+            stop = int(np.searchsorted(full, d // 2 + 1)) + 1 if enough else n
+            subsets = (contents.sum(axis=1, dtype=U64)[:, None] - contents)[:stop]
+            some = (held.sum(axis=1)[:, None] - held)[:stop] > 0
+            place = np.arange(PARTS * stop, dtype=U64).reshape(stop, PARTS)
+            yield mix(subsets ^ mix(place + U64(salt + (level << 32))))[some]
+            if enough:
                 break
         else:
-            yield mix(np.array([(band << 40) + (LEVELS << 32)], dtype=U64))
+            yield mix(np.array([salt + (LEVELS << 32)], dtype=U64))
 
 
-def count_signatures(docs: DataFrame, width: int, threshold: int) -> DataFrame:
-    """Rows ``(id, n, key, sigs)`` of the documents, and rows ``(slot, times)`` of frequent slots."""
+def describe(docs: DataFrame, width: int, threshold: int) -> DataFrame:
+    """``(id, n, key, sigs)`` of every row: its set's size and digest (null if empty), and about how
+    many signatures the set has."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def found(batches):
-        counts = np.zeros(1 << COUNT_BITS, dtype=np.int32)
-        like = None
         for batch in batches:
-            like = batch["id"].type
             sizes, keys, sigs = [], [], []
             for elements in document_sets(batch["text"], width):
-                sizes.append(len(elements))
-                keys.append(set_key(elements) if len(elements) else None)
-                mine = 0
-                for found in signatures(elements, threshold) if len(elements) else ():
-                    mine += len(found)
-                    np.add.at(counts, (found >> U64(64 - COUNT_BITS)).astype(np.int64), 1)
-                sigs.append(mine)
-            none = pa.nulls(len(sizes), pa.int64())
+                n = len(elements)
+                sizes.append(n)
+                keys.append(set_key(elements) if n else None)
+                sigs.append(sum(PARTS * (d // 2 + 1) for _, d in bands(n, threshold)) if n else 0)
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())]
-                + [pa.array(sigs, pa.int64()), none, none],
-                ["id", "n", "key", "sigs", "slot", "times"],
-            )
-        slots = np.flatnonzero(counts >= OFTEN)
-        if like is not None and len(slots):
-            none = pa.nulls(len(slots), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(slots), like), none, none, none]
-                + [pa.array(slots, pa.int64()), pa.array(counts[slots], pa.int64())],
-                ["id", "n", "key", "sigs", "slot", "times"],
+                + [pa.array(sigs, pa.int64())],
+                ["id", "n", "key", "sigs"],
             )
 
-    return docs.mapInArrow(
-        found, f"id {kind}, n bigint, key bigint, sigs bigint, slot bigint, times bigint"
-    )
-
-
-def slot_counts(counted: DataFrame) -> np.ndarray:
-    """Counts of the slots that tasks found frequent, at most ``2**COUNT_BITS``, as an array."""
-    found = (
-        counted.where("slot is not null").groupBy("slot").agg(F.sum("times").alias("times"))
-    ).toPandas()
-    often = np.zeros(1 << COUNT_BITS, dtype=np.int32)
-    often[found["slot"].to_numpy(np.int64)] = np.minimum(found["times"].to_numpy(np.int64), 2**31 - 1)
-    return often
+    return docs.mapInArrow(found, f"id {kind}, n bigint, key bigint, sigs bigint")
 
 
 def group_members(
-    docs: DataFrame, width: int, threshold: int, often: np.ndarray, buckets: int
+    docs: DataFrame, first: DataFrame, width: int, threshold: int, buckets: int
 ) -> DataFrame:
     """``(sig, key, n, least, least_n, size)``: members of the signatures that sets share.
 
-    A map task sends each bucket one packed row for all its signatures; a bucket's rows are sorted
-    with numpy. ``least`` is the least key of the group, ``least_n`` the size of its set.
+    Of the rows that have one set only that in ``first`` (``key, id``) gives its signatures; a
+    bitmap finds it, and what else passes is dropped when the groups are made. A map task sends each
+    bucket one packed row for all its signatures; a bucket's rows are sorted with numpy. ``least``
+    is the least key of the group, ``least_n`` the size of its set.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(often)
+    ids = first.select(F.xxhash64("id").alias("id"))
+    shared = spark.sparkContext.broadcast(HashFilter.of(ids, "id"))
 
     def dealt(batches):
         held: list[np.ndarray] = []
@@ -217,11 +205,13 @@ def group_members(
             )
 
         for batch in batches:
-            for elements in document_sets(batch["text"], width):
+            named = shared.value.has(batch["id"].to_numpy().view(U64))
+            some = batch.filter(pa.array(named, pa.bool_()))
+            for elements in document_sets(some["text"], width):
                 if not len(elements):
                     continue
                 key = np.array([set_key(elements)]).view(U64)[0]
-                for found in signatures(elements, threshold, shared.value):
+                for found in signatures(elements, threshold):
                     rows = np.empty(len(found), dtype=_ROW)
                     rows["sig"], rows["key"], rows["n"] = found, key, len(elements)
                     held.append(rows)
@@ -234,30 +224,28 @@ def group_members(
 
     def grouped(table: pa.Table) -> pa.Table:
         rows = np.concatenate([np.frombuffer(x, dtype=_ROW) for x in table["packed"].to_pylist()])
-        sig, key, n = rows["sig"], rows["key"], rows["n"].astype(U64)
-        order = np.lexsort((key, sig))
-        sig, key, n = sig[order], key[order], n[order]
-        new = np.ones(len(sig), dtype=bool)
-        new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
-        sig, key, n = sig[new], key[new], n[new]
-        first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        size = np.diff([*first, len(sig)])
-        each = np.repeat(size, size)
-        least = np.repeat(key[first], size)
-        keep = each > 1
+        order = np.lexsort((rows["key"], rows["sig"]))
+        rows = rows[order]
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = (rows["sig"][1:] != rows["sig"][:-1]) | (rows["key"][1:] != rows["key"][:-1])
+        rows = rows[new]
+        first = np.flatnonzero(np.concatenate([[True], rows["sig"][1:] != rows["sig"][:-1]]))
+        size = np.diff([*first, len(rows)])
+        keep = np.repeat(size, size) > 1
+        least = np.repeat(first, size)[keep]
         return pa.table(
             {
-                "sig": as_long(sig[keep]),
-                "key": as_long(key[keep]),
-                "n": as_long(n[keep]),
-                "least": as_long(least[keep]),
-                "least_n": as_long(np.repeat(n[first], size)[keep]),
-                "size": pa.array(each[keep], pa.int64()),
+                "sig": as_long(rows["sig"][keep]),
+                "key": as_long(rows["key"][keep]),
+                "n": pa.array(rows["n"][keep].astype(np.int64)),
+                "least": as_long(rows["key"][least]),
+                "least_n": pa.array(rows["n"][least].astype(np.int64)),
+                "size": pa.array(np.repeat(size, size)[keep], pa.int64()),
             }
         )
 
     return (
-        docs.select("text")
+        docs.select(F.xxhash64("id").alias("id"), "text")
         .mapInArrow(dealt, "bucket int, packed binary")
         .groupBy("bucket")
         .applyInArrow(grouped, _MEMBERS)
@@ -287,21 +275,16 @@ def may_link(x: bytes, y: bytes, m: int, n: int, threshold: int) -> bool:
 
 
 def sets_of(
-    docs: DataFrame, rows: DataFrame, keys: DataFrame, width: int, sketched: bool = False
+    docs: DataFrame, first: DataFrame, keys: DataFrame, width: int, sketched: bool = False
 ) -> DataFrame:
     """``(key, elements)`` of the sets with the given keys, packed; or the sketches of them.
 
-    A set is taken from the row with the least id that has it, and once by a task. The bitmaps that
-    find these rows may let a copy pass, which repeats a set and changes no link.
+    A set is taken from the row named in ``first`` (``key, id``), and once by a task. The bitmaps
+    that find these rows may let a copy pass, which repeats a set and changes no link.
     """
     context = docs.sparkSession.sparkContext
-    first = (
-        rows.join(keys, "key")
-        .groupBy("key")
-        .agg(F.min("id").alias("id"))
-        .select(F.xxhash64("id").alias("id"))
-    )
-    wanted = context.broadcast((HashFilter.of(keys, "key"), HashFilter.of(first, "id")))
+    ids = first.join(keys, "key").select(F.xxhash64("id").alias("id"))
+    wanted = context.broadcast((HashFilter.of(keys, "key"), HashFilter.of(ids, "id")))
 
     def found(batches):
         by_key, by_id = wanted.value
@@ -553,18 +536,18 @@ def jaccard_components(
 ) -> DataFrame:
     """``(id, n_shingles, component_id)`` for every row, by the links between the rows' sets."""
     docs = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    counted = stage(count_signatures(docs, width, threshold), "counted")
-    often = slot_counts(counted)
-    rows = counted.where("slot is null").select("id", "n", "key", "sigs")
-    total = rows.agg(F.sum("sigs")).first()[0] or 0
+    rows = stage(describe(docs, width, threshold), "described")
+    once = rows.where("key is not null").groupBy("key")
+    first = stage(once.agg(F.min("id").alias("id"), F.max("sigs").alias("sigs")), "first")
+    total = first.agg(F.sum("sigs")).first()[0] or 0
     members = stage(
-        group_members(docs, width, threshold, often, max(1, total // BUCKET)), "members"
+        group_members(docs, first, width, threshold, max(1, total // BUCKET)), "members"
     )
     keys = stage(members.select("key").distinct(), "keys")
-    sketches = stage(sets_of(docs, rows, keys, width, sketched=True), "sketches")
+    sketches = stage(sets_of(docs, first, keys, width, sketched=True), "sketches")
 
     def full_sets(keys: DataFrame, name: str) -> DataFrame:
-        return stage(sets_of(docs, rows, stage(keys, f"keys-{name}"), width), f"sets-{name}")
+        return stage(sets_of(docs, first, stage(keys, f"keys-{name}"), width), f"sets-{name}")
 
     pairs = stage(possible_pairs(star_pairs(members, threshold), sketches, threshold), "stars")
     sets = full_sets(ends_of(pairs), "stars")
@@ -583,9 +566,9 @@ def jaccard_components(
     small = stage(verify_pairs(pairs, sets, threshold), "links-small")
     large = stage(verify_groups(groups, sets, threshold), "links-large")
     roots = components(links.unionByName(small).unionByName(large))
-    named = (
-        rows.where("key is not null").groupBy("key").agg(F.min("id").alias("least_id"))
-    ).join(roots.withColumnRenamed("node", "key"), "key", "left")
+    named = first.select("key", F.col("id").alias("least_id")).join(
+        roots.withColumnRenamed("node", "key"), "key", "left"
+    )
     named = named.withColumn("root", F.coalesce("root", "key"))
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_key = named.join(ids, "root").select("key", "component_id")
