@@ -18,7 +18,7 @@ A document's set holds its distinct word shingles as 64-bit hashes. Two sets lin
 * A set with too few such ranges takes part in another partition too, with other hash values, and
   so on. In a band whose sets link only if they are equal, the whole set is the signature.
 
-Sets that share a signature are compared with the least of them first (a star, linear in the
+Sets that share a signature are first compared with one of them, its centre (a star, linear in the
 group). Where the components of these links still part a group, its other members are compared
 across components: in a group of few as pairs, in a larger one block by block within tasks.
 Copies are one set throughout, and components are found by distributed steps, so neither a large
@@ -65,7 +65,8 @@ SMALL = 32
 MOST = 15
 
 _ROW = np.dtype([("sig", "<u8"), ("key", "<u8"), ("n", "<u4")])
-_MEMBERS = "sig bigint, key bigint, n bigint, least bigint, least_n bigint, size bigint"
+_NAMES = ["sig", "key", "n", "centre", "centre_n", "size"]
+_MEMBERS = ", ".join(f"{name} bigint" for name in _NAMES)
 
 
 def document_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -174,12 +175,11 @@ def describe(docs: DataFrame, width: int, threshold: int) -> DataFrame:
 def group_members(
     docs: DataFrame, first: DataFrame, width: int, threshold: int, buckets: int
 ) -> DataFrame:
-    """``(sig, key, n, least, least_n, size)``: members of the signatures that sets share.
+    """``(bucket, sig, key, n, size)``: members of the signatures that sets share.
 
     Of the rows that have one set only that in ``first`` (``key, id``) gives its signatures; a
     bitmap finds it, and what else passes is dropped when the groups are made. A map task sends each
-    bucket one packed row for all its signatures; a bucket's rows are sorted with numpy. ``least``
-    is the least key of the group, ``least_n`` the size of its set.
+    bucket one packed row for all its signatures; a bucket's rows are sorted with numpy.
     """
     spark = docs.sparkSession
     ids = first.select(F.xxhash64("id").alias("id"))
@@ -232,14 +232,13 @@ def group_members(
         first = np.flatnonzero(np.concatenate([[True], rows["sig"][1:] != rows["sig"][:-1]]))
         size = np.diff([*first, len(rows)])
         keep = np.repeat(size, size) > 1
-        least = np.repeat(first, size)[keep]
+        rows = rows[keep]
         return pa.table(
             {
-                "sig": as_long(rows["sig"][keep]),
-                "key": as_long(rows["key"][keep]),
-                "n": pa.array(rows["n"][keep].astype(np.int64)),
-                "least": as_long(rows["key"][least]),
-                "least_n": pa.array(rows["n"][least].astype(np.int64)),
+                "bucket": pa.array(np.full(len(rows), table["bucket"][0].as_py()), pa.int32()),
+                "sig": as_long(rows["sig"]),
+                "key": as_long(rows["key"]),
+                "n": pa.array(rows["n"].astype(np.int64)),
                 "size": pa.array(np.repeat(size, size)[keep], pa.int64()),
             }
         )
@@ -248,10 +247,33 @@ def group_members(
         docs.select(F.xxhash64("id").alias("id"), "text")
         .mapInArrow(dealt, "bucket int, packed binary")
         .groupBy("bucket")
-        .applyInArrow(grouped, _MEMBERS)
+        .applyInArrow(grouped, "bucket int, sig bigint, key bigint, n bigint, size bigint")
     )
 
 
+def with_centres(members: DataFrame) -> DataFrame:
+    """``(sig, key, n, centre, centre_n, size)``: each signature's members with its centre.
+
+    That is the member that shares most signatures with other sets altogether (ties: the least
+    key). Near copies of one text share more with that text than with each other, so it is the
+    set to compare them with.
+    """
+    shared = members.groupBy("key").agg(F.sum(F.col("size") - 1).alias("shared"))
+
+    def centred(table: pa.Table) -> pa.Table:
+        sig, key, n, size, much = (
+            table[c].to_numpy() for c in ("sig", "key", "n", "size", "shared")
+        )
+        order = np.lexsort((key, -much, sig))
+        sig, key, n, size = sig[order], key[order], n[order], size[order]
+        first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        centre = np.repeat(first, np.diff([*first, len(sig)]))
+        columns = (sig, key, n, key[centre], n[centre], size)
+        return pa.table([pa.array(c, pa.int64()) for c in columns], _NAMES)
+
+    return members.join(shared, "key").groupBy("bucket").applyInArrow(centred, _MEMBERS)
+
+
 def sketch(elements: np.ndarray) -> bytes:
     """How many elements lie in each of as many ranges as there are elements, in four bits each."""
     bits = max(4, len(elements).bit_length() - 1)
@@ -315,17 +337,17 @@ def alike(a, b, threshold: int):
 
 
 def star_pairs(members: DataFrame, threshold: int) -> DataFrame:
-    """``(u, v, m, n)``: the least set of each group with every other, and their sizes."""
-    pairs = members.where(F.col("key") != F.col("least")).where(
-        alike(F.col("n"), F.col("least_n"), threshold)
+    """``(u, v, m, n)``: the centre of each group with every other, and their sizes."""
+    pairs = members.where(F.col("key") != F.col("centre")).where(
+        alike(F.col("n"), F.col("centre_n"), threshold)
     )
     return pairs.select(
-        F.col("least").alias("u"), F.col("key").alias("v"), F.col("least_n").alias("m"), "n"
+        F.col("centre").alias("u"), F.col("key").alias("v"), F.col("centre_n").alias("m"), "n"
     ).distinct()
 
 
 def small_group_pairs(rooted: DataFrame, threshold: int) -> DataFrame:
-    """Pairs across components of groups with ``SMALL`` members at most, the least sets left out.
+    """Pairs across components of groups with ``SMALL`` members at most, the centres left out.
 
     Signatures with the very same members count as one, and a pair is made in the first of the
     signatures that its sets share, so that it comes up once.
@@ -339,7 +361,7 @@ def small_group_pairs(rooted: DataFrame, threshold: int) -> DataFrame:
     )
     once = of_sig.where("low <> high").groupBy("members", "more").agg(F.min("sig").alias("sig"))
     some = stage(
-        small.where("key <> least").join(once.select("sig"), "sig").select("sig", "key", "root", "n"),
+        small.where("key <> centre").join(once.select("sig"), "sig").select("sig", "key", "root", "n"),
         "small-groups",
     )
     own = some.groupBy("key").agg(F.collect_list("sig").alias("sigs"))  # no more than its prefix
@@ -475,7 +497,7 @@ def forest(pairs: np.ndarray) -> list[tuple[int, int]]:
 def open_groups(rooted: DataFrame) -> DataFrame:
     """``(group, key, root, n)``: members of larger groups that several components share.
 
-    Groups with the same least set are one, so that a set they share is sent around once; that set
+    Groups with the same centre are one, so that a set they share is sent around once; that set
     has been compared with every member already.
     """
     large = rooted.where(F.col("size") > SMALL)
@@ -486,9 +508,9 @@ def open_groups(rooted: DataFrame) -> DataFrame:
         .select("sig")
     )
     return (
-        large.where("key <> least")
+        large.where("key <> centre")
         .join(parted, "sig")
-        .select(F.col("least").alias("group"), "key", "root", "n")
+        .select(F.col("centre").alias("group"), "key", "root", "n")
         .distinct()
     )
 
@@ -541,8 +563,9 @@ def jaccard_components(
     first = stage(once.agg(F.min("id").alias("id"), F.max("sigs").alias("sigs")), "first")
     total = first.agg(F.sum("sigs")).first()[0] or 0
     members = stage(
-        group_members(docs, first, width, threshold, max(1, total // BUCKET)), "members"
+        group_members(docs, first, width, threshold, max(1, total // BUCKET)), "shared-signatures"
     )
+    members = stage(with_centres(members), "members")
     keys = stage(members.select("key").distinct(), "keys")
     sketches = stage(sets_of(docs, first, keys, width, sketched=True), "sketches")
 
