@@ -180,20 +180,24 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build_trie(*prefix_trie.graft(turns, 20, 3, heads))
 
 
-# A unit is a stretch up to and with its sentence marks and line breaks, as in the operator.
+# A unit is a stretch up to and with its sentence marks and line breaks, as in the operator. Repeated
+# units of 20 words together are a passage; so are whole lines of fewer words that are repeats.
 _UNITS = r"""
     units as (
-        select doc_id, text, unnest(regexp_extract_all(text, '[^\n.!?]+[\n.!?]*|[\n.!?]+')) as raw,
-            generate_subscripts(regexp_extract_all(text, '[^\n.!?]+[\n.!?]*|[\n.!?]+'), 1) as place
+        select doc_id, text,
+            unnest(regexp_extract_all(text, '[^\n.!?]+[.!?]*\n*|[.!?]+\n*|\n+')) as raw,
+            generate_subscripts(regexp_extract_all(text, '[^\n.!?]+[.!?]*\n*|[.!?]+\n*|\n+'), 1) as place
         from documents where text is not null
     ),
     placed as (
         select *, sum(length(raw)) over (partition by doc_id order by place) as stop,
+            coalesce(sum(length(raw) - length(replace(raw, chr(10), ''))) over (
+                partition by doc_id order by place rows between unbounded preceding and 1 preceding), 0) as line,
             trim(regexp_replace(lower(raw), '\s+', ' ', 'g')) as unit
         from units
     ),
     worded as (
-        select doc_id, unit, stop, stop - length(raw) as start,
+        select doc_id, text, unit, line, stop, stop - length(raw) as start,
             len(string_split(unit, ' ')) as words,
             row_number() over (partition by doc_id order by place) as n
         from placed where unit <> ''
@@ -211,11 +215,33 @@ _UNITS = r"""
         select doc_id, min(start) as start, max(stop) as stop, count(*) as units,
             sum(words) as words, arg_min(kept_id, n) as kept_id
         from repeats group by doc_id, run having sum(words) >= 20
+    ),
+    short_lines as (
+        select doc_id, min(n) as n, count(*) as units, min(start) as start, max(stop) as stop,
+            sum(words) as words, trim(regexp_replace(lower(substr(any_value(text),
+                cast(min(start) + 1 as bigint), cast(max(stop) - min(start) as bigint))), '\s+', ' ', 'g')) as unit
+        from worded group by doc_id, line having sum(words) < 20
+    ),
+    ranked_lines as (
+        select *, min(doc_id) over (partition by unit) as kept_id,
+            row_number() over (partition by unit order by doc_id, n) as occurrence
+        from short_lines
+    ),
+    repeated_lines as (
+        select *, n - coalesce(sum(units) over (partition by doc_id order by n
+            rows between unbounded preceding and 1 preceding), 0) as run
+        from ranked_lines l where occurrence > 1 and not exists (
+            from passages p where p.doc_id = l.doc_id and p.start <= l.start and l.start < p.stop)
+    ),
+    cut as (
+        select * from passages
+        union all
+        select doc_id, min(start), max(stop), sum(units), sum(words), arg_min(kept_id, n)
+        from repeated_lines group by doc_id, run
     )
 """
 
 
-
 def _template_pattern(parts: tuple) -> str:
     """A template as a pattern over words that stand between two spaces each."""
     found = ""
@@ -355,8 +381,8 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op6_substring_dedup": f"""
         with {_UNITS}
-        select doc_id, start, cast(stop as bigint) as "end", units,
-            cast(words as bigint) as words, kept_id
-        from passages
+        select doc_id, cast(start as bigint) as start, cast(stop as bigint) as "end",
+            cast(units as bigint) as units, cast(words as bigint) as words, kept_id
+        from cut
     """,
 }

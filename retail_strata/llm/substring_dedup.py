@@ -5,9 +5,9 @@ breaks that follow it, never over a line's end. A unit is normalised (lower case
 space, trimmed) and hashed to 128 bits. Globally, the occurrence in the least document id is kept,
 there the first; every other occurrence is a repeat and is removed. Only sentences inside a line
 that is no repeat itself stay if they and their neighbouring repeats have fewer than
-``CHANCE_WORDS`` words together, as those are chance meetings. Whole lines are removed whatever
-their length: as their sentences are repeats wherever they are, only lines of fewer words than that
-need hashes of their own. With ``min_words``, neighbouring repeats of fewer words stay, lines too.
+``CHANCE_WORDS`` words together: such meet by chance, the more often the larger the corpus. Whole
+lines are removed whatever their length: as their sentences are repeats wherever they are, only
+lines of fewer words than that need hashes of their own. With ``min_words``, neighbouring repeats of fewer words stay, lines too.
 Offsets are code points of the original text.
 
 Documents with the same id count as one document, so their texts are no repeats of each other; a
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from retail_strata.llm.common import U64, HashFilter, stage
 
 #: Words of neighbouring repeats inside a line from which they are removed.
-CHANCE_WORDS = 5
+CHANCE_WORDS = 20
 _UNIT = re.compile(r"[^\n.!?]+[.!?]*\n*|[.!?]+\n*|\n+")
 
 
@@ -44,13 +45,15 @@ def units(text: str) -> list[tuple[bytes, int, int, int]]:
     return found
 
 
-def short_lines(text: str, mine: list[tuple[bytes, int, int, int]]) -> list[tuple[bytes, int, int]]:
-    """``(digest, first unit, end unit)`` of every whole line of fewer than ``CHANCE_WORDS`` words."""
+def short_lines(
+    text: str, mine: list[tuple[bytes, int, int, int]], chance: int
+) -> list[tuple[bytes, int, int]]:
+    """``(digest, first unit, end unit)`` of every whole line of fewer than ``chance`` words."""
     found, first = [], 0
     for k in range(1, len(mine) + 1):
         if k < len(mine) and "\n" not in text[mine[k - 1][1] : mine[k][1]]:
             continue
-        if sum(u[3] for u in mine[first:k]) < CHANCE_WORDS:
+        if sum(u[3] for u in mine[first:k]) < chance:
             words = text[mine[first][1] : mine[k - 1][2]].lower().split()
             digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16, person=b"line").digest()
             found.append((digest, first, k))
@@ -66,7 +69,7 @@ def _rows(df: DataFrame, id_column: str, text: str) -> DataFrame:
     )
 
 
-def repeated_units(rows: DataFrame) -> DataFrame:
+def repeated_units(rows: DataFrame, chance: int) -> DataFrame:
     """``(d1, d2, kept_id)`` of every digest of a unit or short line that occurs more than once."""
 
     def found(batches):
@@ -75,7 +78,7 @@ def repeated_units(rows: DataFrame) -> DataFrame:
             for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 counts: dict[bytes, int] = {}
                 mine = units(text or "")
-                for digest, *_ in [*mine, *short_lines(text or "", mine)]:
+                for digest, *_ in [*mine, *short_lines(text or "", mine, chance)]:
                     counts[digest] = counts.get(digest, 0) + 1
                 ids += [doc] * len(counts)
                 digests += counts.keys()
@@ -100,12 +103,14 @@ def repeated_units(rows: DataFrame) -> DataFrame:
     )
 
 
-def candidates(rows: DataFrame, repeated: DataFrame, min_words: int | None) -> DataFrame:
+def candidates(
+    rows: DataFrame, repeated: DataFrame, min_words: int | None, chance: int
+) -> DataFrame:
     """Units of neighbours that may all be repeated and hold enough words, and short lines alike.
 
     A unit's row has a place ``unit`` and one ``unit``; that of a line has all of its ``units``.
     """
-    least, whole_lines = (CHANCE_WORDS, True) if min_words is None else (min_words, False)
+    least, whole_lines = (chance, True) if min_words is None else (min_words, False)
     held = rows.sparkSession.sparkContext.broadcast(HashFilter.of(repeated, "d1", spread=8))
 
     def found(batches):
@@ -128,7 +133,7 @@ def candidates(rows: DataFrame, repeated: DataFrame, min_words: int | None) -> D
                         first = digest not in seen
                         out.append((doc, key, k, 1, False, *halves[k].tolist(), start, end, n, first))
                     seen.add(digest)
-                lines = short_lines(text, mine) if whole_lines else []
+                lines = short_lines(text, mine, chance) if whole_lines else []
                 if not lines:
                     continue
                 halves = np.frombuffer(b"".join(x[0] for x in lines), dtype="<i8").reshape(-1, 2)
@@ -168,17 +173,22 @@ def neighbours(parts: list[dict]) -> list[list[dict]]:
 
 
 def find_repeats(
-    df: DataFrame, id_column: str, text: str, min_words: int | None = None
+    df: DataFrame,
+    id_column: str,
+    text: str,
+    min_words: int | None = None,
+    chance: int = CHANCE_WORDS,
 ) -> DataFrame:
     """``(id, text_key, start, end, units, words, kept_id)`` of every passage to be removed.
 
     ``kept_id`` is the document that keeps the first unit of the passage. With ``min_words``, lines
-    and sentences of fewer words together with their neighbours are no passages.
+    and sentences of fewer words together with their neighbours are no passages; without it that
+    holds for sentences of fewer than ``chance`` words inside lines that are no repeats.
     """
-    least = CHANCE_WORDS if min_words is None else min_words
+    least = chance if min_words is None else min_words
     rows = _rows(df, id_column, text)
-    repeated = stage(repeated_units(rows), "repeated-units")
-    some = stage(candidates(rows, repeated, min_words), "repeat-candidates")
+    repeated = stage(repeated_units(rows, chance), "repeated-units")
+    some = stage(candidates(rows, repeated, min_words, chance), "repeat-candidates")
     repeats = (
         some.join(repeated, ["d1", "d2"])
         .where("not first_here or id > kept_id or (id is null and kept_id is not null)")
@@ -223,20 +233,20 @@ def find_repeats(
 
 def remove(df: DataFrame, id_column: str, text: str, repeats: DataFrame) -> DataFrame:
     """``df`` with the passages cut out of ``text``; other columns are unchanged."""
-    spans = repeats.groupBy(F.col(id_column).alias("__id"), F.col("text_key").alias("__key")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__spans")
-    )
-    same = df[id_column].cast("bigint").eqNullSafe(spans["__id"]) & (
-        F.xxhash64(df[text]) == spans["__key"]
+    own = uuid.uuid4().hex  # so that no column of ``df`` has these names
+    id_, key, cut = (f"{name}_{own}" for name in ("id", "key", "spans"))
+    spans = repeats.groupBy(F.col(id_column).alias(id_), F.col("text_key").alias(key)).agg(
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias(cut)
     )
+    same = df[id_column].cast("bigint").eqNullSafe(spans[id_]) & (F.xxhash64(df[text]) == spans[key])
     # What stays: from the end of one passage to the start of the next.
-    begins = F.concat(F.array(F.lit(0).cast("bigint")), F.col("__spans.end"))
-    ends = F.concat(F.col("__spans.start"), F.array(F.length(df[text]).cast("bigint")))
+    begins = F.concat(F.array(F.lit(0).cast("bigint")), F.col(f"{cut}.end"))
+    ends = F.concat(F.col(f"{cut}.start"), F.array(F.length(df[text]).cast("bigint")))
     pieces = F.transform(
         F.arrays_zip(begins.alias("b"), ends.alias("e")),
         lambda x: F.substring(df[text], (x["b"] + 1).cast("int"), (x["e"] - x["b"]).cast("int")),
     )
-    cleaned = F.when(F.col("__spans").isNull(), df[text]).otherwise(F.array_join(pieces, ""))
+    cleaned = F.when(F.col(cut).isNull(), df[text]).otherwise(F.array_join(pieces, ""))
     return df.join(spans, same, "left").select(
         *[cleaned.alias(c) if c == text else df[c] for c in df.columns]
     )

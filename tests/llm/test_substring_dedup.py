@@ -90,7 +90,7 @@ def test_short_lines_go_and_chance_meetings_inside_lines_stay(documents, spark):
     rows += [(7, f"First here: {line}! On and on. {line}. {line}!")]
     rows += [(8, "A short line of six words! Not a whole line.")]
     df = documents(rows)
-    got = s.remove(df, "doc_id", "text", s.find_repeats(df, "doc_id", "text"))
+    got = s.remove(df, "doc_id", "text", s.find_repeats(df, "doc_id", "text", chance=5))
     texts = {r.doc_id: r.text for r in got.select("doc_id", F.col("text")).collect()}
     assert texts[1] == rows[0][1]
     assert texts[2] == " Other text\nOk. x y z"  # the first Ok. is a neighbour of the line that goes
@@ -114,3 +114,62 @@ def test_every_later_line_goes(documents, prose):
             seen.add(line)
     whole = {" ".join(x.lower().split()) for _, t in rows for x in t.split("\n")} - {""}
     assert whole == seen
+
+
+def by_the_rule(rows, chance):
+    """Passages by a plain pass: sentences of ``chance`` words together, and shorter whole lines."""
+    kept, line_kept, lines = {}, {}, {}
+    for doc, text in sorted(rows):
+        lines[doc] = []
+        for line in (text or "").split("\n"):
+            name = " ".join(line.lower().split())
+            lines[doc].append(name)
+            if name.strip(".!? "):
+                line_kept.setdefault(name, doc)
+        for digest, *_ in s.units(text or ""):
+            kept.setdefault(digest, doc)
+    out = []
+    for doc, text in rows:
+        mine, cut, seen, run = s.units(text or ""), set(), set(), []
+        for k, (digest, _, _, words) in enumerate([*mine, (None, 0, 0, 0)]):
+            if digest is not None and (digest in seen or kept[digest] != doc):
+                run.append((k, words))
+            else:
+                cut |= {j for j, _ in run} if sum(w for _, w in run) >= chance else set()
+                run = []
+            seen.add(digest)
+        at, had = 0, set()
+        for line in (text or "").split("\n"):
+            inside = [k for k, u in enumerate(mine) if at <= u[1] <= at + len(line) and u[1] < at + len(line)]
+            name = " ".join(line.lower().split())
+            if inside and sum(mine[k][3] for k in inside) < chance:
+                if name in had or line_kept.get(name) != doc:
+                    cut |= set(inside)
+                had.add(name)
+            at += len(line) + 1
+        out.append((doc, frozenset((mine[k][1], mine[k][2]) for k in cut)))
+    return dict(out)
+
+
+def test_the_rule_of_the_query(documents, prose):
+    lines = [prose(k, 3 + 4 * (k % 8)) for k in range(14)]
+    rows = [(d, "\n".join([prose(90 + d, 12), *lines[d % 5 :], *lines[: d % 7]])) for d in range(6)]
+    rows += [(9, lines[3] + " and. " + lines[5] + " " + lines[6]), (10, f"own words. {lines[1]} more own words")]
+    rows += [(11, "A b. C d.\nNew line\nA b. C d."), (12, "A b. C d. E f.\nA b. C d.\n\n\nNew line")]
+    df = documents(rows)
+    found: dict = {doc: [] for doc, _ in rows}
+    for x in s.find_repeats(df, "doc_id", "text").collect():
+        found[x["doc_id"]].append((x["start"], x["end"]))
+    want = by_the_rule(rows, s.CHANCE_WORDS)
+    for doc, text in rows:
+        inside = {(u[1], u[2]) for u in s.units(text) if any(a <= u[1] and u[2] <= b for a, b in found[doc])}
+        assert inside == want[doc], doc
+
+
+def test_removal_survives_any_column_name(documents):
+    df = documents([(1, "One two three.\nx"), (2, "One two three.\ny")]).selectExpr(
+        "*", "1 as __spans", "2 as __id", "3 as __key", "4 as spans", "5 as text_key"
+    )
+    got = s.remove(df, "doc_id", "text", s.find_repeats(df, "doc_id", "text"))
+    assert got.columns == df.columns
+    assert sorted(r.text for r in got.collect()) == ["One two three.\nx", "y"]
