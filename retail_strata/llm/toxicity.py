@@ -8,7 +8,8 @@ alone are left as they are, so the channel costs nothing where there is nothing
 
 The restored text is scored by a logistic model over words, and stems of words with how often they
 occur. It is fitted on at most ``FIT_ROWS`` labelled rows (the ones with the least hash of their id,
-all if there are fewer) that are not held out, with the ``FEATURES`` features that part their labels
+all if there are fewer) that are not held out, each with one text of its id (that with the least
+hash), with the ``FEATURES`` features that part their labels
 best. Labels, languages, sources and ids are no inputs.
 
 Null and empty texts have no features and get the score of the constant term. A row without id has
@@ -243,6 +244,7 @@ def learnable(labels: DataFrame, label_id: str, label: str) -> DataFrame:
     """``(id, label, order)`` of at most ``FIT_ROWS`` labels that may be learned from."""
     marks = labels.select(F.col(label_id).alias("id"), F.col(label).cast("int").alias("label"))
     marks = marks.where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out("id"))
+    marks = marks.distinct()
     order = F.xxhash64(F.col("id").cast("string"))
     return marks.withColumn("order", order).orderBy("order", "id", "label").limit(FIT_ROWS)
 
@@ -310,6 +312,10 @@ class Scorer:
     def __getstate__(self):
         return {**vars(self), "reader": None}
 
+    def forget(self) -> None:
+        """Give back what was remembered of words, so that a worker's next task has the room."""
+        self.reader = None
+
     def score(self, text: str | None) -> float:
         known = self.weights
         if self.reader is None:
@@ -333,7 +339,10 @@ def train(
     model = CharacterModel(character_counts(texts))
     shared = spark.sparkContext.broadcast(model)
     marks = learnable(labels, label_id, label)  # FIT_ROWS rows at most
-    rows = stage(texts.join(F.broadcast(marks), "id"), "labelled-texts")
+    named = texts.join(F.broadcast(marks), "id").groupBy("id", "label", "order")
+    rows = stage(
+        named.agg(F.min_by("text", F.xxhash64("text")).alias("text")), "labelled-texts"
+    )
     by_label = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not by_label:
         return Scorer(model, {}, -30.0)
@@ -354,11 +363,10 @@ def train(
                 ["order", "label", "found"],
             )
 
-    sample = (
+    sample = (  # a row for each label, of which there are FIT_ROWS at most
         rows.select("order", "label", "text")
         .mapInArrow(numbered, "order bigint, label int, found array<int>")
         .orderBy("order", "label", "found")
-        .limit(FIT_ROWS)
     ).collect()
     weights, constant = fit(
         [list(r["found"]) for r in sample],
@@ -381,6 +389,7 @@ def score(df: DataFrame, id_column: str, text: str, scorer: Scorer) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], pa.array(values, pa.float64())], ["id", "score"]
             )
+        shared.value.forget()
 
     return docs.mapInArrow(scored, f"id {kind}, score double").select(
         F.col("id").alias(id_column),
@@ -400,5 +409,6 @@ def reject_toxic(df: DataFrame, text: str, scorer: Scorer) -> DataFrame:
                 shared.value.score(t) < 0.5 for t in batch.column(text).to_pylist()
             )
             yield batch.filter(pa.array(keep, pa.bool_()))
+        shared.value.forget()
 
     return df.mapInArrow(kept, df.schema)
