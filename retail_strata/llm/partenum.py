@@ -216,7 +216,7 @@ def group_members(
                     rows["sig"], rows["key"], rows["n"] = found, key, len(elements)
                     held.append(rows)
                     count += len(found)
-                if count >= 2 * BUCKET:
+                if count >= BUCKET:
                     yield flush()
                     held, count = [], 0
         if held:
