@@ -64,7 +64,7 @@ SMALL = 32
 #: The largest count that a sketch can tell.
 MOST = 15
 
-_ROW = np.dtype([("sig", "<u8"), ("key", "<u8"), ("n", "<u4")])
+_ROW = np.dtype([("sig", "<u8"), ("key", "<u8")])
 _NAMES = ["sig", "key", "n", "centre", "centre_n", "size"]
 _MEMBERS = ", ".join(f"{name} bigint" for name in _NAMES)
 
@@ -175,7 +175,7 @@ def describe(docs: DataFrame, width: int, threshold: int) -> DataFrame:
 def group_members(
     docs: DataFrame, first: DataFrame, width: int, threshold: int, buckets: int
 ) -> DataFrame:
-    """``(bucket, sig, key, n, size)``: members of the signatures that sets share.
+    """``(bucket, sig, key, size)``: members of the signatures that sets share.
 
     Of the rows that have one set only that in ``first`` (``key, id``) gives its signatures; a
     bitmap finds it, and what else passes is dropped when the groups are made. A map task sends each
@@ -213,7 +213,7 @@ def group_members(
                 key = np.array([set_key(elements)]).view(U64)[0]
                 for found in signatures(elements, threshold):
                     rows = np.empty(len(found), dtype=_ROW)
-                    rows["sig"], rows["key"], rows["n"] = found, key, len(elements)
+                    rows["sig"], rows["key"] = found, key
                     held.append(rows)
                     count += len(found)
                 if count >= BUCKET:
@@ -238,7 +238,6 @@ def group_members(
                 "bucket": pa.array(np.full(len(rows), table["bucket"][0].as_py()), pa.int32()),
                 "sig": as_long(rows["sig"]),
                 "key": as_long(rows["key"]),
-                "n": pa.array(rows["n"].astype(np.int64)),
                 "size": pa.array(np.repeat(size, size)[keep], pa.int64()),
             }
         )
@@ -247,18 +246,21 @@ def group_members(
         docs.select(F.xxhash64("id").alias("id"), "text")
         .mapInArrow(dealt, "bucket int, packed binary")
         .groupBy("bucket")
-        .applyInArrow(grouped, "bucket int, sig bigint, key bigint, n bigint, size bigint")
+        .applyInArrow(grouped, "bucket int, sig bigint, key bigint, size bigint")
     )
 
 
-def with_centres(members: DataFrame) -> DataFrame:
+def with_centres(members: DataFrame, first: DataFrame) -> DataFrame:
     """``(sig, key, n, centre, centre_n, size)``: each signature's members with its centre.
 
+    ``first`` has the size ``n`` of each key's set.
+
     That is the member that shares most signatures with other sets altogether (ties: the least
     key). Near copies of one text share more with that text than with each other, so it is the
     set to compare them with.
     """
     shared = members.groupBy("key").agg(F.sum(F.col("size") - 1).alias("shared"))
+    shared = shared.join(first.select("key", "n"), "key")
 
     def centred(table: pa.Table) -> pa.Table:
         sig, key, n, size, much = (
@@ -349,8 +351,7 @@ def star_pairs(members: DataFrame, threshold: int) -> DataFrame:
 def small_group_pairs(rooted: DataFrame, threshold: int) -> DataFrame:
     """Pairs across components of groups with ``SMALL`` members at most, the centres left out.
 
-    Signatures with the very same members count as one, and a pair is made in the first of the
-    signatures that its sets share, so that it comes up once.
+    Signatures with the very same members count as one. A pair may come up more than once.
     """
     small = rooted.where(F.col("size") <= SMALL)
     of_sig = small.groupBy("sig").agg(
@@ -360,37 +361,41 @@ def small_group_pairs(rooted: DataFrame, threshold: int) -> DataFrame:
         F.sum(F.xxhash64("key", F.lit(2)) % (1 << 40)).alias("more"),
     )
     once = of_sig.where("low <> high").groupBy("members", "more").agg(F.min("sig").alias("sig"))
-    some = stage(
-        small.where("key <> centre").join(once.select("sig"), "sig").select("sig", "key", "root", "n"),
-        "small-groups",
-    )
-    own = some.groupBy("key").agg(F.collect_list("sig").alias("sigs"))  # no more than its prefix
-
-    def paired(table: pa.Table) -> pa.Table:
-        sig = table["sig"][0].as_py()
-        rows = sorted(
-            zip(
-                *(table[c].to_pylist() for c in ("key", "root", "n")),
-                map(frozenset, table["sigs"].to_pylist()),
-                strict=True,
-            ),
-            key=lambda r: r[0],
-        )
-        out = []
-        for j, (v, root, n, sigs) in enumerate(rows):
-            for u, other, m, others in rows[:j]:
-                near = 100 * min(m, n) >= threshold * max(m, n)
-                if root != other and near and u != v and min(sigs & others) == sig:
-                    out.append((u, v, m, n))
-        columns = list(zip(*out, strict=True)) if out else [()] * 4
-        return pa.table(
-            {c: pa.array(x, pa.int64()) for c, x in zip(("u", "v", "m", "n"), columns, strict=True)}
-        )
+    some = small.where("key <> centre").join(once.select("sig"), "sig").select("sig", "key", "root", "n")
+
+    def pairs_of(rows: np.ndarray) -> pa.RecordBatch:
+        """Pairs among rows whose equal signatures follow on each other."""
+        sig, key, root, n = rows
+        found = [np.zeros((4, 0), dtype=np.int64)]
+        for d in range(1, len(sig)):
+            i = np.flatnonzero(sig[d:] == sig[:-d])
+            if not len(i):  # groups are stretches, so none reaches further
+                break
+            j = i + d
+            near = 100 * np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])
+            keep = near & (root[i] != root[j])
+            i, j = i[keep], j[keep]
+            i, j = np.where(key[i] < key[j], i, j), np.where(key[i] < key[j], j, i)
+            found.append(np.stack([key[i], key[j], n[i], n[j]]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], ["u", "v", "m", "n"])
+
+    def paired(batches):
+        held = np.zeros((4, 0), dtype=np.int64)
+        for batch in batches:
+            own = np.stack([batch[c].to_numpy() for c in ("sig", "key", "root", "n")])
+            held = np.concatenate([held, own], axis=1)
+            last = int(np.searchsorted(held[0], held[0][-1])) if held.size else 0
+            if last:  # the last group may go on in the next batch
+                yield pairs_of(held[:, :last])
+                held = held[:, last:]
+        yield pairs_of(held)
 
     return (
-        some.join(own, "key")
-        .groupBy("sig")
-        .applyInArrow(paired, "u bigint, v bigint, m bigint, n bigint")
+        some.repartition("sig")
+        .sortWithinPartitions("sig")
+        .mapInArrow(paired, "u bigint, v bigint, m bigint, n bigint")
+        .distinct()
     )
 
 
@@ -560,12 +565,12 @@ def jaccard_components(
     docs = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     rows = stage(describe(docs, width, threshold), "described")
     once = rows.where("key is not null").groupBy("key")
-    first = stage(once.agg(F.min("id").alias("id"), F.max("sigs").alias("sigs")), "first")
+    first = stage(once.agg(*[F.min(c).alias(c) for c in ("id", "n", "sigs")]), "first")
     total = first.agg(F.sum("sigs")).first()[0] or 0
     members = stage(
         group_members(docs, first, width, threshold, max(1, total // BUCKET)), "shared-signatures"
     )
-    members = stage(with_centres(members), "members")
+    members = stage(with_centres(members, first), "members")
     keys = stage(members.select("key").distinct(), "keys")
     sketches = stage(sets_of(docs, first, keys, width, sketched=True), "sketches")
 
