@@ -86,14 +86,14 @@ def _byte_letters() -> dict[int, str]:
 class Memory(dict):
     """A bounded memory of what a function makes of its argument; short arguments are kept."""
 
-    def __init__(self, make) -> None:
+    def __init__(self, make, most: int = REMEMBERED) -> None:
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, x):
         made = self.make(x)
         if len(x) <= WORD_BYTES:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.clear()
             self[x] = made
         return made
@@ -384,11 +384,14 @@ def encode(
     leaf: int = LEAF,
     finish: Finish = keys_and_ids,
     columns: str = "ids binary",
+    forget: bool = False,
 ) -> DataFrame:
     """``(key, ids)`` for every row: ids as little-endian unsigned 32-bit integers.
 
     Texts of one leaf are encoded where they are read; only longer ones are cut and shuffled.
-    ``finish`` may make something else of the ids in the same task: ``key`` and ``columns``.
+    ``finish`` may make something else of the ids in the same task: ``key`` and ``columns``. With
+    ``forget`` a worker gives back what it remembered of words after a task, which leaves room for
+    what runs next and costs time.
     """
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     is_long = F.coalesce(F.length("text") > leaf, F.lit(False))
@@ -401,6 +404,8 @@ def encode(
                 part = batch.slice(first, 512)
                 texts = part["text"].cast(pa.large_binary()).fill_null(b"").to_pylist()
                 yield finish(part["key"], list(encoder.encode(texts)))
+        if forget:
+            encoder.words.clear()
 
     short = rows.where(~is_long).mapInArrow(whole, schema)
     long = rows.where(is_long).select(F.monotonically_increasing_id().alias("row"), "key", "text")
@@ -430,7 +435,7 @@ def digests(df: DataFrame, key: str, text: str, path: str, leaf: int = LEAF) ->
         )
 
     columns = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return encode(df, key, text, path, leaf, hashed, columns).withColumnRenamed("key", key)
+    return encode(df, key, text, path, leaf, hashed, columns, forget=True).withColumnRenamed("key", key)
 
 
 @cache

@@ -52,5 +52,5 @@ def test_run_is_the_stages(spark, tables):
 
 def test_registered():
     found = __spark_entry__.queries()
-    assert "pipeline" in found and len([q for q in found if q.startswith("op")]) == len(QUERIES) == 10
+    assert "pipeline" in found and len([q for q in found if q.startswith("op")]) == len(QUERIES) == 13
     assert ORACLE_SQL.keys() <= __spark_entry__.oracle_sql().keys()
