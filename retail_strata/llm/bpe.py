@@ -86,9 +86,9 @@ def _byte_letters() -> dict[int, str]:
 class Memory(dict):
     """A bounded memory of what a function makes of its argument; short arguments are kept."""
 
-    def __init__(self, make, most: int = REMEMBERED) -> None:
+    def __init__(self, make, most: int | None = None) -> None:
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most = make, REMEMBERED if most is None else most
 
     def __missing__(self, x):
         made = self.make(x)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.llm.bpe import REMEMBERED, Memory
+from retail_strata.llm.bpe import Memory
 from retail_strata.llm.common import _LOWER, blocks, held_out, stage, utf8
 
 #: Labelled rows that the classifier is fitted on, and its features.
@@ -165,7 +165,7 @@ class Reader:
     def __init__(self, model: CharacterModel, known: dict[str, int] | None = None) -> None:
         self.model, self.known = model, known
         # Without a choice of features a token has many names, so fewer tokens are remembered.
-        self.memory = Memory(self._token, UNCHOSEN if known is None else REMEMBERED)
+        self.memory = Memory(self._token, UNCHOSEN if known is None else None)
 
     def _token(self, token: str) -> tuple[str, ...]:
         token = fold(token)
