@@ -6,8 +6,10 @@ window of 13 are substituted, one of the masks fits between them (a test tries a
 training hashes are joined, and around every hit the two texts are laid side by side.
 
 An item is leaked in a document if, at some alignment, 13 neighbouring words of it agree with the
-document in 11 places or more. An item of fewer words is leaked if all of it occurs; items with
-fewer than ``MIN_WORDS`` words are too short to tell and match nothing, as do null and empty texts.
+document in 11 places or more. An item of 8 to 12 words is leaked if it occurs with one word
+substituted at most; its masks each leave out every third word, so one of the three fits whichever
+word that is. A shorter item is leaked if all of it occurs. ``item_words`` says how long the item
+is, so that a caller can set short ones aside. Items without words and empty texts match nothing.
 
 Training hashes pass a bitmap of the test hashes, bounded in size, before anything is shuffled;
 only documents with hits are written to scratch. Equal texts are searched once. Every row of a
@@ -42,12 +44,24 @@ MASKS = (
 )
 #: Words of a window, and how many of them must agree.
 WINDOW, AGREE = 13, 11
-MIN_WORDS = 8
+#: Words from which on a shorter item may have one of them substituted.
+TOLERANT = 8
 
 
-def all_masks() -> list[tuple[int, ...]]:
-    """``MASKS``, and a mask without gaps for each length of a short item."""
-    return [*MASKS, *(tuple(range(n)) for n in range(MIN_WORDS, WINDOW))]
+def all_masks() -> list[tuple[int, tuple[int, ...]]]:
+    """Each mask with the length of the items that it serves (``WINDOW``: that or longer)."""
+    masks = [(WINDOW, mask) for mask in MASKS]
+    for n in range(1, WINDOW):
+        if n < TOLERANT:
+            masks.append((n, tuple(range(n))))
+        else:
+            masks += [(n, tuple(p for p in range(n) if p % 3 != left)) for left in range(3)]
+    return masks
+
+
+def needed(width: int) -> int:
+    """Words that must agree in a window, or in a whole item that is shorter."""
+    return AGREE if width == WINDOW else width - 1 if width >= TOLERANT else width
 
 
 def seed_hashes(words: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
@@ -79,15 +93,15 @@ def _words(column: pa.Array):
 
 
 def test_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """``(item, item_key, words)`` of every item that is long enough."""
+    """``(item, item_key, words)`` of every item that has words."""
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"))
     kind = rows.schema["item"].dataType.simpleString()
 
     def found(batches):
         for batch in batches:
             words = list(_words(batch["text"]))
-            keep = pa.array([len(w) >= MIN_WORDS for w in words], pa.bool_())
-            words = [w for w in words if len(w) >= MIN_WORDS]
+            keep = pa.array([len(w) > 0 for w in words], pa.bool_())
+            words = [w for w in words if len(w)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["item"].filter(keep),
@@ -107,11 +121,11 @@ def test_hashes(items: DataFrame) -> DataFrame:
         for batch in batches:
             for key, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = np.frombuffer(packed, dtype=U64)
-                for salt, mask in enumerate(all_masks()):
-                    short = salt >= len(MASKS)
-                    if short != (len(words) < WINDOW) or short and len(mask) != len(words):
+                for salt, (length, mask) in enumerate(all_masks()):
+                    if length != min(len(words), WINDOW):
                         continue
-                    hashes = seed_hashes(words, mask, salt)
+                    # A short item has one place, even where its mask leaves room for more.
+                    hashes = seed_hashes(words, mask, salt)[: len(words) - length + 1 if length < WINDOW else None]
                     yield pa.RecordBatch.from_arrays(
                         [
                             as_long(hashes),
@@ -141,10 +155,10 @@ def documents_with_hits(docs: DataFrame, hashes: DataFrame, masks: list[int]) ->
             for k, words in enumerate(_words(batch["text"])):
                 pairs = []
                 for salt in masks:
-                    seeds = seed_hashes(words, every[salt], salt)
+                    seeds = seed_hashes(words, every[salt][1], salt)
                     places = np.flatnonzero(held.value.has(seeds))
                     pairs.append(np.stack([seeds[places], places.astype(U64)]))
-                pairs = np.concatenate(pairs, axis=1)
+                pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), dtype=U64)
                 if pairs.size:
                     at.append(k)
                     keys.append(text_key(words))
@@ -171,8 +185,7 @@ def best_window(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, i
         return 0, 0, 0
     same = np.concatenate([[0], np.cumsum(words[low + shift : high + shift] == item[low:high])])
     each = same[width:] - same[:-width]
-    need = AGREE if width == WINDOW else width
-    good = np.flatnonzero(each >= need)
+    good = np.flatnonzero(each >= needed(width))
     if not len(good):
         return 0, 0, 0
     covered = np.zeros(high - low, dtype=bool)
@@ -185,19 +198,13 @@ def best_window(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, i
 def find_leaks(
     df: DataFrame, id_column: str, text: str, benchmark: DataFrame, item: str, item_text: str
 ) -> DataFrame:
-    """``(id, item, agreeing, first_word, end_word)``: every leaked item of every document."""
+    """``(id, item, agreeing, first_word, end_word, item_words)``: every leaked item of every document."""
     docs = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     items = stage(test_items(benchmark, item, item_text), "items")
     hashes = stage(test_hashes(items), "test-hashes")
-    lengths = {
-        r["n"] for r in items.select((F.length("words") / 8).cast("int").alias("n")).distinct().collect()
-        if r["n"] < WINDOW
-    }  # at most WINDOW - MIN_WORDS values
-    masks = [
-        salt
-        for salt, mask in enumerate(all_masks())
-        if salt < len(MASKS) or len(mask) in lengths
-    ]
+    length = F.least(F.length("words") / 8, F.lit(WINDOW)).cast("int")
+    lengths = {r["n"] for r in items.select(length.alias("n")).distinct().collect()}  # WINDOW at most
+    masks = [salt for salt, (n, _) in enumerate(all_masks()) if n in lengths]
     found = stage(documents_with_hits(docs, hashes, masks), "hits")
     texts = stage(
         found.groupBy("text_key").agg(F.first("words").alias("words"), F.first("hits").alias("hits")),
@@ -251,18 +258,25 @@ def find_leaks(
     return (
         found.select("id", "text_key")
         .join(leaks, "text_key")
-        .join(items.select("item", "item_key"), "item_key")
+        .join(items.select("item", "item_key", (F.length("words") / 8).cast("long").alias("n")), "item_key")
         .select(
             F.col("id").alias(id_column),
             F.col("item").alias(item),
             "agreeing",
             "first_word",
             "end_word",
+            F.col("n").alias("item_words"),
         )
     )
 
 
-def drop_leaked(df: DataFrame, id_column: str, leaks: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose id is in no leak. Equal ids, null among them, stand or fall together."""
-    ids = leaks.select(F.col(id_column).alias("leaked_id")).distinct()
+def drop_leaked(
+    df: DataFrame, id_column: str, leaks: DataFrame, least_words: int = TOLERANT
+) -> DataFrame:
+    """The rows of ``df`` whose id is in no leak. Equal ids, null among them, stand or fall together.
+
+    Items of fewer than ``least_words`` words are phrases that clean documents hold too; they are
+    found and reported, but no document goes for them.
+    """
+    ids = leaks.where(F.col("item_words") >= least_words).select(F.col(id_column).alias("leaked_id")).distinct()
     return df.join(ids, df[id_column].eqNullSafe(ids["leaked_id"]), "left_anti")
