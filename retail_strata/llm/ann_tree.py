@@ -10,9 +10,10 @@ with every row, and visits are widened until ``RECALL`` of these lie in visited
 
 Equal vectors are one point of the index, with the ``k + 1`` least ids that they carry, and equal
 queries are searched once, so copies of a vector add nothing to the work. Leaves make up groups
-of bounded size, and a large leaf is dealt to several. Each group answers the queries that visit
-some of its leaves with the ``k + 1`` best points there, and a query's answers are merged by key. Scores are double-precision inner products of the original
-vectors; ties go to the smaller id.
+of bounded size, and a large leaf is dealt to several. Queries are dealt to blocks of bounded size by
+hash. Each group meets each block with a query that visits some of its leaves in a task of their
+own and answers with the ``k + 1`` best points there; a query's answers are merged by key. Scores
+are double-precision inner products of the original vectors; ties go to the smaller id.
 
 Vectors that are null, of another length than most, zero, or with null or non-finite components
 take no part, nor do rows without an id. Rows repeated with their id count once. Fewer candidates
@@ -37,6 +38,8 @@ SAMPLE, BRANCHES, LEAF_POINTS, MAX_LEAVES = 32_768, 16, 256, 4_096
 CALIBRATION, RECALL = 256, 0.97
 #: Points of a group, which one task compares with the queries that visit its leaves.
 GROUP = 16_384
+#: Queries of a block, on average, that meet a group in one task.
+QUERY_BLOCK = 8_192
 
 
 class Tree:
@@ -200,6 +203,7 @@ def search_points(
     for row in points.groupBy("leaf").count().collect():  # a row for each leaf
         sizes[row["leaf"]] = row["count"]
     shared = spark.sparkContext.broadcast((tree, *lay_out(sizes)))
+    query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
 
     def visit(batches):
         bins, first, parts = shared.value
@@ -235,10 +239,16 @@ def search_points(
     asked = queries.select("key", "vector").mapInArrow(
         visit, "group bigint, query string, vector array<double>, leaves array<bigint>"
     )
+    block = F.pmod(F.xxhash64("query", F.lit(2)), F.lit(query_blocks))
+    asked = stage(asked.withColumn("block", block), "asked")
     dealt = points.select("leaf", "vector", "ids", F.xxhash64("key").alias("hash")).mapInArrow(
         deal, "group bigint, leaf bigint, vector array<double>, ids array<bigint>"
     )
 
+    # A group's points go to each block of queries that visits it.
+    visited = asked.select(F.col("group").alias("at"), F.col("block").alias("by")).distinct()
+    dealt = dealt.join(visited, F.col("group") == F.col("at"))
+
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         query, found, scores = [], [], []
         if left.num_rows and right.num_rows:
@@ -256,7 +266,8 @@ def search_points(
                     some = seen[best(row[owner[seen]], every[seen], k + 1)]
                     query += [names[q]] * len(some)
                     found += every[some].tolist()
-                    scores += row[owner[some]].tolist()
+                    # Added up pair by pair, so that a score does not depend on the block.
+                    scores += (vectors[owner[some]] * part[q - start]).sum(axis=1).tolist()
         return pa.table(
             {
                 "query": pa.array(query, pa.string()),
@@ -266,8 +277,8 @@ def search_points(
         )
 
     return (
-        dealt.groupBy("group")
-        .cogroup(asked.groupBy("group"))
+        dealt.drop("group").groupBy("at", "by")
+        .cogroup(asked.groupBy("group", "block"))
         .applyInArrow(answer, "query string, id bigint, score double")
     )
 

@@ -59,6 +59,23 @@ def test_recall_ranks_and_scores(spark, small_leaves):
     assert met / sum(map(len, true.values())) >= 0.9
 
 
+def test_blocks_of_queries_give_the_same_rows(spark, small_leaves, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(k, [float(x) for x in p]) for k, p in enumerate(rng.normal(size=(900, 8)))]
+    whole = sorted(map(tuple, run(spark, rows)))
+    sides = []
+    search = a.search_points
+
+    def watched(points, queries, *rest):
+        sides.append(queries.count())
+        return search(points, queries, *rest)
+
+    monkeypatch.setattr(a, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(a, "search_points", watched)
+    assert sorted(map(tuple, run(spark, rows))) == whole
+    assert sides == [45]  # twelve blocks
+
+
 def test_copies_ties_and_rows_that_take_no_part(spark, small_leaves):
     rng = np.random.default_rng(3)
     same = [1.0] * 8
