@@ -30,7 +30,6 @@ from retail_strata.llm.html_text import blocks_of
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the public name space for URLs
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.I | re.S)
 _LANG = re.compile(r"<html[^>]*\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
-_HREF = re.compile(r"<a\s[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Most records of a file, which is read back whole.
 FILE_RECORDS = 4_096
 
@@ -114,8 +113,9 @@ def derive(identifier: str | None, target, date, head: str | None, payload: str
     ]
     fields += [("title", one_line(html.unescape(title.group(1))))] if title else []
     fields += [("language", lang.group(1).lower())] if lang else []
-    fields += [("outlink", one_line(html.unescape("".join(found)))) for found in _HREF.findall(payload)]
-    text = "\n".join(t for t, _ in blocks_of(payload))
+    links: list[str] = []
+    text = "\n".join(t for t, _ in blocks_of(payload, links))
+    fields += [("outlink", one_line(link)) for link in links]
     block = "".join(f"{name}: {value}\r\n" for name, value in fields)
     return [
         record("metadata", source, "application/warc-fields", block),
