@@ -69,6 +69,51 @@ def test_an_attempt_that_breaks_off_is_never_read(spark, tmp_path):
     assert totals(rollup) == expected([first, second])
 
 
+def test_what_a_batch_reads_does_not_grow_with_the_batches(spark, tmp_path, monkeypatch):
+    rollup = TokenRollup(spark, str(tmp_path / "r"), parts=4, deltas=3)
+    rng, batches, read = random.Random(5), [], []
+    ledger = TokenRollup._ledger
+
+    def watched(self, paths):
+        if paths:
+            read.append(len(ledger(self, paths).inputFiles()))
+        return ledger(self, paths)
+
+    monkeypatch.setattr(TokenRollup, "_ledger", watched)
+    for k in range(20):
+        batches.append(
+            [(rng.choice(["insert", "delete"]), i, rng.randrange(60), "a", rng.choice("xy"), "v1", i) for i in range(6)]
+        )
+        # A later reader settles no number of parts of its own.
+        TokenRollup(spark, str(tmp_path / "r"), 4 + k, 3).apply(f"b{k}", spark.createDataFrame(batches[-1], CHANGES))
+        assert all(len(rollup.part_files(p)) <= 4 for p in range(4))
+    assert max(read) <= 4 * (3 + 1 + 1)  # a base, three deltas, and the batch's own
+    assert any("/base/" in f for f in rollup.part_files(0))
+    assert totals(rollup) == expected(batches)
+
+
+def test_a_batch_reads_the_parts_of_its_own_documents(spark, tmp_path, monkeypatch):
+    rollup = TokenRollup(spark, str(tmp_path / "r"), parts=16)
+    rollup.apply("all", spark.createDataFrame([("insert", 0, k, "a", "x", "v", 1) for k in range(200)], CHANGES))
+    read = []
+    ledger = TokenRollup._ledger
+    monkeypatch.setattr(TokenRollup, "_ledger", lambda self, paths: read.append(paths) or ledger(self, paths))
+    rollup.apply("one", spark.createDataFrame([("delete", 0, 7, "a", "x", "v", 1)], CHANGES))
+    assert [len(paths) for paths in read] == [1, 1]  # the document's part, then what the batch wrote
+    assert totals(rollup) == [("a", "x", "v", 199, 199)]
+
+
+def test_a_commit_that_breaks_off_takes_no_effect(spark, tmp_path):
+    root = tmp_path / "r"
+    rollup, (first, second, *_) = TokenRollup(spark, str(root)), random_batches(4)
+    rollup.apply("a", spark.createDataFrame(first, CHANGES))
+    rollup.apply("b", spark.createDataFrame(second, CHANGES))
+    (root / "commits" / f"{1:09d}" / "_SUCCESS").unlink()
+    assert totals(rollup) == expected([first])
+    assert rollup.apply("b", spark.createDataFrame(second, CHANGES))
+    assert totals(rollup) == expected([first, second])
+
+
 def test_empty_batch(spark, tmp_path):
     rollup = TokenRollup(spark, str(tmp_path / "r"))
     assert rollup.apply("a", spark.createDataFrame([], CHANGES))
