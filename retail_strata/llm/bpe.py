@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retail_strata.llm.common import lean
+
 #: Characters of a leaf.
 LEAF = 32_768
 #: Tokens on each side of a join in the first window, and tokens that must agree.
@@ -362,12 +364,12 @@ def encode_long(docs: DataFrame, path: str, leaf: int, finish: Finish, schema: s
 
     return (
         docs.mapInArrow(
-            leaves,
+            lean(leaves),
             f"row bigint, key {kind}, leaf int, `left` boolean, `right` boolean, text string",
         )
         .repartition(F.col("row"), F.col("leaf"))
         .mapInArrow(
-            encoded,
+            lean(encoded),
             f"row bigint, key {kind}, leaf int, inside boolean, size bigint, head {_RUN_SQL},"
             f" ids binary, tail {_RUN_SQL}",
         )
@@ -407,7 +409,7 @@ def encode(
         if forget:
             encoder.words.clear()
 
-    short = rows.where(~is_long).mapInArrow(whole, schema)
+    short = rows.where(~is_long).mapInArrow(lean(whole), schema)
     long = rows.where(is_long).select(F.monotonically_increasing_id().alias("row"), "key", "text")
     return short.unionByName(encode_long(long, path, leaf, finish, schema))
 

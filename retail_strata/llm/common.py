@@ -5,11 +5,12 @@ Words are the runs of bytes outside ``0x20`` and ``0x09-0x0D`` of the UTF-8 text
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,31 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+
+def lean(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` of a task's batches; after it, its worker gives freed memory back to the system.
+
+    Workers are reused, also as ones that wait, and allocators keep what was freed: unless it is given
+    back, an executor holds the largest task of every stage before.
+    """
+
+    @wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = _trim()
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

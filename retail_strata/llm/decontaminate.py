@@ -29,6 +29,7 @@ from retail_strata.llm.common import (
     HashFilter,
     as_long,
     blocks,
+    lean,
     mix,
     stage,
     utf8,
@@ -111,7 +112,7 @@ def test_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
                 ["item", "item_key", "words"],
             )
 
-    return rows.mapInArrow(found, f"item {kind}, item_key bigint, words binary")
+    return rows.mapInArrow(lean(found), f"item {kind}, item_key bigint, words binary")
 
 
 def test_hashes(items: DataFrame) -> DataFrame:
@@ -136,7 +137,7 @@ def test_hashes(items: DataFrame) -> DataFrame:
                     )
 
     distinct = items.groupBy("item_key").agg(F.first("words").alias("words"))
-    return distinct.mapInArrow(found, "hash bigint, item_key bigint, place bigint")
+    return distinct.mapInArrow(lean(found), "hash bigint, item_key bigint, place bigint")
 
 
 def documents_with_hits(docs: DataFrame, hashes: DataFrame, masks: list[int]) -> DataFrame:
@@ -174,7 +175,7 @@ def documents_with_hits(docs: DataFrame, hashes: DataFrame, masks: list[int]) ->
                 ["id", "text_key", "words", "hits"],
             )
 
-    return docs.mapInArrow(found, f"id {kind}, text_key bigint, words binary, hits binary")
+    return docs.mapInArrow(lean(found), f"id {kind}, text_key bigint, words binary, hits binary")
 
 
 def best_window(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
@@ -221,7 +222,7 @@ def find_leaks(
                 )
 
     hits = texts.select("text_key", "hits").mapInArrow(
-        seeds, "text_key bigint, hash bigint, at bigint"
+        lean(seeds), "text_key bigint, hash bigint, at bigint"
     )
     shifts = (
         hits.join(hashes, "hash")
@@ -251,7 +252,7 @@ def find_leaks(
         .join(texts.select("text_key", "words"), "text_key")
         .select("text_key", "item_key", "shifts", "words", "item_words")
         .mapInArrow(
-            verified,
+            lean(verified),
             "text_key bigint, item_key bigint, agreeing bigint, first_word bigint, end_word bigint",
         )
     )

@@ -45,6 +45,7 @@ from retail_strata.llm.common import (
     as_long,
     blocks,
     components,
+    lean,
     mix,
     stage,
     utf8,
@@ -169,7 +170,7 @@ def describe(docs: DataFrame, width: int, threshold: int) -> DataFrame:
                 ["id", "n", "key", "sigs"],
             )
 
-    return docs.mapInArrow(found, f"id {kind}, n bigint, key bigint, sigs bigint")
+    return docs.mapInArrow(lean(found), f"id {kind}, n bigint, key bigint, sigs bigint")
 
 
 def group_members(
@@ -244,7 +245,7 @@ def group_members(
 
     return (
         docs.select(F.xxhash64("id").alias("id"), "text")
-        .mapInArrow(dealt, "bucket int, packed binary")
+        .mapInArrow(lean(dealt), "bucket int, packed binary")
         .groupBy("bucket")
         .applyInArrow(grouped, "bucket int, sig bigint, key bigint, size bigint")
     )
@@ -329,7 +330,7 @@ def sets_of(
             )
 
     return docs.select(F.xxhash64("id").alias("id"), "text").mapInArrow(
-        found, "key bigint, elements binary"
+        lean(found), "key bigint, elements binary"
     )
 
 
@@ -394,7 +395,7 @@ def small_group_pairs(rooted: DataFrame, threshold: int) -> DataFrame:
     return (
         some.repartition("sig")
         .sortWithinPartitions("sig")
-        .mapInArrow(paired, "u bigint, v bigint, m bigint, n bigint")
+        .mapInArrow(lean(paired), "u bigint, v bigint, m bigint, n bigint")
         .distinct()
     )
 
@@ -415,7 +416,7 @@ def possible_pairs(pairs: DataFrame, sketches: DataFrame, threshold: int) -> Dat
             keep = [may_link(x, y, m, n, threshold) for x, y, m, n in values]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    found = beside(pairs, sketches, "m", "n").mapInArrow(possible, "u bigint, v bigint")
+    found = beside(pairs, sketches, "m", "n").mapInArrow(lean(possible), "u bigint, v bigint")
     return found.distinct()
 
 
@@ -432,7 +433,7 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame
                 keep.append(100 * both >= threshold * (len(x) + len(y) - both))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return beside(pairs, sets).mapInArrow(linked, "u bigint, v bigint").distinct()
+    return beside(pairs, sets).mapInArrow(lean(linked), "u bigint, v bigint").distinct()
 
 
 def ends_of(pairs: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.llm.common import U64, HashFilter, stage
+from retail_strata.llm.common import U64, HashFilter, lean, stage
 
 #: Words of neighbouring repeats inside a line from which they are removed.
 CHANCE_WORDS = 20
@@ -94,7 +94,7 @@ def repeated_units(rows: DataFrame, chance: int) -> DataFrame:
                 ["d1", "d2", "id", "times"],
             )
 
-    each = rows.select("id", "text").mapInArrow(found, "d1 bigint, d2 bigint, id bigint, times bigint")
+    each = rows.select("id", "text").mapInArrow(lean(found), "d1 bigint, d2 bigint, id bigint, times bigint")
     return (
         each.groupBy("d1", "d2")
         .agg(F.min("id").alias("kept_id"), F.sum("times").alias("times"))
@@ -155,7 +155,7 @@ def candidates(
             )
 
     return rows.mapInArrow(
-        found,
+        lean(found),
         "id bigint, text_key bigint, unit bigint, units bigint, line boolean, d1 bigint, d2 bigint,"
         " `start` bigint, `end` bigint, words bigint, first_here boolean",
     )
@@ -223,7 +223,7 @@ def find_repeats(
         repeats.groupBy("id", "text_key")
         .agg(F.collect_list(one).alias("units"))  # the units of one document
         .mapInArrow(
-            passages,
+            lean(passages),
             "id bigint, text_key bigint, `start` bigint, `end` bigint, units bigint, words bigint,"
             " kept_id bigint",
         )

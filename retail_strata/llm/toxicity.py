@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_strata.llm.bpe import Memory
-from retail_strata.llm.common import _LOWER, blocks, held_out, stage, utf8
+from retail_strata.llm.common import _LOWER, blocks, held_out, lean, stage, utf8
 
 #: Labelled rows that the classifier is fitted on, and its features.
 FIT_ROWS, FEATURES = 8_192, 20_000
@@ -234,7 +234,7 @@ def character_counts(texts: DataFrame) -> np.ndarray:
 
     found = (
         texts.select("text")
-        .mapInArrow(counted, "cell int, times bigint")
+        .mapInArrow(lean(counted), "cell int, times bigint")
         .groupBy("cell")
         .agg(F.sum("times").alias("times"))
     ).toPandas()
@@ -271,7 +271,7 @@ def count_features(rows: DataFrame, model) -> DataFrame:
             )
 
     each = rows.select("label", "text").mapInArrow(
-        counted, "feature string, positive bigint, negative bigint"
+        lean(counted), "feature string, positive bigint, negative bigint"
     )
     return each.groupBy("feature").agg(
         F.sum("positive").alias("positive"), F.sum("negative").alias("negative")
@@ -368,7 +368,7 @@ def train(
 
     sample = (  # a row for each label, of which there are FIT_ROWS at most
         rows.select("order", "label", "text")
-        .mapInArrow(numbered, "order bigint, label int, found array<int>")
+        .mapInArrow(lean(numbered), "order bigint, label int, found array<int>")
         .orderBy("order", "label", "found")
     ).collect()
     weights, constant = fit(
@@ -394,7 +394,7 @@ def score(df: DataFrame, id_column: str, text: str, scorer: Scorer) -> DataFrame
             )
         shared.value.forget()
 
-    return docs.mapInArrow(scored, f"id {kind}, score double").select(
+    return docs.mapInArrow(lean(scored), f"id {kind}, score double").select(
         F.col("id").alias(id_column),
         held_out("id").alias("held_out"),
         "score",
@@ -414,4 +414,4 @@ def reject_toxic(df: DataFrame, text: str, scorer: Scorer) -> DataFrame:
             yield batch.filter(pa.array(keep, pa.bool_()))
         shared.value.forget()
 
-    return df.mapInArrow(kept, df.schema)
+    return df.mapInArrow(lean(kept), df.schema)
