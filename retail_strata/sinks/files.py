@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from retail_strata.session import scratch_path
+from retail_strata.storage import PARQUET_CODEC
 
 
 def write_csv(df: DataFrame, path: str, compact: bool = False, **options: str) -> None:
@@ -22,16 +23,16 @@ def write_csv(df: DataFrame, path: str, compact: bool = False, **options: str) -
 
 
 def write_fanout(df: DataFrame, paths: Sequence[str], **options: str) -> None:
-    """The same CSV output at every path.
+    """The same CSV output at every path, in gzip unless ``compression`` says otherwise.
 
     The plan runs once, into the shared scratch folder; the outputs are copied from there.
     """
     spark = df.sparkSession
     staged = scratch_path(spark, "fanout")
-    df.write.parquet(staged)
+    df.write.parquet(staged, compression=PARQUET_CODEC)
     result = spark.read.schema(df.schema).parquet(staged)
     for path in paths:
-        write_csv(result, path, **options)
+        write_csv(result, path, **{"compression": "gzip", **options})
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -118,6 +118,24 @@ def test_fanout_writes_every_output_and_runs_the_plan_once(spark, tmp_path):
     assert [read_csv(spark, path).count() for path in paths] == [50, 50, 50]
 
 
+def test_fanout_outputs_are_compressed_unless_told_otherwise(spark, tmp_path):
+    df = spark.createDataFrame([("a, b", None), ("", "x\ny")], "name string, note string")
+    packed, plain = f"{tmp_path}/packed", f"{tmp_path}/plain"
+    write_fanout(df, [packed])
+    write_fanout(df, [plain], compression="none")
+    assert parts(packed, "csv.gz") and not parts(packed)
+    assert parts(plain) and not parts(plain, "csv.gz")
+    assert rows(read_csv(spark, packed, multiLine="true")) == rows(read_csv(spark, plain, multiLine="true"))
+
+
+def test_layers_and_versions_are_written_with_zstd(spark, tmp_path):
+    publish(spark.range(9), f"{tmp_path}/published", "v1")
+    write_layer(spark.range(9), str(tmp_path), "t", "2025-02-07")
+    write_layer(spark.range(9), str(tmp_path), "u", "2025-02-07", "r1")
+    folders = ["published/data/v1", "t/ingest_date=2025-02-07", "u/ingest_date=2025-02-07/run_id=r1"]
+    assert all(parts(f"{tmp_path}/{folder}", "zstd.parquet") for folder in folders)
+
+
 def test_preview(spark):
     assert preview(spark.range(100)).count() == 5
     assert preview(spark.range(3)).count() == 3
