@@ -502,7 +502,8 @@ def active_orders_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cloud_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, warehouse = scratch_path(spark, "cloud-landing"), scratch_path(spark, "cloud")
     for entity, df in cloud_raw(spark, sf_dir).items():
-        sinks.write_csv(df, f"{landing}/raw_{entity}/raw_{entity}_20250207_100000.csv")
+        path = f"{landing}/raw_{entity}/raw_{entity}_20250207_100000.csv"
+        sinks.write_csv(df, path, compression="gzip")
     plans.run_cloud_silver(spark, landing, warehouse, "20250207_100000", on_missing="fail")
     paths = plans.run_cloud_gold(spark, warehouse)
     schema = {**CLOUD_SCHEMAS["order_items"], **CLOUD_SCHEMAS["customers"]}

@@ -42,9 +42,11 @@ def enrich_with_customer(
     return left_join(items, customers, "customer_id", keep).select(*items.columns, *keep)
 
 
-def attach_customer_key(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Every item, with ``customer_id`` of its order or NULL."""
-    return left_join(items, orders, "order_id", ["customer_id"])
+def attach_customer_key(
+    items: DataFrame, orders: DataFrame, keep: Sequence[str] = ("customer_id",)
+) -> DataFrame:
+    """Every item, with ``customer_id`` (or the columns ``keep``) of its order or NULL."""
+    return left_join(items, orders, "order_id", keep)
 
 
 def left_join(

@@ -36,10 +36,10 @@ def write_layer(
     if run_id is None:
         if has_runs(spark, root, table, run_date):
             raise ValueError(f"{date} holds runs; a write without a run id would delete them")
-        df.write.mode("overwrite").parquet(date)
+        df.write.mode("overwrite").parquet(date, compression=storage.PARQUET_CODEC)
         return date
     path = f"{date}/run_id={run_id}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=storage.PARQUET_CODEC)
     storage.touch(spark, f"{path}/{storage.DONE}")
     storage.touch(spark, f"{date}/{storage.DONE}")
     return path
@@ -67,7 +67,7 @@ def publish(df: DataFrame, path: str, version: str) -> None:
     read is never replaced. A version name can be used once.
     """
     path = path.rstrip("/")
-    df.write.mode("error").parquet(f"{path}/data/{version}")
+    df.write.mode("error").parquet(f"{path}/data/{version}", compression=storage.PARQUET_CODEC)
     commit = df.sparkSession.range(1, numPartitions=1).select(
         F.lit(version).alias("version"), F.current_timestamp().alias("committed_at")
     )

@@ -19,15 +19,15 @@ def list_entries(
     """``(modified, entry)`` of what lies in ``folder`` under a name ending in ``suffix``.
 
     An entry is a file, or a folder written by Spark, as new as its newest part. Only ``files``
-    count, so markers such as ``_SUCCESS`` and uncommitted output never do. The folder is listed
-    once and nothing is opened; None if it is missing.
+    count, as parts also in gzip, so markers such as ``_SUCCESS`` and uncommitted output never do. The
+    folder is listed once and nothing is opened; None if it is missing.
     """
     lying = storage.entries(spark, folder)
     if lying is None:
         return None
 
     def shown(name: str) -> bool:
-        return not storage.hidden(name) and fnmatch(name, files)
+        return not storage.hidden(name) and fnmatch(name.removesuffix(".gz"), files)
 
     found = []
     for entry in lying:

@@ -115,6 +115,22 @@ def test_cloud_gold_without_a_status_keeps_every_valid_item(bronze):
     assert silver["customers"].first()["email"] == "One@X"
 
 
+def test_cloud_gold_pairs_repeated_orders_and_customers(spark):
+    items = spark.createDataFrame(
+        [("i1", "o1"), ("i2", "o2"), ("i3", None), ("i4", "lost")], "order_item_id string, order_id string"
+    )
+    orders = spark.createDataFrame(
+        [("o1", "c1"), ("o1", "c2"), ("o1", "c1"), ("o2", None), (None, "c1")], "order_id string, customer_id string"
+    )
+    customers = spark.createDataFrame(
+        [("c1", "A"), ("c1", "B"), (None, "N")], "customer_id string, name string"
+    )
+    gold = plans.build_gold_from_parts(items, orders, customers)
+    assert gold.columns == ["order_id", "order_item_id", "customer_id", "name"]
+    keyed = items.join(orders, "order_id", "left")
+    assert rows(gold) == rows(keyed.join(customers, "customer_id", "left").select(*gold.columns))
+
+
 def test_cloud_gold_with_a_status_drops_null_keys_and_cancelled(bronze):
     silver = plans.build_cloud_silver(bronze)
     status = F.when(F.col("order_item_id") == "i5", "CANCELLED").otherwise("SHIPPED")

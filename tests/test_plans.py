@@ -144,6 +144,15 @@ def test_the_dedupe_shuffles_on_all_columns_and_the_join_by_itself(spark):
     assert joined.count() == 1000
 
 
+def test_cloud_gold_shuffles_the_items_once(spark):
+    items = spark.range(9).selectExpr("CAST(id AS STRING) AS order_item_id", "CAST(id AS STRING) AS order_id")
+    orders = spark.range(9).selectExpr("CAST(id AS STRING) AS order_id", "CAST(id % 2 AS STRING) AS customer_id")
+    customers = spark.range(2).selectExpr("CAST(id AS STRING) AS customer_id", "'x' AS name")
+    text = plan(plans.build_gold_from_parts(items, orders, customers))
+    moved = re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning", text)
+    assert sum("order_item_id" in columns for columns in moved) == 1
+
+
 def test_registered_plans_start_no_job(spark):
     context = spark.sparkContext
     context.setJobGroup("lazy", "building plans")

@@ -128,6 +128,13 @@ def test_a_written_folder_counts_as_one_file(spark, tmp_path):
     assert latest_entry(spark, str(tmp_path)).endswith("/second.csv")
 
 
+def test_a_folder_of_compressed_parts_counts_too(spark, tmp_path):
+    put(tmp_path, "first.csv", "id\nfirst\n", 1000)
+    write_csv(spark.range(100, numPartitions=3), f"{tmp_path}/second.csv", compression="gzip")
+    assert latest_entry(spark, str(tmp_path)).endswith("/second.csv")
+    assert read_latest(spark, str(tmp_path)).count() == 100
+
+
 def test_no_input_is_none(spark, tmp_path):
     assert read_latest(spark, str(tmp_path / "absent")) is None
     put(tmp_path / "empty", "notes.txt", "x", 1000)
