@@ -625,7 +625,7 @@ def purge_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land(spark: SparkSession, sf_dir: str, landing: str) -> None:
     for entity, df in raw_tables(spark, sf_dir).items():
         folder = landing_folder(landing, entity, RUN_DATE)
-        sinks.write_csv(df, f"{folder}/raw_{entity}_20250207_100000.csv")
+        sinks.write_csv(df, f"{folder}/raw_{entity}_20250207_100000.csv", compression="gzip")
 
 
 @query

@@ -89,7 +89,7 @@ def run_silver(
     def stage_orders() -> None:
         if "orders" in clean:
             path = scratch_path(spark, "valid-orders")
-            clean["orders"].write.parquet(path)
+            clean["orders"].write.parquet(path, compression=storage.PARQUET_CODEC)
             clean["orders"] = spark.read.parquet(path)
 
     customers = {entity: df for entity, df in clean.items() if entity == "customers"}
