@@ -2,15 +2,19 @@
 
 A page is read into blocks of text. What markup names as a menu, header, footer, sidebar, notice,
 advert, form or reader comment is left out, and if the page names its article (``article``, else
-``main``, else an element called so), the article's blocks are its text. Elsewhere the text of a
-host's pages decides: their token streams are laid end to end, and suffixes that share their first
-``DEPTH`` tokens stand together. Where pages of ``PAGES`` different texts share such a beginning,
-those tokens are boilerplate; the overlapping beginnings add up to the whole repeated substrings.
-They are cut out and the runs unique to the page are kept. Ordering suffixes no deeper than
-``DEPTH`` finds the same cover as the full order and lets equal beginnings be counted by key, with
-partial sums before the shuffle, so a host with a third of all pages is no single task's work.
-
-The article's own text is never cut by the cover, as copies of an article are text, not boilerplate.
+``main``, else an element called so), its text is sought in the article's blocks, elsewhere in those
+that markup leaves open. What of them is boilerplate the text of the host's pages decides. Every page
+gives the token stream of its frame: all that is outside its article, or its open blocks if it names
+none. The streams are laid end to end, and suffixes that share their first ``DEPTH`` tokens stand
+together. Where frames of ``PAGES`` different texts share such a beginning, those tokens are
+boilerplate; the overlapping beginnings add up to the whole repeated substrings. They are cut out and
+the runs unique to the page are kept. Ordering suffixes no deeper than ``DEPTH`` finds the same cover
+as the full order and lets equal beginnings be counted by key, with partial sums before the shuffle,
+so a host with a third of all pages is no single task's work.
+
+Within articles, boilerplate is cut only where it also stands in articles of ``PAGES`` different texts:
+a notice that the host puts into its pages. What no frames hold is never cut from an article, as copies
+of an article are text, nor is what frames quote from one or two.
 Character references are decoded, white space in a block is one space, blocks are joined by one.
 Null and empty pages have an empty text. A null url is a host of its own; repeated rows and pages
 with the same text give a row each and count as one page of the cover. An empty table gives no
@@ -214,11 +218,21 @@ def blocks_of(page: str, links: list[str] | None = None) -> list[tuple[str, int]
     ]
 
 
+def has_article(blocks: list[dict]) -> bool:
+    return any(b["zone"] == ARTICLE_ZONE for b in blocks)
+
+
 def open_blocks(blocks: list[dict]) -> list[str]:
-    """Texts whose fate the cover decides: outside menus and the like on a page without article."""
-    if any(b["zone"] == ARTICLE_ZONE for b in blocks):
-        return []
-    return [b["text"] for b in blocks if b["zone"] == OPEN_ZONE]
+    """Texts that markup does not exclude and whose fate the cover decides: the article, if there is one."""
+    zone = ARTICLE_ZONE if has_article(blocks) else OPEN_ZONE
+    return [b["text"] for b in blocks if b["zone"] == zone]
+
+
+def frame_blocks(blocks: list[dict]) -> list[str]:
+    """Texts whose repeats are boilerplate: all outside the article, or the open ones without one."""
+    if has_article(blocks):
+        return [b["text"] for b in blocks if b["zone"] != ARTICLE_ZONE]
+    return open_blocks(blocks)
 
 
 def stream(texts: list[str], host: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -260,12 +274,12 @@ def read_blocks(pages: DataFrame) -> DataFrame:
 
 
 def repeated_suffixes(pages: DataFrame) -> DataFrame:
-    """``(suffix)``: beginnings of suffixes that pages of ``PAGES`` different texts of a host share."""
+    """``(suffix)``: beginnings of suffixes that frames of ``PAGES`` different texts of a host share."""
 
     def suffixes(batches):
         for batch in batches:
             for host, blocks in zip(batch["host"].to_pylist(), batch["blocks"].to_pylist(), strict=True):
-                words, begin = stream(open_blocks(blocks), host)
+                words, begin = stream(frame_blocks(blocks), host)
                 begin = np.unique(begin)
                 if len(begin):
                     text = pa.array([text_key(words)] * len(begin), pa.int64())
@@ -277,7 +291,7 @@ def repeated_suffixes(pages: DataFrame) -> DataFrame:
 
 
 def covered_places(pages: DataFrame, repeated: DataFrame) -> DataFrame:
-    """``(row, places)``: where in a page's stream repeated beginnings are."""
+    """``(row, places)``: where in the stream of a page's open blocks repeated beginnings are."""
     held = pages.sparkSession.sparkContext.broadcast(HashFilter.of(repeated, "suffix"))
 
     def places(batches):
@@ -285,19 +299,26 @@ def covered_places(pages: DataFrame, repeated: DataFrame) -> DataFrame:
             for row, host, blocks in zip(
                 *(batch[c].to_pylist() for c in ("row", "host", "blocks")), strict=True
             ):
-                _, begin = stream(open_blocks(blocks), host)
+                words, begin = stream(open_blocks(blocks), host)
                 at = np.flatnonzero(held.value.has(begin))
                 if len(at):
-                    same = pa.array([row] * len(at), pa.int64())
+                    inside = text_key(words) if has_article(blocks) else None
                     yield pa.RecordBatch.from_arrays(
-                        [same, pa.array(at, pa.int64()), as_long(begin[at])],
-                        ["row", "place", "suffix"],
+                        [pa.array([row] * len(at), pa.int64()), pa.array(at, pa.int64())]
+                        + [as_long(begin[at]), pa.array([inside] * len(at), pa.int64())],
+                        ["row", "place", "suffix", "inside"],
                     )
 
     found = pages.select("row", "host", "blocks").mapInArrow(
-        places, "row bigint, place bigint, suffix bigint"
+        places, "row bigint, place bigint, suffix bigint, inside bigint"
+    )
+    found = stage(found.join(repeated, "suffix"), "places")
+    texts = found.where(F.col("inside").isNotNull()).groupBy("suffix", "inside").agg(F.lit(1).alias("one"))
+    shared = texts.groupBy("suffix").agg(F.count("one").alias("texts")).where(F.col("texts") >= PAGES)
+    boilerplate = found.where(F.col("inside").isNull()).unionByName(
+        found.where(F.col("inside").isNotNull()).join(shared.select("suffix"), "suffix", "left_semi")
     )
-    return found.join(repeated, "suffix").groupBy("row").agg(F.collect_list("place").alias("places"))
+    return boilerplate.groupBy("row").agg(F.collect_list("place").alias("places"))
 
 
 def unique_runs(texts: list[str], places: list[int]) -> list[str]:
@@ -332,10 +353,8 @@ def main_text(df: DataFrame, id_column: str, url: str, page: str) -> DataFrame:
             for parts, places in zip(
                 batch["blocks"].to_pylist(), batch["places"].to_pylist(), strict=True
             ):
-                kept = [b["text"] for b in parts if b["zone"] == ARTICLE_ZONE]
-                if not kept:
-                    kept = open_blocks(parts)
-                    kept = unique_runs(kept, places) if places else kept
+                kept = open_blocks(parts)
+                kept = unique_runs(kept, places) if places else kept
                 texts.append(" ".join(t for t in kept if t))
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], batch["url"], pa.array(texts, pa.string())]

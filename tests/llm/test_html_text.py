@@ -76,6 +76,30 @@ def test_cover_of_a_host(spark, prose):
     assert run(spark, rows) == sorted(expected, key=str)
 
 
+def test_notices_that_frames_hold_are_cut_from_articles(spark, prose):
+    notice = "Read more of our stories every morning with a free account today"
+    quoted = escape.escape(prose(50, 12))  # a text of one article that sidebars of other pages tease
+    shared = escape.escape(prose(51, 12))  # a text that articles share and no frame holds
+    rows, expected = [], []
+    for k in range(4):
+        own = escape.escape(prose(60 + k, 30))
+        lead = f"<p>{quoted}</p>" if k == 0 else ""
+        body = f"<article>{lead}<p>{own}</p><div>{notice}</div><p>{shared}</p></article>"
+        rows.append((k, f"http://a.example/{k}", f"<nav>m{k} {notice}</nav><aside>{quoted} s{k}</aside>{body}"))
+        expected.append((k, " ".join([*([quoted] if k == 0 else []), own, shared])))
+    bare = escape.escape(prose(70, 30))
+    rows.append((9, "http://b.example/", f"<article>{notice}</article>"))
+    rows.append((10, "http://a.example/bare", f"<div>{notice}</div><p>{bare}"))
+    assert run(spark, rows) == sorted([*expected, (9, notice), (10, bare)], key=str)
+
+
+def test_every_page_gives_its_frame_to_the_suffixes(spark):
+    menu = "one two three four five six seven eight nine"
+    pages = [("h", [(f"{menu} m{k}", h.CHROME_ZONE), (f"text {k}", h.ARTICLE_ZONE)]) for k in range(3)]
+    df = spark.createDataFrame(pages, "host string, blocks array<struct<text:string,zone:int>>")
+    assert h.repeated_suffixes(df).count() == 2
+
+
 def test_copies_and_odd_rows(spark, prose):
     same = f"<article>{prose(1, 60)}</article>"
     bare = f"<p>{prose(2, 60)}</p>"
