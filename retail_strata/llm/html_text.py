@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +117,30 @@ def article_name(words: list[str]) -> bool:
     return words[-1] in ARTICLE_NAMES or words[0] in ARTICLE_NAMES and words[-1] in BODIES
 
 
+def _signs(attributes: str) -> tuple[bool, bool, bool, bool, bool, bool, bool]:
+    """What names and roles say of an element.
+
+    Reader comments, chrome by role, chrome by name, a header, an article by role, the main part by
+    role, an article by name.
+    """
+    names, roles = _named(attributes)
+    return (
+        any(frame_name(w, READER_NAMES) for w in names),
+        bool(roles & CHROME_ROLES),
+        any(frame_name(w, CHROME_NAMES) for w in names),
+        any(frame_name(w, HEADER_NAMES) for w in names),
+        "article" in roles,
+        "main" in roles,
+        any(article_name(w) for w in names),
+    )
+
+
+_NO_SIGNS = _signs("")
+#: The same, remembered for attributes of at most ``SHORT`` characters, which pages repeat.
+_short_signs = lru_cache(maxsize=1 << 13)(_signs)
+SHORT = 256
+
+
 def blocks_of(page: str, links: list[str] | None = None) -> list[tuple[str, int]]:
     """``(text, zone)`` of the blocks of a page that hold text, in page order.
 
@@ -129,6 +154,8 @@ def blocks_of(page: str, links: list[str] | None = None) -> list[tuple[str, int]
     chrome, rank = SHOWN, 0
 
     def close() -> None:
+        if not line:
+            return
         text = " ".join("".join(line).split())
         line.clear()
         if text:
@@ -149,12 +176,13 @@ def blocks_of(page: str, links: list[str] | None = None) -> list[tuple[str, int]
         if match is None:
             break
         at = match.end()
-        name = (match.group(2) or "").lower()
+        ends, name, attributes = match.groups("")
+        name = name.lower()
         if not name or name in VOID:
             if name in ("br", "hr"):
                 line.append(" ")
             continue
-        if match.group(1):
+        if ends:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     if name not in INLINE or chrome != (stack[k - 1][1] if k else SHOWN):
@@ -168,15 +196,18 @@ def blocks_of(page: str, links: list[str] | None = None) -> list[tuple[str, int]
         if name in RAW and name != "head":
             raw = name
             continue
-        if match.group(3).endswith("/") and name in INLINE:
+        if attributes.endswith("/") and name in INLINE:
             continue
         if links is not None and name == "a":
             links += [
                 html.unescape(value[1:-1] if value[0] in "\"'" else value)
-                for kind, value in _ATTRIBUTE.findall(match.group(3))
+                for kind, value in _ATTRIBUTE.findall(attributes)
                 if kind.lower() == "href"
             ][:1]
-        names, roles = _named(match.group(3)) if match.group(3) else ([], set())
+        signs = _NO_SIGNS
+        if attributes:
+            signs = _short_signs(attributes) if len(attributes) <= SHORT else _signs(attributes)
+        readers, chrome_role, chrome_named, header_named, article_role, main_role, article_named = signs
         if name not in INLINE:
             close()
             if stack and stack[-1][0] == "p":  # a paragraph ends where a block begins
@@ -185,24 +216,23 @@ def blocks_of(page: str, links: list[str] | None = None) -> list[tuple[str, int]
         inner, level = chrome, rank
         if name not in ("html", "body"):
             whole = name in ("article", "main")
-            readers = any(frame_name(w, READER_NAMES) for w in names)
-            if name in CHROME or roles & CHROME_ROLES or readers:
+            if name in CHROME or chrome_role or readers:
                 inner = HIDDEN
             elif whole:
                 inner = NAMED_AROUND if inner == NAMED else inner
-            elif any(frame_name(w, CHROME_NAMES) for w in names):
+            elif chrome_named:
                 inner = max(inner, NAMED)
             if not level and not whole:
                 if name == "header":
                     inner = HIDDEN
-                elif any(frame_name(w, HEADER_NAMES) for w in names):
+                elif header_named:
                     inner = max(inner, NAMED)
             if inner < NAMED:
-                if name == "article" or "article" in roles:
+                if name == "article" or article_role:
                     level = max(level, 3)
-                elif name == "main" or "main" in roles:
+                elif name == "main" or main_role:
                     level = max(level, 2)
-                elif any(article_name(w) for w in names):
+                elif article_named:
                     level = max(level, 1)
         if inner != chrome:
             close()

@@ -44,6 +44,17 @@ def test_article_by_markup(page, text):
     assert article(page) == text
 
 
+def test_attributes_that_pages_repeat_are_read_once(monkeypatch):
+    reads = []
+    named = h._named
+    monkeypatch.setattr(h, "_named", lambda attributes: reads.append(attributes) or named(attributes))
+    page = "<article>a<div data-x=once class=ad>no</div>b<div data-x=once class=ad>no</div></article>"
+    assert [article(page) for _ in range(3)] == ["a b"] * 3
+    assert len(reads) <= 1
+    long = f"<article>a<div class='{'x ' * h.SHORT}ad'>no</div>b</article>"
+    assert article(long) == "a b"
+
+
 def test_a_list_of_posts_does_not_hide_the_content():
     page = "<div class='post-list'><a href=/1>one</a></div><div id=content><p>real text</div>"
     assert [t for t, zone in h.blocks_of(page) if zone == h.OPEN_ZONE] == ["one", "real text"]
