@@ -34,6 +34,8 @@ MAGIC = b"BPK1"
 HEAD = struct.Struct("<4sBBHIIQ")
 #: Ids of a block, and ids after which a shard is closed.
 BLOCK, SHARD = 4096, 1 << 20
+#: Widths of whole bytes, whose ids are packed and joined without going through single bits.
+WHOLE = (8, 16, 32)
 #: Documents that a range of keys holds, and the most ranges there are (their totals are broadcast).
 RANGE_ROWS, MAX_RANGES = 2000, 10_000
 
@@ -47,18 +49,37 @@ def width_of(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
+    if width in WHOLE and ids.dtype == f"<u{width // 8}":  # as ``stored`` gives them
+        return ids.tobytes()
     ids = np.ascontiguousarray(ids, dtype="<u4")
     if len(ids) and int(ids.max()) >> width:
         raise ValueError(f"an id needs more than {width} bits")
-    if width in (8, 16, 32):  # whole bytes: the same layout without going through single bits
+    if width in WHOLE:
         return ids.astype(f"<u{width // 8}").tobytes()
     bits = np.unpackbits(ids.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
     return np.packbits(bits[:, :width].reshape(-1), bitorder="little").tobytes()
 
 
+def pack_each(ids: np.ndarray, counts: np.ndarray, width: int) -> list[bytes]:
+    """``pack`` of ``counts`` ids each, which follow one another."""
+    ends = np.cumsum(counts, dtype=np.int64)
+    if width in WHOLE:
+        raw, step = pack(ids, width), width // 8
+        bounds = zip((step * (ends - counts)).tolist(), (step * ends).tolist(), strict=True)
+        return [raw[first:last] for first, last in bounds]
+    return [pack(x, width) for x in np.split(ids, ends[:-1])] if len(counts) else []
+
+
+def stored(data: bytes | memoryview, count: int, width: int) -> np.ndarray:
+    """Packed ids as they lie there if they are whole bytes, else unpacked."""
+    if width in WHOLE:
+        return np.frombuffer(data, dtype=f"<u{width // 8}", count=count)
+    return unpack(data, count, width)
+
+
 def unpack(data: bytes | memoryview, count: int, width: int) -> np.ndarray:
-    if width in (8, 16, 32):
-        return np.frombuffer(data, dtype=f"<u{width // 8}", count=count).astype("<u4")
+    if width in WHOLE:
+        return stored(data, count, width).astype("<u4")
     raw = np.frombuffer(data, dtype=np.uint8, count=-(-count * width // 8))
     bits = np.unpackbits(raw, count=count * width, bitorder="little").reshape(count, width)
     full = np.zeros((count, 32), dtype=np.uint8)
@@ -135,13 +156,15 @@ def pack_rows(bounds: np.ndarray, width: int, end_id: int | None) -> bpe.Finish:
         null = keys.is_null().to_numpy(zero_copy_only=False)
         values = keys.cast(pa.int64()).fill_null(0).to_numpy()
         at = np.where(null, -1, np.searchsorted(bounds, values, side="right"))
-        every = [np.frombuffer(x + end, dtype="<u4") for x in ids]
+        every = [x + end for x in ids]
+        n = np.array([len(x) // 4 for x in every], dtype=np.int64)
+        data = pack_each(np.frombuffer(b"".join(every), dtype="<u4"), n, width)
         return pa.RecordBatch.from_arrays(
             [
                 keys,
                 pa.array(at, pa.int32()),
-                pa.array([len(x) for x in every], pa.int64()),
-                pa.array([pack(x, width) for x in every], pa.binary()),
+                pa.array(n, pa.int64()),
+                pa.array(data, pa.binary()),
             ],
             ["key", "range", "n", "packed"],
         )
@@ -185,7 +208,7 @@ def write_shards(packed: DataFrame, path: str, width: int) -> None:
                     yield from close()
                     state.update(range=at, seq=0, before=0)
                 keys.append(k)
-                documents.append(unpack(data, n, width))
+                documents.append(stored(data, n, width))
                 held += n
                 if held >= SHARD:
                     yield from close()

@@ -16,10 +16,12 @@ read, so extra columns of any name do no harm; an empty table gives no rows.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import json
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -40,7 +42,7 @@ WINDOW, AGREE = 16, 4
 #: Words a worker remembers, and the longest such word in bytes.
 REMEMBERED, WORD_BYTES = 500_000, 64
 
-_WHITE = re.compile(r"[\t-\r ]")
+_WHITE = "\t\n\x0b\x0c\r "
 _RUNS = re.compile(r"[^\t-\r ]+")
 
 
@@ -59,6 +61,8 @@ def load(path: str):
 _MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
 #: Words that need no normalising but lower case: printable ASCII, Latin letters with accents.
 _PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017e]+")
+#: First bytes in UTF-8 of U+0300 to U+037F, which hold all marks that compose with ASCII letters.
+_MARK_BYTES = (b"\xcc", b"\xcd")
 
 
 def _split_pattern(tokenizer) -> str | None:
@@ -78,11 +82,21 @@ def _split_pattern(tokenizer) -> str | None:
     return None if to_bytes["add_prefix_space"] or to_bytes["use_regex"] else split["pattern"]["Regex"]
 
 
-def _byte_letters() -> dict[int, str]:
+def _plain_split(pattern: str) -> Callable[[str], list[str]]:
+    """The pieces of ``_PLAIN`` words, by a pattern whose classes list such letters and digits."""
+    plain = [c for c in map(chr, range(0x180)) if _PLAIN.fullmatch(c)]
+    for kind in "LN":
+        listed = "".join(c for c in plain if unicodedata.category(c)[0] == kind)
+        pattern = pattern.replace(f"\\p{{{kind}}}", listed)
+    return (regex if "\\p" in pattern.lower() else re).compile(pattern).findall
+
+
+def _byte_letters() -> str:
     """The letter by which byte-level vocabularies write each byte."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return "".join(letters[b] for b in range(256))
 
 
 class Memory(dict):
@@ -108,18 +122,19 @@ class WordEncoder:
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
         pattern = _split_pattern(self.tokenizer)
-        self.split = regex.compile(pattern).findall if pattern else None
-        self.added = [str(t) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.split = _plain_split(pattern) if pattern else None
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added_low = [t.lower() for t in self.added]
-        # No added token can lie within ASCII letters and one mark.
+        self.added_bytes = [t.encode() for t in self.added_low]
+        # No added token can lie within letters and one mark.
         self.quick = self.split is not None and not any(
-            re.fullmatch("[A-Za-z]*[.,;:!?]?", t) for t in self.added
+            re.fullmatch(r"[^\W\d_]*[.,;:!?]?", t) for t in self.added_low
         )
-        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        self.letters = _byte_letters()
         self.words = Memory(self._word)
 
     def _piece(self, piece: bytes) -> bytes:
-        shown = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.letters)
+        shown = codecs.charmap_decode(piece, "strict", self.letters)[0]
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
@@ -133,16 +148,30 @@ class WordEncoder:
         text = word.decode()
         if self.split is not None and _PLAIN.fullmatch(text):
             low = text.lower()  # an added token in other letters is none, but would be once lowered
+            if self.quick and low.isalpha():
+                return self._piece(word) if low == text else known[low.encode()]
+            if self.quick and word[-1:] in _MARKS and low[:-1].isalpha():
+                return known[low[:-1].encode()] + known[word[-1:]]
             if not any(t in low for t in self.added_low):
                 pieces = [p.encode() for p in self.split(low)]
                 return self._piece(word) if pieces == [word] else b"".join([known[p] for p in pieces])
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _lowered(self, text: bytes) -> bytes:
+        """The text with A-Z lowered where that gives the same ids, so that fewer words are new.
+
+        Letters may compose with marks in one case only, and added tokens count as written.
+        """
+        if self.split is None or any(b in text for b in _MARK_BYTES):
+            return text
+        low = text.lower()
+        return text if any(t in low for t in self.added_bytes) else low
+
     def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each UTF-8 text."""
         known = self.words.__getitem__
-        for text in texts:  # words as they are: letters may compose with marks in one case only
-            yield b"".join(map(known, text.split()))
+        for text in texts:
+            yield b"".join(map(known, self._lowered(text).split()))
 
 
 @cache
@@ -235,6 +264,11 @@ def join_tree(tokenizer, runs: list[Run]) -> Run:
     return runs[0]
 
 
+def _last_white(text: str, first: int, end: int) -> int:
+    """Place of the last ASCII white space of a part of a text, else -1."""
+    return max(text.rfind(c, first, end) for c in _WHITE)
+
+
 def cut(text: str, leaf: int) -> list[tuple[str, bool]]:
     """Leaves of a text, each with whether it is cut off from its left neighbour inside a run.
 
@@ -245,9 +279,9 @@ def cut(text: str, leaf: int) -> list[tuple[str, bool]]:
         end = min(at + leaf, len(text))
         hard = False
         if end < len(text):
-            spaces = [m.start() for m in _WHITE.finditer(text, at, end)]
-            hard = not spaces or spaces[-1] == at
-            end = end if hard else spaces[-1]
+            space = _last_white(text, at, end)
+            hard = space <= at
+            end = end if hard else space
         leaves.append((text[at:end], inside))
         at, inside = end, hard
     return leaves or [("", False)]
@@ -258,15 +292,15 @@ def encode_leaf(encoder: WordEncoder, text: str, joins_left: bool, joins_right:
 
     An unsplit leaf is a head alone.
     """
-    words = list(_RUNS.finditer(text))
     head = tail = None
     first, last = 0, len(text)
-    if words and joins_left and words[0].start() == 0:
-        head = encode_run(encoder.tokenizer, words[0].group())
-        first = words[0].end()
-    if words and joins_right and words[-1].end() == len(text) and (head is None or len(words) > 1):
-        tail = encode_run(encoder.tokenizer, words[-1].group())
-        last = words[-1].start()
+    if joins_left and (run := _RUNS.match(text)):
+        head = encode_run(encoder.tokenizer, run.group())
+        first = run.end()
+    start = _last_white(text, 0, len(text)) + 1
+    if joins_right and start < len(text) and (head is None or start > 0):
+        tail = encode_run(encoder.tokenizer, text[start:])
+        last = start
     (ids,) = encoder.encode([text[first:last].encode()])
     return head, ids, tail
 

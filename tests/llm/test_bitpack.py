@@ -21,6 +21,20 @@ def test_pack_and_unpack(width, data):
     assert bitpack.unpack(packed, len(ids), width).tolist() == ids.tolist()
 
 
+@pytest.mark.parametrize("width", [5, 8, 16, 17, 32])
+def test_batches_pack_as_their_documents(width):
+    rng = np.random.default_rng(width)
+    documents = [rng.integers(0, 2**width, n).astype("<u4") for n in (0, 3, 64, 0, 1, 90, 0)]
+    counts = np.array([len(d) for d in documents])
+    packed = bitpack.pack_each(np.concatenate(documents), counts, width)
+    assert packed == [bitpack.pack(d, width) for d in documents]
+    assert bitpack.pack_each(np.zeros(0, dtype="<u4"), counts[:0], width) == []
+    held = [bitpack.stored(x, n, width) for x, n in zip(packed, counts, strict=True)]
+    assert all(d.itemsize == (width // 8 if width in bitpack.WHOLE else 4) for d in held)
+    keys = list(range(len(held)))
+    assert bitpack.write_shard(keys, held, width, 32) == bitpack.write_shard(keys, documents, width, 32)
+
+
 def test_width_is_the_least():
     assert [bitpack.width_of(v) for v in (0, 1, 2, 3, 256, 257, 49_408, 65_536, 65_537)] == [
         1, 1, 1, 2, 8, 9, 16, 16, 17,

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import unicodedata
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -95,3 +97,33 @@ def test_words_that_lowering_would_change(tokenizer_path, word):
         whole = bpe.load(tokenizer_path).encode(text, add_special_tokens=False).ids
         (ids,) = bpe.WordEncoder(tokenizer_path).encode([text.encode()])
         assert np.frombuffer(ids, dtype="<u4").tolist() == whole
+
+
+def test_words_of_other_case_are_new_once(tokenizer_path):
+    encoder = bpe.WordEncoder(tokenizer_path)
+    texts = ["The the THE tHe", "caf\u00e9 Caf\u00e9", "the <|endoftext|> The", "THE e\u0301 E\u0301"]
+    for text, words in zip(texts, (1, 2, 4, 7), strict=True):
+        whole = bpe.load(tokenizer_path).encode(text, add_special_tokens=False).ids
+        (ids,) = encoder.encode([text.encode()])
+        assert np.frombuffer(ids, dtype="<u4").tolist() == whole
+        assert len(encoder.words) == words, list(encoder.words)
+
+
+def test_ascii_letters_compose_with_marks_of_one_block_only():
+    for code in range(0x80, 0x110000):
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and parts[0].isascii() and parts[0].isalpha():
+            assert parts[1].encode()[:1] in bpe._MARK_BYTES
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from([c for c in map(chr, range(0x180)) if bpe._PLAIN.fullmatch(c)])))
+def test_plain_words_split_as_by_the_pattern(word):
+    import public_tokenizers
+
+    encoder = bpe.word_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    pattern = bpe._split_pattern(encoder.tokenizer)
+    assert encoder.split(word) == regex.findall(pattern, word)
+    whole = encoder.tokenizer.encode(word, add_special_tokens=False).ids
+    (ids,) = encoder.encode([word.encode()])
+    assert np.frombuffer(ids, dtype="<u4").tolist() == whole
