@@ -161,26 +161,37 @@ class HashFilter:
     """
 
     MAX_BITS = 27
+    #: Bits of a piece, the unit in which the bitmap is made and collected: 4 KB, 4,096 pieces at most.
+    PIECE_BITS = 15
 
     def __init__(self, bits: int, words: np.ndarray) -> None:
         self.bits, self.words = bits, words
 
     @classmethod
     def of(cls, df: DataFrame, column: str, spread: int = 32) -> HashFilter:
-        bits = min(cls.MAX_BITS, max(12, (spread * df.count()).bit_length()))
+        bits = min(cls.MAX_BITS, max(cls.PIECE_BITS, (spread * df.count()).bit_length()))
+        return cls(bits, cls.pack(cls.pieces(df, column, bits), bits))
+
+    @classmethod
+    def pieces(cls, df: DataFrame, column: str, bits: int) -> DataFrame:
+        """``(piece, bitmap)`` of the pieces with a bit set; the driver gets packed bits, no row a word."""
         both = F.array(
             F.shiftrightunsigned(F.col(column), 64 - bits),
             F.shiftrightunsigned(F.col(column), 64 - 2 * bits).bitwiseAND(F.lit((1 << bits) - 1)),
         )
-        packed = (
-            df.select(F.explode(both).alias("slot"))
-            .groupBy(F.expr("shiftright(slot, 5)").alias("at"))
-            .agg(F.expr("bit_or(shiftleft(1L, cast(slot % 32 as int)))").alias("word"))
+        slots = df.select(F.explode(both).alias("slot")).where("slot is not null").select(
+            F.shiftright("slot", cls.PIECE_BITS).alias("piece"),
+            F.col("slot").bitwiseAND(F.lit((1 << cls.PIECE_BITS) - 1)).alias("bit"),
         )
-        words = np.zeros(1 << (bits - 5), dtype=np.uint32)
-        found = packed.toPandas()
-        words[found["at"].to_numpy(dtype=np.int64)] = found["word"].to_numpy(dtype=np.int64)
-        return cls(bits, words)
+        # Dealt as slots: a bitmap for each piece and map task would be mostly zeros.
+        return slots.repartition("piece").groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+
+    @classmethod
+    def pack(cls, pieces: DataFrame, bits: int) -> np.ndarray:
+        packed = np.zeros((1 << (bits - cls.PIECE_BITS), (1 << cls.PIECE_BITS) // 8), dtype=np.uint8)
+        for piece, bitmap in pieces.collect():
+            packed[piece] = np.frombuffer(bitmap, dtype=np.uint8)
+        return packed.reshape(-1).view("<u4")
 
     def _bit(self, slot: np.ndarray) -> np.ndarray:
         held = self.words[(slot >> U64(5)).astype(np.int64)]
