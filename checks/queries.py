@@ -210,7 +210,7 @@ def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fanout_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "fanout-out")
     paths = [f"{root}/gold_{entity}" for entity in ENTITIES]
-    sinks.write_fanout(text_times(gold(spark, sf_dir)), paths)
+    sinks.write_fanout(text_times(plans.build_gold_from_clean(clean(spark, sf_dir))), paths)
     outputs = [
         sources.read_csv(spark, path).withColumn("output", F.lit(entity))
         for entity, path in zip(ENTITIES, paths, strict=True)

@@ -5,7 +5,7 @@ from retail_strata.plans.cloud import (
     run_cloud_gold,
     run_cloud_silver,
 )
-from retail_strata.plans.gold import build_gold
+from retail_strata.plans.gold import build_gold, build_gold_from_clean
 from retail_strata.plans.marts import (
     gold_customers,
     gold_order_items,
@@ -20,6 +20,7 @@ __all__ = [
     "build_bronze",
     "build_cloud_silver",
     "build_gold",
+    "build_gold_from_clean",
     "build_gold_from_parts",
     "build_silver",
     "clean_entities",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +56,24 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared scratch folder."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+#: Whether the shuffle files of a query are deleted when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries begun inside delete their shuffle files when they end.
+
+    Otherwise these stay on the executors' disks until the driver happens to collect its garbage.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)

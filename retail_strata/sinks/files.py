@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from retail_strata.session import scratch_path
-from retail_strata.storage import PARQUET_CODEC
+from retail_strata import storage
+from retail_strata.session import brief_shuffles, scratch_path
 
 
 def write_csv(df: DataFrame, path: str, compact: bool = False, **options: str) -> None:
@@ -25,14 +25,17 @@ def write_csv(df: DataFrame, path: str, compact: bool = False, **options: str) -
 def write_fanout(df: DataFrame, paths: Sequence[str], **options: str) -> None:
     """The same CSV output at every path, in gzip unless ``compression`` says otherwise.
 
-    The plan runs once, into the shared scratch folder; the outputs are copied from there.
+    The plan runs once, into the shared scratch folder; the outputs are copied from there. Its shuffle
+    files go before they are, and the scratch folder after the last one.
     """
     spark = df.sparkSession
     staged = scratch_path(spark, "fanout")
-    df.write.parquet(staged, compression=PARQUET_CODEC)
+    with brief_shuffles(spark):
+        df.write.parquet(staged, compression=storage.PARQUET_CODEC)
     result = spark.read.schema(df.schema).parquet(staged)
     for path in paths:
         write_csv(result, path, **{"compression": "gzip", **options})
+    storage.remove(spark, staged)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

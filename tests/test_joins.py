@@ -86,6 +86,29 @@ def test_gold_has_active_lines_and_null_geography_for_unknown_customers(bronze):
     assert gold.columns[:4] == ["customer_id", "product_id", "order_id", "order_item_id"]
 
 
+def test_gold_from_cleaned_entities_has_the_rows_of_gold_from_silver(spark, bronze):
+    columns = bronze["customers"].columns
+    more = spark.createDataFrame(
+        [("c1", "Two", "Two@X", "Ohio", "OH"), ("c1", "One", "One@X", "Rome", None), (None, "N", "n@X", "Nil", "NI")],
+        CUSTOMERS,
+    )
+    more = more.withColumns({"ingest_timestamp": F.lit("now"), "source": F.lit("generated")})
+    bronze["customers"] = bronze["customers"].union(more.select(columns))
+    for entity in ("orders", "order_items"):
+        bronze[entity] = bronze[entity].union(bronze[entity].limit(2))
+    orders = bronze["orders"]
+    bronze["orders"] = orders.union(orders.where("order_id = 'o1'").withColumn("order_status", F.lit("PENDING")))
+    clean = plans.clean_entities(bronze)
+    silver = plans.build_silver(bronze)
+    expected = plans.build_gold(silver["order_items"], silver["customers"])
+    gold = plans.build_gold_from_clean(clean)
+    assert gold.columns == expected.columns
+    assert rows(gold) == rows(expected)
+    assert gold.count() == 7
+    with pytest.raises(ValueError, match="customers lacks city"):
+        plans.build_gold_from_clean({**clean, "customers": clean["customers"].drop("city")})
+
+
 @pytest.mark.parametrize("absent", ["customers", "products", "orders", "order_items"])
 def test_a_missing_entity_leaves_its_joins_out(bronze, absent):
     del bronze[absent]

@@ -153,6 +153,29 @@ def test_cloud_gold_shuffles_the_items_once(spark):
     assert sum("order_item_id" in columns for columns in moved) == 1
 
 
+def test_fanout_lines_do_not_shuffle_items_by_customer(spark, tmp_path, monkeypatch):
+    from checks.queries import QUERIES
+
+    tables = {
+        "customer": "1L c_custkey, 'a' c_name, 'b' c_mktsegment, 1 c_nationkey",
+        "part": "1L p_partkey, 'a' p_name, 'b' p_brand, 1.0D p_retailprice",
+        "orders": "1L o_orderkey, 1L o_custkey, 'O' o_orderstatus, 30000.0D o_totalprice, current_date() o_orderdate",
+        "lineitem": "1L l_orderkey, 1 l_linenumber, 1L l_partkey, 1L l_suppkey, 9 l_quantity, 1.0D l_extendedprice",
+    }
+    for name, columns in tables.items():
+        spark.sql(f"select {columns}").write.parquet(f"{tmp_path}/{name}.parquet")
+    written = []
+    monkeypatch.setattr("retail_strata.sinks.write_fanout", lambda df, paths: written.append(df))
+    monkeypatch.setattr("retail_strata.sources.read_csv", lambda spark, path: spark.range(1))
+    QUERIES["fanout_order_lines"](spark, str(tmp_path))
+    moved = re.findall(
+        r"Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning\((.*?), \d+\)", plan(written[0])
+    )
+    of_items = [keys for columns, keys in moved if "order_item_id" in columns]
+    assert len(of_items) == 2  # for the dedupe, and to meet the orders
+    assert not any(keys.startswith("customer_id") for keys in of_items)
+
+
 def test_registered_plans_start_no_job(spark):
     context = spark.sparkContext
     context.setJobGroup("lazy", "building plans")

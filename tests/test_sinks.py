@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from retail_strata import storage
+from retail_strata.session import SHUFFLE_CLEANUP, brief_shuffles, scratch_root
 from retail_strata.sinks import preview, publish, write_csv, write_dated, write_fanout, write_layer
 from retail_strata.sources import read_csv, read_layer, read_partition, read_published
 from tests.helpers import rows
@@ -128,6 +131,35 @@ def test_fanout_outputs_are_compressed_unless_told_otherwise(spark, tmp_path):
     assert rows(read_csv(spark, packed, multiLine="true")) == rows(read_csv(spark, plain, multiLine="true"))
 
 
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def staged(spark):
+    return {e.name for e in storage.entries(spark, scratch_root(spark)) or () if e.name.startswith("fanout-")}
+
+
+def test_fanout_leaves_no_scratch_behind(spark, tmp_path):
+    spark.range(1).write.parquet(f"{scratch_root(spark)}/there")
+    before = staged(spark), shuffle_files(spark)
+    write_fanout(spark.range(1000).repartition(5, "id"), [f"{tmp_path}/one", f"{tmp_path}/two"])
+    assert staged(spark) == before[0]
+    until = time.time() + 20  # executors delete on their own time
+    while shuffle_files(spark) - before[1] and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before[1]
+    assert [read_csv(spark, f"{tmp_path}/{name}").count() for name in ("one", "two")] == [1000, 1000]
+
+
+def test_brief_shuffles_restore_the_setting(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    with pytest.raises(ValueError, match="told"), brief_shuffles(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+        raise ValueError("told")
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
 def test_layers_and_versions_are_written_with_zstd(spark, tmp_path):
     publish(spark.range(9), f"{tmp_path}/published", "v1")
     write_layer(spark.range(9), str(tmp_path), "t", "2025-02-07")
