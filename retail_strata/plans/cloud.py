@@ -11,6 +11,7 @@ from retail_strata.operators.joins import attach_customer_key, enrich_with_custo
 from retail_strata.operators.rules import active_orders, valid_items, valid_orders
 from retail_strata.plans.pipeline import together
 from retail_strata.schemas import ENTITIES, layer_table
+from retail_strata.session import brief_shuffles
 from retail_strata.sinks.files import write_fanout
 from retail_strata.sinks.tables import publish
 from retail_strata.sources.csv import read_entity
@@ -55,13 +56,14 @@ def run_cloud_silver(
         return None if path is None else read_entity(spark, path, entity)
 
     silver = build_cloud_silver(read_entities(newest, ENTITIES, on_missing))
-    together(
-        spark,
-        [
-            partial(publish, df, published_path(warehouse, entity), version)
-            for entity, df in silver.items()
-        ],
-    )
+    with brief_shuffles(spark):
+        together(
+            spark,
+            [
+                partial(publish, df, published_path(warehouse, entity), version)
+                for entity, df in silver.items()
+            ],
+        )
     return {
         entity: read_published(spark, published_path(warehouse, entity), version)
         for entity in silver
